@@ -10,31 +10,6 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.keyed import finish_average, merge_average_state
 
-# Broadcast at most this much: a table is built whole on the driver and again
-# in every executor.
-BROADCAST_BYTES = 50 * 1024 * 1024
-BROADCAST_ROWS = 1_000_000
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of all values, 16 more per value for the row around them."""
-    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
-    per_row = sum(widths[1:], widths[0]) + 16 * len(widths)
-    return df.agg(F.sum(per_row.cast("bigint"))).first()[0] or 0
-
-
-def broadcast_if_small(
-    df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """The frame marked for broadcast, if its measured size allows.
-
-    Otherwise it comes back unmarked and the join shuffles. Rows are counted
-    first, which reads no column, and only a short table is measured in bytes.
-    """
-    if df.count() <= max_rows and measured_bytes(df) <= max_bytes:
-        return F.broadcast(df)
-    return df
-
 
 def pair_counts(
     left: DataFrame, right: DataFrame, on: str, left_group: str, right_group: str

@@ -3,16 +3,67 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text import tokens
+from sparkloom.operators.sizes import broadcast_if_small
 
 # Values one list should hold. A key with more of them gets several lists.
 LIST_SIZE = 65_536
 
 
+def long_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Keys with more than ``rows`` rows, and how many: (keys, size).
+
+    Counted from the key columns alone and kept, as callers measure the result
+    before they join it.
+    """
+    return (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("size"))
+        .filter(F.col("size") > rows)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+
+
+def _whole_lists(rows: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
+    # An array around each value keeps NULLs, which collect_list leaves out.
+    values = F.flatten(F.collect_list(F.array(value)))
+    return (
+        rows.groupBy(*keys)
+        .agg(F.array_sort(values).alias(alias))
+        .select(*keys, F.lit(0).alias("chunk"), alias)
+    )
+
+
+def _cut_lists(
+    rows: DataFrame, keys: Sequence[str], value: str, alias: str, list_size: int
+) -> DataFrame:
+    # Copies are counted before anything moves, and a value with more copies
+    # than a list holds is cut in pieces. Then (value, piece) is spread by hash.
+    copies = rows.groupBy(*keys, "size", F.col(value).alias("_value")).agg(
+        F.count("*").alias("_copies")
+    )
+    last_piece = F.expr(f"(_copies - 1) div {list_size}")
+    pieces = copies.withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece))
+    ).withColumn(
+        "_times", F.least(F.col("_copies") - F.col("_piece") * list_size, F.lit(list_size))
+    )
+    chunk = F.pmod(F.xxhash64("_value", "_piece"), F.ceil(F.col("size") / list_size))
+    values = F.flatten(F.collect_list(F.array_repeat("_value", F.col("_times").cast("int"))))
+    return (
+        pieces.groupBy(*keys, chunk.cast("int").alias("chunk"))
+        .agg(F.array_sort(values).alias(alias))
+        .select(*keys, "chunk", alias)
+    )
+
+
 def group_values(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -22,48 +73,24 @@ def group_values(
 ) -> DataFrame:
     """All values of each key as sorted lists: (keys, chunk, values).
 
-    A key with up to ``list_size`` values has one row, ``chunk`` 0. A larger
-    one has as many rows as it takes, so that no task ever holds the whole
-    group; the lists of a key together hold each of its values as often as the
-    input does, NULLs included. ``list_size`` is a target which the spread by
-    hash may pass by a small factor.
+    A key with up to ``list_size`` values has one row, ``chunk`` 0, from a
+    plain grouping. A longer one has as many rows as it takes, so that no task
+    ever holds the whole group; its lists together hold each of its values as
+    often as the input does, NULLs included. There ``list_size`` is a target,
+    which the spread by hash may pass by a small factor.
 
-    Copies are counted before anything moves, so a value that repeats without
-    end costs one row per map task. Only the few over-long keys are joined
-    back, a side that shrinks as ``list_size`` grows.
+    The keys are counted first, in a job of its own that reads them only.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    copies = df.groupBy(*keys, F.col(value).alias("_value")).agg(F.count("*").alias("_copies"))
-
-    long_keys = (
-        copies.groupBy(*keys)
-        .agg(F.sum("_copies").alias("_size"))
-        .filter(F.col("_size") > list_size)
-        .select(
-            *[F.col(k).alias(f"_long_{k}") for k in keys],
-            F.ceil(F.col("_size") / list_size).alias("_chunks"),
-        )
-    )
-    same_key = F.lit(True)
-    for k in keys:
-        same_key = same_key & F.col(k).eqNullSafe(F.col(f"_long_{k}"))
-
-    last_piece = F.expr(f"(_copies - 1) div {list_size}")
-    pieces = copies.withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece))
-    ).withColumn(
-        "_times", F.least(F.col("_copies") - F.col("_piece") * list_size, F.lit(list_size))
-    )
-    spread = F.pmod(F.xxhash64("_value", "_piece"), F.col("_chunks"))
-    return (
-        pieces.join(long_keys, same_key, "left")
-        .withColumn("chunk", F.coalesce(spread, F.lit(0)).cast("int"))
-        .groupBy(*keys, "chunk")
-        .agg(
-            F.array_sort(
-                F.flatten(F.collect_list(F.array_repeat("_value", F.col("_times").cast("int"))))
-            ).alias(alias)
-        )
+    longs = long_keys(df, keys, list_size)
+    if longs.count() == 0:
+        return _whole_lists(df, keys, value, alias)
+
+    longs = broadcast_if_small(longs.withColumnsRenamed({k: f"_long_{k}" for k in keys}))
+    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_long_{k}")) for k in keys])
+    rows = df.select(*dict.fromkeys([*keys, value]))
+    return _whole_lists(rows.join(longs, same_key, "left_anti"), keys, value, alias).unionByName(
+        _cut_lists(rows.join(longs, same_key), keys, value, alias, list_size)
     )
 
 

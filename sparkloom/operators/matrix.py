@@ -82,20 +82,6 @@ def block_grid(blocks: DataFrame) -> DataFrame:
     )
 
 
-def _dense(batch: pa.RecordBatch, at: str, values: str, height: int, width: int):
-    """The blocks of a batch as one array each of values and of presence."""
-    places = batch.column(at)
-    counts = np.diff(places.offsets.to_numpy())
-    block = np.repeat(np.arange(batch.num_rows), counts)
-    place = places.flatten().to_numpy()
-    value = np.zeros((batch.num_rows, height * width))
-    present = np.zeros((batch.num_rows, height * width), dtype=np.float32)
-    value[block, place] = batch.column(values).flatten().to_numpy()
-    present[block, place] = 1
-    shape = (batch.num_rows, height, width)
-    return value.reshape(shape), present.reshape(shape)
-
-
 def block_multiply(
     left: DataFrame, right: DataFrame, rows: int = BLOCK, inner: int = BLOCK, cols: int = BLOCK
 ) -> DataFrame:
@@ -113,12 +99,26 @@ def block_multiply(
         F.col("bi").alias("bk"), "bj", F.col("at").alias("right_at"), F.col("v").alias("right_v")
     )
 
+    # Nested, so that it travels to the workers with the job.
+    def dense(batch: pa.RecordBatch, at: str, values: str, height: int, width: int):
+        """The blocks of a batch as one array each of values and of presence."""
+        places = batch.column(at)
+        counts = np.diff(places.offsets.to_numpy())
+        block = np.repeat(np.arange(batch.num_rows), counts)
+        place = places.flatten().to_numpy()
+        value = np.zeros((batch.num_rows, height * width))
+        present = np.zeros((batch.num_rows, height * width), dtype=np.float32)
+        value[block, place] = batch.column(values).flatten().to_numpy()
+        present[block, place] = 1
+        shape = (batch.num_rows, height, width)
+        return value.reshape(shape), present.reshape(shape)
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, PAIRS_AT_ONCE):
                 batch = whole.slice(start, PAIRS_AT_ONCE)
-                left_v, left_p = _dense(batch, "left_at", "left_v", rows, inner)
-                right_v, right_p = _dense(batch, "right_at", "right_v", inner, cols)
+                left_v, left_p = dense(batch, "left_at", "left_v", rows, inner)
+                right_v, right_p = dense(batch, "right_at", "right_v", inner, cols)
                 targets = np.column_stack(
                     [batch.column("bi").to_numpy(), batch.column("bj").to_numpy()]
                 )

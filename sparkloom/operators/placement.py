@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,9 +50,16 @@ def distribute_by(
     if not split_hot:
         return df.repartition(*keys)
     columns = df.columns
-    pieces = df.join(F.broadcast(hot_keys(df, keys, one_in)), keys, "left")
+    hot = hot_keys(df, keys, one_in).withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    # Rows without a key belong together too, and may be the most.
+    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
     piece = F.coalesce(F.pmod(F.xxhash64(*columns), F.col("_pieces")), F.lit(0))
-    return pieces.withColumn("_piece", piece).repartition(*keys, "_piece").select(*columns)
+    return (
+        df.join(F.broadcast(hot), same_key, "left")
+        .withColumn("_piece", piece)
+        .repartition(*keys, "_piece")
+        .select(*columns)
+    )
 
 
 def cluster_by(

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.operators import placement
-from sparkloom.operators.joins import broadcast_if_small
 from sparkloom.operators.keyed import average_state, finish_average, merge_average_state
+from sparkloom.operators.sizes import broadcast_if_small
 from sparkloom.plans.registry import query
 from sparkloom.sources.files import read_table
 
