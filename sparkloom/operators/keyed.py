@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.functions.numbers import exact_sum
 from sparkloom.functions.text import tokens
 from sparkloom.operators.sizes import broadcast_if_small
 
@@ -131,11 +132,17 @@ def average_state(
     value: str | Column,
     total: str = "total",
     n: str = "n",
+    scale: int | None = None,
 ) -> DataFrame:
-    """(sum, count) of a value by key: what an average needs, and can be merged."""
+    """(sum, count) of a value by key: what an average needs, and can be merged.
+
+    With ``scale`` the value has at most that many decimals and its sum is an
+    exact decimal.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     value = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(*keys).agg(F.sum(value).alias(total), F.count(value).alias(n))
+    sum_ = F.sum(value) if scale is None else exact_sum(value, scale)
+    return df.groupBy(*keys).agg(sum_.alias(total), F.count(value).alias(n))
 
 
 def merge_average_state(

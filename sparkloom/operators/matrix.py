@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 64
-# Block pairs multiplied in one numpy call; bounds a Python worker's memory.
-PAIRS_AT_ONCE = 128
+# Cells multiplied in one numpy call, and cells of output blocks a Python worker
+# adds to before it sends them on; both bound its memory.
+CELLS_AT_ONCE = 1 << 19
+CELLS_HELD = 1 << 22
 
 
 def dense_to_coo(df: DataFrame, row: str, values: str) -> DataFrame:
@@ -45,13 +47,18 @@ def coo_multiply(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def to_blocks(coo: DataFrame, rows: int = BLOCK, cols: int = BLOCK) -> DataFrame:
+def to_blocks(
+    coo: DataFrame, rows: int = BLOCK, cols: int = BLOCK, unique: bool = False
+) -> DataFrame:
     """Blocks (bi, bj, at, v) of rows by cols cells, for the cells there are.
 
     ``at`` is a cell's place in its block, counted row by row. Repeated cells
-    are added up first, so a block has at most rows * cols entries.
+    are added up first, so a block has at most rows * cols entries; ``unique``
+    says that there are none and saves the shuffle.
     """
-    cells = coo.groupBy("i", "j").agg(F.sum(F.col("v").cast("double")).alias("v"))
+    cells = coo.select("i", "j", F.col("v").cast("double").alias("v"))
+    if not unique:
+        cells = cells.groupBy("i", "j").agg(F.sum("v").alias("v"))
     place = (F.col("i") % rows * cols + F.col("j") % cols).cast("int")
     return (
         cells.groupBy(F.expr(f"i div {rows}").alias("bi"), F.expr(f"j div {cols}").alias("bj"))
@@ -83,7 +90,12 @@ def block_grid(blocks: DataFrame) -> DataFrame:
 
 
 def block_multiply(
-    left: DataFrame, right: DataFrame, rows: int = BLOCK, inner: int = BLOCK, cols: int = BLOCK
+    left: DataFrame,
+    right: DataFrame,
+    rows: int = BLOCK,
+    inner: int = BLOCK,
+    cols: int = BLOCK,
+    unique: bool = False,
 ) -> DataFrame:
     """Product of two coordinate matrices by blocks, for dense ones.
 
@@ -92,50 +104,65 @@ def block_multiply(
     Against ``coo_multiply`` the join carries one row for each pair of blocks
     instead of one for each multiplication. The result has the same rows.
     """
-    lefts = to_blocks(left, rows, inner).select(
+    lefts = to_blocks(left, rows, inner, unique).select(
         "bi", F.col("bj").alias("bk"), F.col("at").alias("left_at"), F.col("v").alias("left_v")
     )
-    rights = to_blocks(right, inner, cols).select(
+    rights = to_blocks(right, inner, cols, unique).select(
         F.col("bi").alias("bk"), "bj", F.col("at").alias("right_at"), F.col("v").alias("right_v")
     )
 
-    # Nested, so that it travels to the workers with the job.
+    pairs_at_once = max(1, CELLS_AT_ONCE // max(rows * inner, inner * cols, rows * cols))
+    blocks_held = max(pairs_at_once, CELLS_HELD // (rows * cols))
+
+    # Nested, so that they travel to the workers with the job.
     def dense(batch: pa.RecordBatch, at: str, values: str, height: int, width: int):
         """The blocks of a batch as one array each of values and of presence."""
         places = batch.column(at)
-        counts = np.diff(places.offsets.to_numpy())
-        block = np.repeat(np.arange(batch.num_rows), counts)
-        place = places.flatten().to_numpy()
-        value = np.zeros((batch.num_rows, height * width))
-        present = np.zeros((batch.num_rows, height * width), dtype=np.float32)
-        value[block, place] = batch.column(values).flatten().to_numpy()
-        present[block, place] = 1
+        size = height * width
+        block = np.repeat(np.arange(batch.num_rows), np.diff(places.offsets.to_numpy()))
+        place = block * size + places.flatten().to_numpy()
+        weights = batch.column(values).flatten().to_numpy()
+        value = np.bincount(place, weights, batch.num_rows * size)
+        present = np.zeros(batch.num_rows * size, dtype=np.float32)
+        present[place] = 1
         shape = (batch.num_rows, height, width)
         return value.reshape(shape), present.reshape(shape)
 
+    def cells(targets: np.ndarray, value: np.ndarray, present: np.ndarray) -> pa.RecordBatch:
+        block, row, col = np.nonzero(present)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(targets[block, 0] * rows + row),
+                pa.array(targets[block, 1] * cols + col),
+                pa.array(value[block, row, col]),
+            ],
+            ["i", "j", "v"],
+        )
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds up a task's products by output block, in bounded memory."""
+        held: dict[tuple[int, int], int] = {}
+        value = np.zeros((blocks_held, rows, cols))
+        present = np.zeros((blocks_held, rows, cols), dtype=bool)
         for whole in batches:
-            for start in range(0, whole.num_rows, PAIRS_AT_ONCE):
-                batch = whole.slice(start, PAIRS_AT_ONCE)
+            for start in range(0, whole.num_rows, pairs_at_once):
+                batch = whole.slice(start, pairs_at_once)
+                if len(held) + batch.num_rows > blocks_held:
+                    yield cells(np.array(list(held)), value[: len(held)], present[: len(held)])
+                    value[: len(held)] = 0
+                    present[: len(held)] = False
+                    held = {}
                 left_v, left_p = dense(batch, "left_at", "left_v", rows, inner)
                 right_v, right_p = dense(batch, "right_at", "right_v", inner, cols)
-                targets = np.column_stack(
-                    [batch.column("bi").to_numpy(), batch.column("bj").to_numpy()]
-                )
-                targets, target = np.unique(targets, axis=0, return_inverse=True)
-                value = np.zeros((len(targets), rows, cols))
-                present = np.zeros((len(targets), rows, cols), dtype=np.float32)
-                np.add.at(value, target.ravel(), left_v @ right_v)
-                np.add.at(present, target.ravel(), left_p @ right_p)
-                block, row, col = np.nonzero(present)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(targets[block, 0] * rows + row),
-                        pa.array(targets[block, 1] * cols + col),
-                        pa.array(value[block, row, col]),
-                    ],
-                    ["i", "j", "v"],
-                )
+                products = left_v @ right_v
+                touched = left_p @ right_p > 0
+                targets = zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist())
+                for pair, target in enumerate(targets):
+                    slot = held.setdefault(target, len(held))
+                    value[slot] += products[pair]
+                    present[slot] |= touched[pair]
+        if held:
+            yield cells(np.array(list(held)), value[: len(held)], present[: len(held)])
 
     return (
         lefts.join(rights, "bk")

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.functions.numbers import from_units, whole_units
 from sparkloom.operators.matrix import coo_multiply, transpose
 
 
@@ -22,21 +23,30 @@ def gram_join(coo: DataFrame) -> DataFrame:
     return coo_multiply(transpose(coo), coo)
 
 
+def _product_sum(a: Column, b: Column, scale: int | None) -> Column:
+    if scale is None:
+        return F.sum(a * b).cast("double")
+    units = (whole_units(a, scale) * whole_units(b, scale)).cast("decimal(20,0)")
+    return from_units(F.sum(units), 2 * scale).cast("double")
+
+
 def _cell(i: int, j: int, value: Column) -> Column:
     return F.struct(
-        F.lit(i).cast("bigint").alias("i"),
-        F.lit(j).cast("bigint").alias("j"),
-        value.cast("double").alias("v"),
+        F.lit(i).cast("bigint").alias("i"), F.lit(j).cast("bigint").alias("j"), value.alias("v")
     )
 
 
-def gram(df: DataFrame, features: dict[str, Column]) -> DataFrame:
-    """X'X as cells (i, j, v), each product summed once for both triangles."""
+def gram(df: DataFrame, features: dict[str, Column], scale: int | None = None) -> DataFrame:
+    """X'X as cells (i, j, v), each product summed once for both triangles.
+
+    With ``scale`` the features have at most that many decimals and the sums
+    do not depend on the order of the rows.
+    """
     columns = list(features.values())
     k = len(columns)
     sums = df.agg(
         *[
-            F.sum(columns[a] * columns[b]).alias(f"s{a}_{b}")
+            _product_sum(columns[a], columns[b], scale).alias(f"s{a}_{b}")
             for a in range(k)
             for b in range(a, k)
         ]
@@ -47,14 +57,21 @@ def gram(df: DataFrame, features: dict[str, Column]) -> DataFrame:
     return sums.select(F.inline(F.array(*cells)))
 
 
-def xty(df: DataFrame, features: dict[str, Column], target: Column) -> DataFrame:
+def xty(
+    df: DataFrame, features: dict[str, Column], target: Column, scale: int | None = None
+) -> DataFrame:
     """X'y as (i, v)."""
-    sums = df.agg(*[F.sum(c * target).alias(f"s{i}") for i, c in enumerate(features.values())])
-    cells = [_cell(i, 0, F.col(f"s{i}")) for i in range(len(features))]
+    columns = list(features.values())
+    sums = df.agg(
+        *[_product_sum(c, target, scale).alias(f"s{i}") for i, c in enumerate(columns)]
+    )
+    cells = [_cell(i, 0, F.col(f"s{i}")) for i in range(len(columns))]
     return sums.select(F.inline(F.array(*cells))).select("i", "v")
 
 
-def ols(df: DataFrame, features: dict[str, Column], target: Column) -> DataFrame:
+def ols(
+    df: DataFrame, features: dict[str, Column], target: Column, scale: int | None = None
+) -> DataFrame:
     """theta = pinv(X'X) X'y as (term, theta), one row per feature.
 
     Rows with a NULL in a feature or the target are left out. One task solves
@@ -63,14 +80,15 @@ def ols(df: DataFrame, features: dict[str, Column], target: Column) -> DataFrame
     names = list(features)
     k = len(names)
     x = [F.col(f"x{i}") for i in range(k)]
+    y = F.col("y")
     rows = df.select(
         *[c.alias(f"x{i}") for i, c in enumerate(features.values())], target.alias("y")
     ).dropna()
     upper = [(a, b) for a in range(k) for b in range(a, k)]
     sums = rows.agg(
         F.count("*").alias("n"),
-        F.array(*[F.sum(x[a] * x[b]).cast("double") for a, b in upper]).alias("gram"),
-        F.array(*[F.sum(c * F.col("y")).cast("double") for c in x]).alias("xty"),
+        F.array(*[_product_sum(x[a], x[b], scale) for a, b in upper]).alias("gram"),
+        F.array(*[_product_sum(c, y, scale) for c in x]).alias("xty"),
     ).filter("n > 0")
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -157,11 +157,11 @@ def comparable_price_avg(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_type").alias("model"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("engine_size"),
     )
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
     sales = average_state(
         read_table(spark, folder, "lineitem").withColumnRenamed("l_partkey", "registration"),
         "registration",
-        price,
+        "l_extendedprice",
+        scale=2,
     )
     return band_average(
         cars,

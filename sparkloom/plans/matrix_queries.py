@@ -106,8 +106,8 @@ def _cells_sql(columns: list[str], table: str) -> str:
     )
 
 
-def _decimals(*columns: str) -> dict[str, Column]:
-    return {c: F.expr(c).cast("decimal(18,2)") for c in columns}
+def _features(columns: list[str]) -> dict[str, Column]:
+    return {c: F.expr(c) for c in columns}
 
 
 PART_FEATURES = ["1", "p_size", "p_retailprice"]
@@ -116,16 +116,16 @@ LINE_FEATURES = ["1", "l_quantity", "l_discount"]
 
 @query(_cells_sql(PART_FEATURES, "part"))
 def gram_join(spark: SparkSession, folder: str) -> DataFrame:
-    rows = read_table(spark, folder, "part").select(
-        "p_partkey", F.array(*_decimals(*PART_FEATURES).values()).alias("x")
-    )
+    decimals = [c.cast("decimal(18,2)") for c in _features(PART_FEATURES).values()]
+    rows = read_table(spark, folder, "part").select("p_partkey", F.array(*decimals).alias("x"))
     x = matrix.dense_to_coo(rows, "p_partkey", "x")
     return regression.gram_join(x).withColumn("v", F.col("v").cast("double"))
 
 
 @query(_cells_sql(LINE_FEATURES, "lineitem"))
 def gram_outer(spark: SparkSession, folder: str) -> DataFrame:
-    return regression.gram(read_table(spark, folder, "lineitem"), _decimals(*LINE_FEATURES))
+    lineitem = read_table(spark, folder, "lineitem")
+    return regression.gram(lineitem, _features(LINE_FEATURES), scale=2)
 
 
 @query(" UNION ALL ".join(
@@ -134,10 +134,8 @@ def gram_outer(spark: SparkSession, folder: str) -> DataFrame:
     for i, c in enumerate(LINE_FEATURES)
 ))
 def xty(spark: SparkSession, folder: str) -> DataFrame:
-    target = F.col("l_extendedprice").cast("decimal(18,2)")
-    return regression.xty(
-        read_table(spark, folder, "lineitem"), _decimals(*LINE_FEATURES), target
-    )
+    lineitem = read_table(spark, folder, "lineitem")
+    return regression.xty(lineitem, _features(LINE_FEATURES), F.col("l_extendedprice"), scale=2)
 
 
 @query("""
@@ -152,10 +150,7 @@ def xty(spark: SparkSession, folder: str) -> DataFrame:
     UNION ALL SELECT 'intercept', round((sy - slope * sx) / n, 6) FROM t
 """)
 def ols_theta(spark: SparkSession, folder: str) -> DataFrame:
-    features = {
-        "intercept": F.lit(1).cast("decimal(18,2)"),
-        "l_quantity": F.col("l_quantity").cast("decimal(18,2)"),
-    }
-    target = F.col("l_extendedprice").cast("decimal(18,2)")
-    theta = regression.ols(read_table(spark, folder, "lineitem"), features, target)
+    features = {"intercept": F.lit(1), "l_quantity": F.col("l_quantity")}
+    lineitem = read_table(spark, folder, "lineitem")
+    theta = regression.ols(lineitem, features, F.col("l_extendedprice"), scale=2)
     return theta.withColumn("theta", F.round("theta", 6))

@@ -110,7 +110,7 @@ def skew_join_avg(spark: SparkSession, folder: str) -> DataFrame:
         "l_extendedprice",
     )
     matched = lines.join(supplier, "s_suppkey").filter("l_extendedprice > 5 * s_acctbal")
-    state = average_state(matched, "s_nationkey", F.col("l_extendedprice").cast("decimal(18,2)"))
+    state = average_state(matched, "s_nationkey", "l_extendedprice", scale=2)
     return state.select("s_nationkey", finish_average().alias("average_price"))
 
 

@@ -1,30 +1,16 @@
 """Physical plans: what is pushed down, broadcast, merged and split."""
 
-import contextlib
-
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from sparkloom.operators import placement
 from sparkloom.session import scratch_dir
+from spark_settings import settings
 
 FOLDER = "/root/testdata/sf0.01"
 
 
-@contextlib.contextmanager
-def settings(spark, **values):
-    values = {"spark.sql." + k.replace("__", "."): v for k, v in values.items()}
-    old = {k: spark.conf.get(k, None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def final_plan(df):
     """The plan after the action, as AQE left it."""
     df.collect()

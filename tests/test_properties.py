@@ -68,8 +68,18 @@ def test_block_product_is_numpys(spark, rows, inner, cols):
     a = generated.random_coo(spark, 128, 100, seed=1)
     b = generated.random_coo(spark, 100, 70, seed=2)
     expected = dense(a, 128, 100) @ dense(b, 100, 70)
-    found = dense(matrix.block_multiply(a, b, rows, inner, cols), 128, 70)
-    np.testing.assert_allclose(found, expected, rtol=1e-9)
+    for unique in (False, True):
+        found = dense(matrix.block_multiply(a, b, rows, inner, cols, unique), 128, 70)
+        np.testing.assert_allclose(found, expected, rtol=1e-9)
+
+
+def test_block_product_of_more_blocks_than_a_worker_holds(spark, monkeypatch):
+    monkeypatch.setattr(matrix, "CELLS_AT_ONCE", 64)
+    monkeypatch.setattr(matrix, "CELLS_HELD", 128)
+    a = generated.random_coo(spark, 60, 50, seed=1)
+    b = generated.random_coo(spark, 50, 40, seed=2)
+    found = dense(matrix.block_multiply(a, b, 4, 4, 4), 60, 40)
+    np.testing.assert_allclose(found, dense(a, 60, 50) @ dense(b, 50, 40), rtol=1e-9)
 
 
 def test_sparse_product_keeps_absent_cells_absent(spark):
@@ -83,7 +93,9 @@ def test_sparse_product_keeps_absent_cells_absent(spark):
         return spark.createDataFrame(cells + cells[:5], "i bigint, j bigint, v double")
 
     a, b = sparse(150, 90), sparse(90, 110)
-    assert bag(matrix.coo_multiply(a, b)) == bag(matrix.block_multiply(a, b, 32, 32, 32))
+    expected = bag(matrix.coo_multiply(a, b))
+    assert bag(matrix.block_multiply(a, b, 32, 32, 32)) == expected
+    assert bag(matrix.block_multiply(a, b, 32, 32, 32, unique=True)) == expected
 
 
 def test_block_grid_of_a_1024_matrix(spark):
