@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.operators.keyed import sum_by_key
+from sparkloom.functions.text import parse_fields
+from sparkloom.operators.keyed import average_state, finish_average, sum_by_key
 from sparkloom.plans.registry import query
 from sparkloom.session import scratch_dir
 from sparkloom.sources import files, generated
@@ -23,6 +24,41 @@ def text_source_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.groupBy("line").agg(F.count("*").alias("copies"))
 
 
+def _text_lines(spark: SparkSession, rows: DataFrame, *columns: str) -> DataFrame:
+    """The columns as a text file of comma-separated lines, read back."""
+    lines = rows.select(F.concat_ws(",", *columns).alias("line"))
+    return files.read_text_lines(
+        spark, files.write_text_lines(lines, "line", scratch_dir(spark, "text"))
+    )
+
+
+@query("SELECT l_suppkey AS k, avg(l_quantity) AS average FROM lineitem GROUP BY l_suppkey")
+def text_avg_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    lineitem = read_table(spark, folder, "lineitem")
+    lines = _text_lines(spark, lineitem, "l_suppkey", "l_quantity")
+    pairs = parse_fields(lines, "value", {"k": "bigint", "v": "double"})
+    return average_state(pairs, "k", "v").select("k", finish_average().alias("average"))
+
+
+@query("""
+    SELECT c_name || ' ' || n_name AS names FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
+def text_emp_dept_names(spark: SparkSession, folder: str) -> DataFrame:
+    employees = _text_lines(
+        spark, read_table(spark, folder, "customer"), "c_name", "c_nationkey", "c_acctbal"
+    )
+    departments = _text_lines(
+        spark, read_table(spark, folder, "nation"), "n_name", "n_nationkey"
+    )
+    employees = parse_fields(
+        employees, "value", {"name": "string", "dno": "int", "address": "string"}
+    )
+    departments = parse_fields(departments, "value", {"dept": "string", "dno": "int"})
+    return employees.join(departments, "dno").select(
+        F.concat_ws(" ", "name", "dept").alias("names")
+    )
+
+
 @query("""
     SELECT cast(l_suppkey AS varchar) AS _c0, cast(l_quantity AS varchar) AS _c1 FROM lineitem
 """)

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from sparkloom.functions.numbers import exact_sum
 from sparkloom.operators import joins, keyed, placement, sizes
 from spark_settings import settings
 
@@ -179,3 +180,47 @@ def test_broadcast_only_below_the_limit(spark):
     assert "strategy=broadcast" in plan(sizes.broadcast_if_small(df))
     assert "strategy=broadcast" not in plan(sizes.broadcast_if_small(df, max_rows=999))
     assert "strategy=broadcast" not in plan(sizes.broadcast_if_small(df, max_bytes=10_000))
+
+
+def test_band_average_of_one_hot_cell(spark):
+    # Joined row by row this would be 40 billion pairs.
+    left = spark.range(200_000).select(
+        "id", F.lit("m").alias("model"), F.lit(Decimal("1.00")).alias("size")
+    )
+    right = spark.range(200_000).select(
+        F.lit("m").alias("model"),
+        F.lit(Decimal("1.05")).alias("size"),
+        (F.col("id") % 3).cast("decimal(18,2)").alias("price"),
+    )
+    state = keyed.average_state(right, ["model", "size"], "price")
+    found = joins.band_average(left, state, ["model"], "size", "0.1", "id")
+    n, low, high = found.agg(F.count("*"), F.min("average"), F.max("average")).first()
+    expected = sum(i % 3 for i in range(200_000)) / 200_000
+    assert (n, low, high) == (200_000, pytest.approx(expected), pytest.approx(expected))
+
+
+def test_pair_counts_of_one_hot_key(spark):
+    rows = spark.range(200_000).select(F.lit("t").alias("t"), (F.col("id") % 2).alias("g"))
+    found = joins.pair_counts(rows, rows.withColumnRenamed("g", "h"), "t", "g", "h").collect()
+    assert {(r["g"], r["h"]): r["pairs"] for r in found} == {
+        (g, h): 100_000**2 for g in (0, 1) for h in (0, 1)
+    }
+
+
+def test_million_values_of_one_key(spark):
+    rows = spark.range(1_000_000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    groups = keyed.group_values(rows, "k", "v")
+    lists, longest, values, total = groups.select(
+        F.size("values").alias("n"), F.aggregate("values", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("s")
+    ).agg(F.count("*"), F.max("n"), F.sum("n"), F.sum("s")).first()
+    assert lists == 16 and longest < 2 * keyed.LIST_SIZE
+    assert (values, total) == (1_000_000, 999_999 * 500_000)
+
+
+def test_exact_sum_does_not_depend_on_the_order(spark):
+    rng = random.Random(9)
+    cents = [rng.randrange(-10**9, 10**9) for _ in range(5000)]
+    df = spark.createDataFrame([(c / 100,) for c in cents] + [(None,)], "x double")
+    for parts in (1, 7):
+        total = df.repartition(parts).agg(exact_sum(F.col("x")).alias("s")).first()["s"]
+        assert total == Decimal(sum(cents)) / 100
