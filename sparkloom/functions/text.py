@@ -21,10 +21,9 @@ def tokens(line: Column, delimiter: str = " ") -> Column:
     of delimiters alone has no token, while an empty line has one empty token.
     """
     kept = F.rtrim(line, F.lit(delimiter))
-    return (
-        F.when(line == "", F.array(F.lit("")))
-        .when(kept == "", F.array().cast("array<string>"))
-        .otherwise(F.split(kept, re.escape(delimiter)))
+    no_tokens = F.array().cast("array<string>")
+    return F.when((kept == "") & (line != ""), no_tokens).otherwise(
+        F.split(kept, re.escape(delimiter))
     )
 
 

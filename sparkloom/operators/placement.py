@@ -6,11 +6,14 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one row in this many.
+# A key is hot when it holds more than one row in this many, and more rows than
+# one task should take anyway.
 HOT_ONE_IN = 1_000
+HOT_ROWS = 1_000_000
 
 
 def place_by_key(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
@@ -23,50 +26,85 @@ def place_by_key(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     return df.repartition(partitions, *keys)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], one_in: int = HOT_ONE_IN) -> DataFrame:
-    """Keys above one row in ``one_in``, with the pieces to cut them into.
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], one_in: int = HOT_ONE_IN, min_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Keys above one row in ``one_in`` and above ``min_rows`` rows: (keys, rows, pieces).
 
-    There are fewer than ``one_in`` such keys whatever the data, each holding
-    more than that share of the rows, so the result may be broadcast.
+    ``pieces`` is the number of such shares a key holds, rounded up. There are
+    fewer than ``one_in`` hot keys whatever the data, so the result may be
+    broadcast.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    all_rows = sizes.agg(F.sum("_rows").alias("_all")).scalar()
-    return sizes.filter(F.col("_rows") * one_in > all_rows).select(
-        *keys, F.ceil(F.col("_rows") * one_in / all_rows).alias("_pieces")
-    )
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("rows"))
+    all_rows = sizes.agg(F.sum("rows").alias("n")).scalar()
+    share = F.greatest(all_rows / one_in, F.lit(float(min_rows)))
+    return sizes.filter(F.col("rows") > share).withColumn("pieces", F.ceil(F.col("rows") / share))
 
 
 def distribute_by(
-    df: DataFrame, keys: Sequence[str], split_hot: bool = True, one_in: int = HOT_ONE_IN
+    df: DataFrame,
+    keys: Sequence[str],
+    split_hot: bool = True,
+    one_in: int = HOT_ONE_IN,
+    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows of a key together, as DISTRIBUTE BY does; hot keys cut into pieces.
 
-    With ``split_hot`` a key above one row in ``one_in`` is spread over as many
-    pieces as it has such shares, by a hash of the row, so that no task gets
-    more than a share of one key. Copies of one and the same row stay together.
-    Without it, all rows of each key share a partition.
+    The keys are counted first, in a job of its own that reads them only.
+    Without a hot key, or without ``split_hot``, all rows of each key share a
+    partition. A hot key's rows are spread over its pieces by a hash of the
+    row. Copies of a row are counted before, and move as rows with a number,
+    cut where they are more than a piece, so that they spread as well.
     """
     keys = list(keys)
     if not split_hot:
         return df.repartition(*keys)
+    hot = hot_keys(df, keys, one_in, min_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    if hot.count() == 0:
+        return df.repartition(*keys)
+
     columns = df.columns
-    hot = hot_keys(df, keys, one_in).withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    hot = F.broadcast(
+        hot.select(
+            *[F.col(k).alias(f"_hot_{k}") for k in keys],
+            F.col("pieces").alias("_pieces"),
+            F.ceil(F.col("rows") / F.col("pieces")).alias("_piece_rows"),
+        )
+    )
     # Rows without a key belong together too, and may be the most.
     same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    piece = F.coalesce(F.pmod(F.xxhash64(*columns), F.col("_pieces")), F.lit(0))
-    return (
-        df.join(F.broadcast(hot), same_key, "left")
-        .withColumn("_piece", piece)
-        .repartition(*keys, "_piece")
-        .select(*columns)
+
+    others = df.join(hot, same_key, "left_anti").select(
+        *columns, F.lit(0).cast("bigint").alias("_piece"), F.lit(1).cast("bigint").alias("_times")
+    )
+    counted = (
+        df.join(hot, same_key)
+        .groupBy(*columns, "_pieces", "_piece_rows")
+        .agg(F.count("*").alias("_copies"))
+    )
+    cuts = counted.withColumn(
+        "_cut", F.explode(F.expr("sequence(0L, (_copies - 1) div _piece_rows)"))
+    )
+    spread = cuts.select(
+        *columns,
+        F.pmod(F.xxhash64(*columns, "_cut"), F.col("_pieces")).alias("_piece"),
+        F.expr("least(_copies - _cut * _piece_rows, _piece_rows)").alias("_times"),
+    )
+    placed = others.unionByName(spread).repartition(*keys, "_piece")
+    return placed.select(*columns, F.explode(F.expr("sequence(1L, _times)")).alias("_copy")).drop(
+        "_copy"
     )
 
 
 def cluster_by(
-    df: DataFrame, keys: Sequence[str], split_hot: bool = True, one_in: int = HOT_ONE_IN
+    df: DataFrame,
+    keys: Sequence[str],
+    split_hot: bool = True,
+    one_in: int = HOT_ONE_IN,
+    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``distribute_by`` and then sorted by the keys inside each partition."""
-    return distribute_by(df, keys, split_hot, one_in).sortWithinPartitions(*keys)
+    return distribute_by(df, keys, split_hot, one_in, min_rows).sortWithinPartitions(*keys)
 
 
 def rows_by_partition(df: DataFrame, key: str) -> DataFrame:

@@ -125,17 +125,20 @@ def test_band_average_against_brute_force(spark, tolerance):
 
 def test_hot_keys_are_few_and_found(spark, skewed):
     df = make(spark, skewed, "k string, v int")
-    hot = {r["k"]: r["_pieces"] for r in placement.hot_keys(df, ["k"], one_in=20).collect()}
+    found = placement.hot_keys(df, ["k"], one_in=20, min_rows=0).collect()
+    hot = {r["k"]: (r["rows"], r["pieces"]) for r in found}
     assert set(hot) == {"hot", "copies", None, "gaps"}
-    assert len(hot) < 20
-    assert hot["hot"] == -(-1000 * 20 // len(skewed))
+    assert hot["hot"] == (1000, -(-1000 * 20 // len(skewed)))
+    assert placement.hot_keys(df, ["k"], one_in=20, min_rows=1000).count() == 0
 
 
 def test_distribute_by_splits_hot_keys_only(spark):
     rows = [("hot", i) for i in range(2000)] + [(None, i) for i in range(1000)]
-    rows += [(f"k{i % 300}", i) for i in range(3000)]
+    rows += [("copies", 1)] * 2000 + [(f"k{i % 300}", i) for i in range(3000)]
+    rows += [("k5", 5)] * 3
     df = make(spark, rows, "k string, v int")
-    placed = placement.distribute_by(df, ["k"], one_in=20)
+    placed = placement.distribute_by(df, ["k"], one_in=20, min_rows=0)
+    assert placed.columns == ["k", "v"]
     assert Counter(map(tuple, placed.collect())) == Counter(rows)
     by_key = defaultdict(dict)
     # AQE would merge the small partitions of a test into one.
@@ -144,22 +147,24 @@ def test_distribute_by_splits_hot_keys_only(spark):
             placed.withColumn("k", F.coalesce("k", F.lit("none"))), "k"
         ).collect():
             by_key[r["k"]][r["partition"]] = r["rows"]
+    hot = ("hot", "copies", "none")
     assert max(by_key["hot"].values()) < 2000
+    assert max(by_key["copies"].values()) < 2000
     assert max(by_key["none"].values()) < 1000
-    assert all(len(p) == 1 for k, p in by_key.items() if k not in ("hot", "none"))
-
-    whole = placement.distribute_by(df, ["k"], split_hot=False)
-    assert all(
-        r["n"] == 1
-        for r in placement.rows_by_partition(whole, "k").groupBy("k").agg(
-            F.count("*").alias("n")
-        ).collect()
-    )
+    assert all(len(p) == 1 for k, p in by_key.items() if k not in hot)
+
+    for whole in (
+        placement.distribute_by(df, ["k"], split_hot=False),
+        placement.distribute_by(df, ["k"]),
+    ):
+        counts = placement.rows_by_partition(whole, "k").groupBy("k").agg(F.count("*").alias("n"))
+        assert all(r["n"] == 1 for r in counts.collect())
+        assert Counter(map(tuple, whole.collect())) == Counter(rows)
 
 
 def test_cluster_by_sorts_within_partitions(spark, skewed):
     df = make(spark, skewed, "k string, v int")
-    clustered = placement.cluster_by(df, ["k"], one_in=20)
+    clustered = placement.cluster_by(df, ["k"], one_in=20, min_rows=0)
     ranked = clustered.select(
         F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at"), "k"
     ).collect()
