@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: what the filter compares with.
 FILTER_ABOVE = 5
 
 

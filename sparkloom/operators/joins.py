@@ -9,6 +9,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.operators.keyed import finish_average, merge_average_state
+from sparkloom.operators.placement import HOT_ONE_IN, HOT_ROWS, hot_keys
+
+
+def join_unique(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    one_in: int = HOT_ONE_IN,
+    min_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Inner join to a side with one row per key, safe against hot keys.
+
+    The left keys are counted first, in a job of its own. Rows of hot keys then
+    meet a broadcast of the right rows of these keys, fewer than ``one_in``,
+    and are not shuffled; all others join as usual. AQE alone does not do
+    here: it splits a skewed side only where both sides come straight out of a
+    shuffle, and an aggregated right side does not.
+    """
+    on = list(on)
+    hot = hot_keys(left, on, one_in, min_rows)
+    if hot is None:
+        return left.join(right, on)
+    hot = F.broadcast(hot.select(*on))
+    few = F.broadcast(right.join(hot, on, "left_semi"))
+    return left.join(few, on).unionByName(left.join(hot, on, "left_anti").join(right, on))
 
 
 def pair_counts(
@@ -53,15 +78,15 @@ def band_average(
     right cell standing in each slice its tolerance touches, two of them. So a
     hot key is cut along its band axis, and a slice holds no more cells than a
     slice has decimal steps. The sums then go back to the left rows by equality
-    with one row per cell, which the join broadcasts when small and else
-    splits by size, whatever a cell holds.
+    with one row per cell, hot cells without a shuffle (``join_unique``).
     """
     keys = list(keys)
     near = F.lit(str(tolerance)).cast("decimal(18,6)")
+    width = F.lit(str(2 * Decimal(tolerance) or 1)).cast("decimal(18,6)")
 
     def slice_of(position):
         # Any never-falling function will do: both sides use the same one.
-        return F.floor(position / (near * 2)).cast("bigint")
+        return F.floor(position / width).cast("bigint")
 
     left_cells = left.select(*keys, band).distinct().withColumn("_slice", slice_of(F.col(band)))
     right_cells = (
@@ -69,7 +94,9 @@ def band_average(
         .withColumnRenamed(band, "_other")
         .withColumn(
             "_slice",
-            F.explode(F.sequence(slice_of(F.col("_other") - near), slice_of(F.col("_other") + near))),
+            F.explode(
+                F.sequence(slice_of(F.col("_other") - near), slice_of(F.col("_other") + near))
+            ),
         )
     )
     sums = merge_average_state(
@@ -79,6 +106,7 @@ def band_average(
         [*keys, band],
     )
     return (
-        merge_average_state(left.select(*keys, band, group).join(sums, [*keys, band]), group)
-        .select(group, finish_average().alias(alias))
+        merge_average_state(
+            join_unique(left.select(*keys, band, group), sums, [*keys, band]), group
+        ).select(group, finish_average().alias(alias))
     )

@@ -6,40 +6,25 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.numbers import exact_sum
 from sparkloom.functions.text import tokens
+from sparkloom.operators.placement import long_keys
 from sparkloom.operators.sizes import broadcast_if_small
 
 # Values one list should hold. A key with more of them gets several lists.
 LIST_SIZE = 65_536
 
 
-def long_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """Keys with more than ``rows`` rows, and how many: (keys, size).
-
-    Counted from the key columns alone and kept, as callers measure the result
-    before they join it.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("size"))
-        .filter(F.col("size") > rows)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-
-
 def _whole_lists(rows: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
-    # An array around each value keeps NULLs, which collect_list leaves out.
-    values = F.flatten(F.collect_list(F.array(value)))
-    return (
-        rows.groupBy(*keys)
-        .agg(F.array_sort(values).alias(alias))
-        .select(*keys, F.lit(0).alias("chunk"), alias)
-    )
+    # collect_list leaves out NULLs; they come after the others, as in a sort.
+    nulls = (F.count("*") - F.count(value)).cast("int")
+    no_value = F.lit(None).cast(rows.schema[value].dataType)
+    values = F.concat(F.array_sort(F.collect_list(value)), F.array_repeat(no_value, nulls))
+    lists = rows.groupBy(*keys).agg(values.alias(alias))
+    return lists.select(*keys, F.lit(0).alias("chunk"), alias)
 
 
 def _cut_lists(
@@ -47,7 +32,7 @@ def _cut_lists(
 ) -> DataFrame:
     # Copies are counted before anything moves, and a value with more copies
     # than a list holds is cut in pieces. Then (value, piece) is spread by hash.
-    copies = rows.groupBy(*keys, "size", F.col(value).alias("_value")).agg(
+    copies = rows.groupBy(*keys, "_size", F.col(value).alias("_value")).agg(
         F.count("*").alias("_copies")
     )
     last_piece = F.expr(f"(_copies - 1) div {list_size}")
@@ -56,7 +41,7 @@ def _cut_lists(
     ).withColumn(
         "_times", F.least(F.col("_copies") - F.col("_piece") * list_size, F.lit(list_size))
     )
-    chunk = F.pmod(F.xxhash64("_value", "_piece"), F.ceil(F.col("size") / list_size))
+    chunk = F.pmod(F.xxhash64("_value", "_piece"), F.ceil(F.col("_size") / list_size))
     values = F.flatten(F.collect_list(F.array_repeat("_value", F.col("_times").cast("int"))))
     return (
         pieces.groupBy(*keys, chunk.cast("int").alias("chunk"))

@@ -83,7 +83,7 @@ def invalid_blocks(blocks: DataFrame, rows: int = BLOCK, cols: int = BLOCK) -> D
 
 
 def block_grid(blocks: DataFrame) -> DataFrame:
-    """Row and column blocks of a matrix: (row_blocks, col_blocks)."""
+    """Row and column blocks of a matrix, from its blocks or their layout."""
     return blocks.agg(
         (F.max("bi") + 1).alias("row_blocks"), (F.max("bj") + 1).alias("col_blocks")
     )

@@ -26,19 +26,35 @@ def place_by_key(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     return df.repartition(partitions, *keys)
 
 
+def long_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Keys with more than ``rows`` rows, and how many: (keys, _size).
+
+    Counted from the key columns alone and kept, as callers measure the result
+    before they join it.
+    """
+    return (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("_size"))
+        .filter(F.col("_size") > rows)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], one_in: int = HOT_ONE_IN, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Keys above one row in ``one_in`` and above ``min_rows`` rows: (keys, rows, pieces).
+) -> DataFrame | None:
+    """Keys above one row in ``one_in`` and above ``min_rows`` rows: (keys, _size, _pieces).
 
-    ``pieces`` is the number of such shares a key holds, rounded up. There are
+    ``_pieces`` is the number of such shares a key holds, rounded up. There are
     fewer than ``one_in`` hot keys whatever the data, so the result may be
-    broadcast.
+    broadcast. Without any it is None, found out by one count of the keys.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("rows"))
-    all_rows = sizes.agg(F.sum("rows").alias("n")).scalar()
-    share = F.greatest(all_rows / one_in, F.lit(float(min_rows)))
-    return sizes.filter(F.col("rows") > share).withColumn("pieces", F.ceil(F.col("rows") / share))
+    large = long_keys(df, keys, min_rows)
+    if large.count() == 0:
+        return None
+    share = max(df.count() / one_in, min_rows)
+    hot = large.filter(F.col("_size") > share)
+    return hot.withColumn("_pieces", F.ceil(F.col("_size") / F.lit(share)))
 
 
 def distribute_by(
@@ -59,16 +75,16 @@ def distribute_by(
     keys = list(keys)
     if not split_hot:
         return df.repartition(*keys)
-    hot = hot_keys(df, keys, one_in, min_rows).persist(StorageLevel.MEMORY_AND_DISK)
-    if hot.count() == 0:
+    hot = hot_keys(df, keys, one_in, min_rows)
+    if hot is None:
         return df.repartition(*keys)
 
     columns = df.columns
     hot = F.broadcast(
         hot.select(
             *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            F.col("pieces").alias("_pieces"),
-            F.ceil(F.col("rows") / F.col("pieces")).alias("_piece_rows"),
+            "_pieces",
+            F.ceil(F.col("_size") / F.col("_pieces")).alias("_piece_rows"),
         )
     )
     # Rows without a key belong together too, and may be the most.

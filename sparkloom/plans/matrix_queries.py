@@ -73,7 +73,7 @@ def coo_multiply(spark: SparkSession, folder: str) -> DataFrame:
 @query(PRODUCT_SQL)
 def block_multiply(spark: SparkSession, folder: str) -> DataFrame:
     return matrix.block_multiply(
-        _part_by_supplier(spark, folder), _supplier_by_line(spark, folder)
+        _part_by_supplier(spark, folder), _supplier_by_line(spark, folder), unique=True
     )
 
 
@@ -84,7 +84,7 @@ def block_multiply(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def block_multiply_dense(spark: SparkSession, folder: str) -> DataFrame:
     x = _dense(spark, folder)
-    return matrix.block_multiply(matrix.transpose(x), x)
+    return matrix.block_multiply(matrix.transpose(x), x, unique=True)
 
 
 @query(f"""
@@ -95,6 +95,25 @@ def block_layout(spark: SparkSession, folder: str) -> DataFrame:
     return matrix.block_layout(_part_by_supplier(spark, folder))
 
 
+@query(f"""
+    WITH {SPARSE_SQL}
+    SELECT i // 64 AS bi, j // 64 AS bj, cast(count(*) AS int) AS cells, sum(v) AS total
+    FROM m GROUP BY 1, 2
+""")
+def coo_to_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    blocks = matrix.to_blocks(_part_by_supplier(spark, folder), unique=True)
+    total = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x)
+    return blocks.select("bi", "bj", F.size("at").alias("cells"), total.alias("total"))
+
+
+@query(f"""
+    WITH {SPARSE_SQL}
+    SELECT max(i) // 64 + 1 AS row_blocks, max(j) // 64 + 1 AS col_blocks FROM m
+""")
+def block_grid(spark: SparkSession, folder: str) -> DataFrame:
+    return matrix.block_grid(matrix.block_layout(_part_by_supplier(spark, folder)))
+
+
 def _cells_sql(columns: list[str], table: str) -> str:
     """X'X of the given columns, one select per cell."""
     return " UNION ALL ".join(

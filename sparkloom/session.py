@@ -20,6 +20,27 @@ DEFAULTS = {
 }
 
 
+MB = 1024 * 1024
+TB = 1024 * 1024 * MB
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Partition settings for a job that reads this much.
+
+    A shuffle starts from as many partitions as make 256 MB each, were all
+    input shuffled, since AQE can merge partitions but not add any; 200 at
+    least, and 40,000 at most, where more would cost the driver more than they
+    save (partitions then spill). Scans of more than a terabyte take larger
+    splits to keep the number of tasks down.
+    """
+    partitions = min(max(-(-input_bytes // (256 * MB)), 200), 40_000)
+    split = 128 * MB if input_bytes <= TB else 512 * MB
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def build_session(
     app_name: str = "sparkloom",
     master: str | None = None,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# 26 letters from A as keys, digits as values, cells below ten.
 KEY_COUNT = 26
 VALUE_COUNT = 10
 CELL_MAX = 10

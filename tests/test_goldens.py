@@ -1,4 +1,7 @@
-"""Small literal tables with answers worked out by hand."""
+"""Small literal tables with answers worked out by hand.
+
+The tables and answers are fixed values, those of FIXTURES.md.
+"""
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,7 +14,7 @@ from sparkloom.functions import text
 from sparkloom.functions import user_defined as u
 from sparkloom.operators import keyed, matrix, placement, regression, views
 from sparkloom.plans.source_queries import PEOPLE
-from sparkloom.session import scratch_dir
+from sparkloom.session import TB, scratch_dir, settings_for
 from sparkloom.sources import files, generated
 
 PEOPLE_SCHEMA = "id int, name string, age int, city string"
@@ -219,9 +222,8 @@ def test_empty_array(spark):
 
 
 def test_firsts_of_pairs(spark):
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("n"), F.lit(s).alias("s")) for n, s in [(1, "a"), (2, "b"), (1, "c")]]
-    )
+    data = [(1, "a"), (2, "b"), (1, "c")]
+    pairs = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(s).alias("s")) for n, s in data])
     assert value(spark, c.add_to_firsts(pairs, "n")) == [2, 3, 2]
 
 
@@ -381,7 +383,8 @@ def test_sql_functions(spark):
     views.as_view(generated.id_range(spark, 1, 10), "test")
     found = spark.sql("SELECT * FROM test WHERE one_arg_filter(id)")
     assert rows(found) == [(6,), (7,), (8,), (9,)]
-    assert rows(generated.id_range(spark, 1, 10).filter(u.one_arg_filter(F.col("id")))) == rows(found)
+    by_column = generated.id_range(spark, 1, 10).filter(u.one_arg_filter(F.col("id")))
+    assert rows(by_column) == rows(found)
     assert value(spark, u.plus_one(F.lit(5))) == 6
 
 
@@ -485,6 +488,16 @@ def test_normal_equations_and_theta(spark):
 # Files
 
 
+def test_settings_grow_with_the_input():
+    def partitions(size):
+        return int(settings_for(size)["spark.sql.shuffle.partitions"])
+
+    assert partitions(0) == 200
+    assert partitions(TB) == 4096
+    assert partitions(100 * TB) == 40_000
+    assert settings_for(100 * TB)["spark.sql.files.maxPartitionBytes"] == str(512 * 1024**2)
+
+
 def test_scratch_dir_follows_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_dir(spark, "x")
@@ -492,6 +505,21 @@ def test_scratch_dir_follows_the_session(spark):
     assert shared is None or path.startswith(shared)
 
 
+def test_scratch_dir_of_a_cluster_must_be_shared():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://somewhere"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
+    Session.sparkContext.master = "local[2]"
+    assert scratch_dir(Session(), "x").startswith("/tmp/run-")
+
+
 def test_csv_under_each_schema(spark, people):
     path = files.write_csv(people, scratch_dir(spark, "csv"), header=True)
     strings = files.read_csv_strings(spark, path, header=True)

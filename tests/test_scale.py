@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from sparkloom.functions import collections
 from sparkloom.functions.numbers import exact_sum
 from sparkloom.operators import joins, keyed, placement, sizes
 from spark_settings import settings
@@ -74,10 +75,29 @@ def test_cogroup_of_long_groups(spark, skewed):
     assert "only" in lefts and not lefts["only"]
 
 
+def test_join_unique_splits_off_hot_keys(spark, skewed):
+    left = make(spark, skewed, "k string, v int")
+    names = sorted({k for k, _ in skewed if k} - {"k7"}) + ["nobody"]
+    right = make(spark, [(n, len(n)) for n in names], "k string, w int")
+    expected = Counter(map(tuple, left.join(right, ["k"]).collect()))
+    joined = joins.join_unique(left, right, ["k"], one_in=20, min_rows=0)
+    assert Counter(map(tuple, joined.collect())) == expected
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        joined = joins.join_unique(left, right, ["k"], one_in=20, min_rows=0)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        plan = joins.join_unique(left, right, ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+
+
 def test_pair_counts_are_those_of_the_join(spark):
     rng = random.Random(1)
-    left = [("t0" if rng.random() < 0.4 else f"t{rng.randrange(9)}", rng.choice("abc")) for _ in range(400)]
-    right = [("t0" if rng.random() < 0.4 else f"t{rng.randrange(9)}", rng.choice("xy")) for _ in range(300)]
+
+    def key():
+        return "t0" if rng.random() < 0.4 else f"t{rng.randrange(9)}"
+
+    left = [(key(), rng.choice("abc")) for _ in range(400)]
+    right = [(key(), rng.choice("xy")) for _ in range(300)]
     left.append((None, "a"))
     right.append((None, "x"))
     lefts = make(spark, left, "t string, g string")
@@ -87,7 +107,7 @@ def test_pair_counts_are_those_of_the_join(spark):
     assert {(r["g"], r["h"]): r["pairs"] for r in found} == expected
 
 
-@pytest.mark.parametrize("tolerance", ["0.1", "0.03", "2.5"])
+@pytest.mark.parametrize("tolerance", ["0.1", "0.03", "2.5", "0"])
 def test_band_average_against_brute_force(spark, tolerance):
     rng = random.Random(int(Decimal(tolerance) * 100))
 
@@ -126,10 +146,11 @@ def test_band_average_against_brute_force(spark, tolerance):
 def test_hot_keys_are_few_and_found(spark, skewed):
     df = make(spark, skewed, "k string, v int")
     found = placement.hot_keys(df, ["k"], one_in=20, min_rows=0).collect()
-    hot = {r["k"]: (r["rows"], r["pieces"]) for r in found}
+    hot = {r["k"]: (r["_size"], r["_pieces"]) for r in found}
     assert set(hot) == {"hot", "copies", None, "gaps"}
     assert hot["hot"] == (1000, -(-1000 * 20 // len(skewed)))
-    assert placement.hot_keys(df, ["k"], one_in=20, min_rows=1000).count() == 0
+    assert placement.hot_keys(df, ["k"], one_in=20, min_rows=1000) is None
+    assert placement.hot_keys(df, ["k"], one_in=2, min_rows=0).count() == 0
 
 
 def test_distribute_by_splits_hot_keys_only(spark):
@@ -216,7 +237,7 @@ def test_million_values_of_one_key(spark):
     rows = spark.range(1_000_000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
     groups = keyed.group_values(rows, "k", "v")
     lists, longest, values, total = groups.select(
-        F.size("values").alias("n"), F.aggregate("values", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("s")
+        F.size("values").alias("n"), collections.total(F.col("values")).alias("s")
     ).agg(F.count("*"), F.max("n"), F.sum("n"), F.sum("s")).first()
     assert lists == 16 and longest < 2 * keyed.LIST_SIZE
     assert (values, total) == (1_000_000, 999_999 * 500_000)
