@@ -30,16 +30,18 @@ def _whole_lists(rows: DataFrame, keys: Sequence[str], value: str, alias: str) -
 def _cut_lists(
     rows: DataFrame, keys: Sequence[str], value: str, alias: str, list_size: int
 ) -> DataFrame:
-    # Copies are counted before anything moves, and a value with more copies
-    # than a list holds is cut in pieces. Then (value, piece) is spread by hash.
+    # Copies are counted before anything moves, and a value with many of them is
+    # cut in pieces, an eighth of a list each. Then (value, piece) is spread by
+    # hash.
+    piece_size = max(1, list_size // 8)
     copies = rows.groupBy(*keys, "_size", F.col(value).alias("_value")).agg(
         F.count("*").alias("_copies")
     )
-    last_piece = F.expr(f"(_copies - 1) div {list_size}")
+    last_piece = F.expr(f"(_copies - 1) div {piece_size}")
     pieces = copies.withColumn(
         "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece))
     ).withColumn(
-        "_times", F.least(F.col("_copies") - F.col("_piece") * list_size, F.lit(list_size))
+        "_times", F.least(F.col("_copies") - F.col("_piece") * piece_size, F.lit(piece_size))
     )
     chunk = F.pmod(F.xxhash64("_value", "_piece"), F.ceil(F.col("_size") / list_size))
     values = F.flatten(F.collect_list(F.array_repeat("_value", F.col("_times").cast("int"))))
