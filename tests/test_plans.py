@@ -62,21 +62,35 @@ def test_merge_join(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
-def test_skewed_join_is_split(spark):
-    # AQE cuts a partition between map outputs, so the lines need several files.
+@pytest.fixture(scope="module")
+def hot_folder(spark):
+    """Tables where one customer has a third of the orders, in several files.
+
+    AQE cuts a partition between map outputs, so one file would not do.
+    """
     folder = scratch_dir(spark, "tables")
-    lineitem = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
-    lineitem.repartition(8).write.parquet(f"{folder}/lineitem.parquet")
-    spark.read.parquet("/root/testdata/sf0.1/supplier.parquet").write.parquet(
-        f"{folder}/supplier.parquet"
-    )
+    for name in ("lineitem", "orders", "supplier", "customer"):
+        table = spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet").repartition(8)
+        if name == "orders":
+            hot = F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == 0
+            table = table.withColumn("o_custkey", F.when(hot, 5).otherwise(F.col("o_custkey")))
+        table.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize(
+    "name", ["skew_join_avg", "inner_join_expr", "left_outer_rows", "right_outer_rows"]
+)
+def test_skewed_join_is_split(spark, hot_folder, name):
     with settings(
         spark,
         autoBroadcastJoinThreshold="-1",
         adaptive__skewJoin__skewedPartitionThresholdInBytes="50KB",
         adaptive__advisoryPartitionSizeInBytes="10KB",
     ):
-        plan = final_plan(entry_module.queries()["skew_join_avg"](spark, folder))
+        # The hot partition is set against the median one.
+        with settings(spark, shuffle__partitions="32"):
+            plan = final_plan(entry_module.queries()[name](spark, hot_folder))
     assert "SortMergeJoin(skew=true)" in plan
 
 
