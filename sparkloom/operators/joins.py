@@ -44,14 +44,19 @@ def pair_counts(
     The result is that of joining the rows, grouping and counting, but each
     side is first counted by (key, group) and the join multiplies the counts.
     A key held by a third of both tables then adds a few rows, not the product
-    of its rows.
+    of its rows. ``pairs`` is a decimal of 38 digits, as such a product may
+    pass the largest bigint.
     """
     lefts = left.groupBy(on, left_group).agg(F.count("*").alias("_left_rows"))
     rights = right.groupBy(on, right_group).agg(F.count("*").alias("_right_rows"))
     return (
         lefts.join(rights, on)
         .groupBy(left_group, right_group)
-        .agg(F.sum(F.col("_left_rows") * F.col("_right_rows")).alias("pairs"))
+        .agg(
+            F.sum(F.col("_left_rows").cast("decimal(19,0)") * F.col("_right_rows"))
+            .cast("decimal(38,0)")
+            .alias("pairs")
+        )
     )
 
 

@@ -1,6 +1,7 @@
 """Matrices as tables: coordinate cells (i, j, v), and blocks of such cells.
 
-Indices count from 0. A cell that is absent is zero and yields no row.
+Indices count from 0. A cell that is absent is zero and yields no row; a cell
+without a value counts as absent.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ def coo_multiply(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     lefts = left.select("i", F.col("j").alias("k"), F.col("v").alias("_left"))
     rights = right.select(F.col("i").alias("k"), "j", F.col("v").alias("_right"))
+    lefts, rights = lefts.dropna(subset=["_left"]), rights.dropna(subset=["_right"])
     return (
         lefts.join(rights, "k")
         .groupBy("i", "j")
@@ -56,7 +58,7 @@ def to_blocks(
     are added up first, so a block has at most rows * cols entries; ``unique``
     says that there are none and saves the shuffle.
     """
-    cells = coo.select("i", "j", F.col("v").cast("double").alias("v"))
+    cells = coo.select("i", "j", F.col("v").cast("double").alias("v")).dropna(subset=["v"])
     if not unique:
         cells = cells.groupBy("i", "j").agg(F.sum("v").alias("v"))
     place = (F.col("i") % rows * cols + F.col("j") % cols).cast("int")

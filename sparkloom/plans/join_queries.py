@@ -188,4 +188,5 @@ def many_to_many_join(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format("l_shipdate", "MM-dd").alias("day"),
         F.col("l_returnflag").alias("district"),
     )
-    return pair_counts(incidents, others, "day", "category", "district")
+    pairs = pair_counts(incidents, others, "day", "category", "district")
+    return pairs.withColumn("pairs", F.col("pairs").cast("bigint"))

@@ -93,7 +93,9 @@ def test_sparse_product_keeps_absent_cells_absent(spark):
         return spark.createDataFrame(cells + cells[:5], "i bigint, j bigint, v double")
 
     a, b = sparse(150, 90), sparse(90, 110)
+    a = a.unionByName(spark.createDataFrame([(0, 0, None), (3, 5, None)], a.schema))
     expected = bag(matrix.coo_multiply(a, b))
+    assert all(value is not None for _, _, value in expected)
     assert bag(matrix.block_multiply(a, b, 32, 32, 32)) == expected
     assert bag(matrix.block_multiply(a, b, 32, 32, 32, unique=True)) == expected
 
