@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import zlib
 
 from pyspark.sql import SparkSession
 
@@ -20,27 +19,6 @@ DEFAULTS = {
 }
 
 
-MB = 1024 * 1024
-TB = 1024 * 1024 * MB
-
-
-def settings_for(input_bytes: int) -> dict[str, str]:
-    """Partition settings for a job that reads this much.
-
-    A shuffle starts from as many partitions as make 256 MB each, were all
-    input shuffled, since AQE can merge partitions but not add any; 200 at
-    least, and 40,000 at most, where more would cost the driver more than they
-    save (partitions then spill). Scans of more than a terabyte take larger
-    splits to keep the number of tasks down.
-    """
-    partitions = min(max(-(-input_bytes // (256 * MB)), 200), 40_000)
-    split = 128 * MB if input_bytes <= TB else 512 * MB
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(split),
-    }
-
-
 def build_session(
     app_name: str = "sparkloom",
     master: str | None = None,
@@ -55,16 +33,27 @@ def build_session(
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path below the folder all executors share.
+def shared_root(spark: SparkSession) -> str:
+    """The folder for files between two steps, one that every executor can reach.
 
-    The folder is the one ``spark.checkpoint.dir`` names. Only a local-mode
-    session that names none gets a folder under ``/tmp``: on a cluster such a
-    folder exists on one machine, and a lost executor would lose the data.
+    ``spark.checkpoint.dir`` if the session names one, else the warehouse,
+    which a session always has.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/sparkloom-{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, label: str, source: str = "") -> str:
+    """The folder of one step of this application, the same for each call.
+
+    ``source`` tells inputs apart: a step that runs again over the same input
+    overwrites what it wrote, and over another input writes beside it.
+    """
+    suffix = f"-{zlib.crc32(source.encode()):08x}" if source else ""
+    return f"{shared_root(spark)}/{label}{suffix}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete everything this application wrote through ``scratch_dir``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
