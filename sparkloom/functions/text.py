@@ -33,15 +33,18 @@ def parse_fields(
     fields: dict[str, str],
     delimiter: str = ",",
     lenient: bool = False,
+    null_mark: str = "\\N",
 ) -> DataFrame:
     """Typed columns from a delimited line, ``fields`` being name -> type.
 
-    Bad text raises; with ``lenient`` it gives NULL.
+    A field that is ``null_mark`` is NULL. Bad text raises; with ``lenient`` it
+    gives NULL.
     """
     parts = F.split(F.col(line), re.escape(delimiter))
     columns = []
     for position, (name, type_) in enumerate(fields.items()):
         raw = parts.getItem(position) if not lenient else F.get(parts, F.lit(position))
+        raw = F.nullif(raw, F.lit(null_mark))
         columns.append((raw.try_cast(type_) if lenient else raw.cast(type_)).alias(name))
     return df.select(*columns)
 

@@ -37,12 +37,13 @@ def random_value(seed: int | None = None) -> Column:
 
 
 def my_average(x: Column) -> Column:
-    """Average of a whole-number column over its sum and count.
+    """Average of a numeric column over its sum and count, as a double.
 
-    Both are built-in aggregates, so each map task sends one (sum, count) per
-    group. NULLs are skipped and an empty group gives NULL.
+    Both are built-in aggregates over the column as it is, so each map task
+    sends one (sum, count) per group; decimals add up exactly. NULLs are skipped
+    and an empty group gives NULL.
     """
-    return F.try_divide(F.sum(x.cast("bigint")).cast("double"), F.count(x).cast("double"))
+    return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double"))
 
 
 def my_average_sql(expression: str) -> str:
@@ -51,7 +52,4 @@ def my_average_sql(expression: str) -> str:
     A SQL function may not hold an aggregate, and a pandas grouped aggregate
     would load a whole group into one Python worker.
     """
-    return (
-        f"try_divide(CAST(sum(CAST({expression} AS BIGINT)) AS DOUBLE), "
-        f"CAST(count({expression}) AS DOUBLE))"
-    )
+    return f"try_divide(CAST(sum({expression}) AS DOUBLE), CAST(count({expression}) AS DOUBLE))"

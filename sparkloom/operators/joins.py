@@ -5,35 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.operators.keyed import finish_average, merge_average_state
-from sparkloom.operators.placement import HOT_ONE_IN, HOT_ROWS, hot_keys
-
-
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    one_in: int = HOT_ONE_IN,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Inner join to a side with one row per key, safe against hot keys.
-
-    The left keys are counted first, in a job of its own. Rows of hot keys then
-    meet a broadcast of the right rows of these keys, fewer than ``one_in``,
-    and are not shuffled; all others join as usual. AQE alone does not do
-    here: it splits a skewed side only where both sides come straight out of a
-    shuffle, and an aggregated right side does not.
-    """
-    on = list(on)
-    hot = hot_keys(left, on, one_in, min_rows)
-    if hot is None:
-        return left.join(right, on)
-    hot = F.broadcast(hot.select(*on))
-    few = F.broadcast(right.join(hot, on, "left_semi"))
-    return left.join(few, on).unionByName(left.join(hot, on, "left_anti").join(right, on))
 
 
 def pair_counts(
@@ -61,57 +36,84 @@ def pair_counts(
 
 
 def band_average(
-    left: DataFrame,
-    right: DataFrame,
+    rows: DataFrame,
     keys: Sequence[str],
     band: str,
     tolerance: Decimal | str,
     group: str,
+    total: str = "total",
+    n: str = "n",
     alias: str = "average",
+    unique_groups: bool = False,
 ) -> DataFrame:
-    """Average over the right rows that have equal keys and a near band value.
-
-    ``left`` has the keys, the decimal ``band`` and ``group``; ``right`` has
-    the keys, ``band`` and an average state (``total``, ``n``), see
-    ``average_state``. A left row takes in the right rows of its keys whose
-    band differs by ``tolerance`` at most; the result has one row for each
-    group with any such row.
-
-    Rows never meet pairwise. Both sides shrink to their distinct (keys, band)
-    cells, whose number is bounded by the key domain times the steps of the
-    decimal. The cells meet by equality on (keys, slice of the band axis), a
-    right cell standing in each slice its tolerance touches, two of them. So a
-    hot key is cut along its band axis, and a slice holds no more cells than a
-    slice has decimal steps. The sums then go back to the left rows by equality
-    with one row per cell, hot cells without a shuffle (``join_unique``).
+    """Average over the rows that have equal keys and a near band value, by group.
+
+    Each row stands on both sides: it asks for the average around its decimal
+    ``band``, and it offers an average state (``total``, ``n``; NULL where it has
+    none), see ``average_state``. A row takes in the states of all rows of its
+    keys whose band differs by ``tolerance`` at most. The result has one row for
+    each group that took in any state; with ``unique_groups`` the caller says
+    that no two rows have one group, which saves a shuffle. Decimals keep their
+    scale, of the band and of the tolerance.
+
+    Rows never meet pairwise. They shrink to their distinct (keys, band) cells
+    with the sum of their states. Along the band axis of a key the sums up to
+    ``band + tolerance``, less those below ``band - tolerance``, are what a cell
+    asks for, so one sort and running sums give all cells their answers, however
+    wide the tolerance. The axis is cut in slices twice the tolerance wide; a
+    cell's state also stands in the neighbouring slice that its tolerance
+    reaches, so slices are worked on apart.
     """
     keys = list(keys)
-    near = F.lit(str(tolerance)).cast("decimal(18,6)")
-    width = F.lit(str(2 * Decimal(tolerance) or 1)).cast("decimal(18,6)")
+    near = F.lit(Decimal(tolerance))
+    width = F.lit(2 * Decimal(tolerance) or Decimal(1))
 
-    def slice_of(position):
+    def slice_of(position: Column) -> Column:
         # Any never-falling function will do: both sides use the same one.
         return F.floor(position / width).cast("bigint")
 
-    left_cells = left.select(*keys, band).distinct().withColumn("_slice", slice_of(F.col(band)))
-    right_cells = (
-        merge_average_state(right, [*keys, band])
-        .withColumnRenamed(band, "_other")
-        .withColumn(
-            "_slice",
-            F.explode(
-                F.sequence(slice_of(F.col("_other") - near), slice_of(F.col("_other") + near))
-            ),
-        )
+    cells = (
+        rows.filter(F.col(band).isNotNull())
+        .groupBy(*keys, band)
+        .agg(F.sum(total).alias("_total"), F.sum(n).alias("_n"))
     )
-    sums = merge_average_state(
-        left_cells.join(right_cells, [*keys, "_slice"]).filter(
-            F.abs(F.col(band) - F.col("_other")) <= near
-        ),
-        [*keys, band],
+    place = F.col(band)
+    low, high = slice_of(place - near), slice_of(place + near)
+    # Point 0 asks for the states below the tolerance, point 1 for those up to its
+    # end; the others are the cell's own state in each slice it reaches. At one
+    # position the order is 0, state, 1.
+    last = F.when(F.col("_n") > 0, high - low + 2).otherwise(F.lit(1).cast("bigint"))
+    k = F.col("_k")
+    points = (
+        cells.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        .withColumn("_slice", F.when(k < 2, slice_of(place)).otherwise(low + k - 2))
+        .withColumn("_at", F.when(k == 0, place - near).when(k == 1, place + near).otherwise(place))
+        .withColumn("_order", F.when(k < 2, 2 * k).otherwise(F.lit(1)))
+        .withColumn("_sign", F.when(k == 0, -1).when(k == 1, 1).otherwise(0))
+        .withColumn("_part", F.when(k > 1, F.col("_total")))
+        .withColumn("_count", F.when(k > 1, F.col("_n")))
     )
-    return (
-        merge_average_state(
-            join_unique(left.select(*keys, band, group), sums, [*keys, band]), group
-        ).select(group, finish_average().alias(alias))
+    upto = (
+        Window.partitionBy(*keys, "_slice")
+        .orderBy("_at", "_order")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    sums = (
+        points.select(
+            *keys,
+            "_slice",
+            band,
+            "_sign",
+            (F.coalesce(F.sum("_part").over(upto), F.lit(0)) * F.col("_sign")).alias("_sum"),
+            (F.coalesce(F.sum("_count").over(upto), F.lit(0)) * F.col("_sign")).alias("_rows"),
+        )
+        .filter("_sign <> 0")
+        .groupBy(*keys, "_slice", band)
+        .agg(F.sum("_sum").alias("total"), F.sum("_rows").alias("n"))
+        .filter("n > 0")
+        .drop("_slice")
     )
+    answers = rows.select(*keys, band, group).join(sums, [*keys, band])
+    if not unique_groups:
+        answers = merge_average_state(answers, group)
+    return answers.select(group, finish_average().alias(alias))

@@ -3,83 +3,70 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkloom.functions.numbers import exact_sum
 from sparkloom.functions.text import tokens
-from sparkloom.operators.placement import long_keys
-from sparkloom.operators.sizes import broadcast_if_small
 
-# Values one list should hold. A key with more of them gets several lists.
-LIST_SIZE = 65_536
+def _sign_of_zero(value: Column, type_: T.DataType) -> Column:
+    """Whether the value is -0.0, which grouping would turn into 0.0."""
+    if not isinstance(type_, (T.FloatType, T.DoubleType)):
+        return F.lit(False)
+    return F.coalesce((value == 0) & (value.cast("string") == "-0.0"), F.lit(False))
+
+
+def _entry(value: str, minus: str, copies: str, type_: T.DataType) -> Column:
+    """A list entry that sorts by value, NULL last and -0.0 before 0.0."""
+    restored = F.col(value)
+    if isinstance(type_, (T.FloatType, T.DoubleType)):
+        restored = F.when(F.col(minus), F.lit(-0.0).cast(type_)).otherwise(restored)
+    return F.struct(
+        F.col(value).isNull().alias("none"),
+        F.col(value).alias("order"),
+        (~F.col(minus)).alias("plus"),
+        F.struct(restored.alias("value"), F.col(copies).alias("copies")).alias("entry"),
+    )
 
 
-def _whole_lists(rows: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
-    # collect_list leaves out NULLs; they come after the others, as in a sort.
-    nulls = (F.count("*") - F.count(value)).cast("int")
-    no_value = F.lit(None).cast(rows.schema[value].dataType)
-    values = F.concat(F.array_sort(F.collect_list(value)), F.array_repeat(no_value, nulls))
-    lists = rows.groupBy(*keys).agg(values.alias(alias))
-    return lists.select(*keys, F.lit(0).alias("chunk"), alias)
-
-
-def _cut_lists(
-    rows: DataFrame, keys: Sequence[str], value: str, alias: str, list_size: int
-) -> DataFrame:
-    # Copies are counted before anything moves, and a value with many of them is
-    # cut in pieces, an eighth of a list each. Then (value, piece) is spread by
-    # hash.
-    piece_size = max(1, list_size // 8)
-    copies = rows.groupBy(*keys, "_size", F.col(value).alias("_value")).agg(
-        F.count("*").alias("_copies")
-    )
-    last_piece = F.expr(f"(_copies - 1) div {piece_size}")
-    pieces = copies.withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece))
-    ).withColumn(
-        "_times", F.least(F.col("_copies") - F.col("_piece") * piece_size, F.lit(piece_size))
-    )
-    chunk = F.pmod(F.xxhash64("_value", "_piece"), F.ceil(F.col("_size") / list_size))
-    values = F.flatten(F.collect_list(F.array_repeat("_value", F.col("_times").cast("int"))))
-    return (
-        pieces.groupBy(*keys, chunk.cast("int").alias("chunk"))
-        .agg(F.array_sort(values).alias(alias))
-        .select(*keys, "chunk", alias)
-    )
+def _sorted_entries(entries: Column) -> Column:
+    return F.transform(F.array_sort(entries), lambda e: e["entry"])
 
 
 def group_values(
     df: DataFrame,
     keys: str | Sequence[str],
     value: str,
+    slice_of: Column | int = 0,
     alias: str = "values",
-    list_size: int = LIST_SIZE,
 ) -> DataFrame:
-    """All values of each key as sorted lists: (keys, chunk, values).
-
-    A key with up to ``list_size`` values has one row, ``chunk`` 0, from a
-    plain grouping. A longer one has as many rows as it takes, so that no task
-    ever holds the whole group; its lists together hold each of its values as
-    often as the input does, NULLs included. There ``list_size`` is a target,
-    which the spread by hash may pass by a small factor.
-
-    The keys are counted first, in a job of its own that reads them only.
+    """The values of each key as sorted lists of (value, copies): (keys, slice, values).
+
+    ``slice_of`` is a function of the value that never falls as the value grows,
+    such as ``value div width``; each slice of a key is one list, always, so the
+    slices in order give the sorted bag of the key. The caller chooses it such
+    that a slice has no more distinct values than one task should hold; the
+    default is one slice. Copies are counted before a list is made, so they
+    cost nothing; NULLs come last in the slice the function gives them, -0.0 and
+    NaN are kept. The input is read once, and no key is looked at before.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    longs = long_keys(df, keys, list_size)
-    if longs.count() == 0:
-        return _whole_lists(df, keys, value, alias)
-
-    longs = broadcast_if_small(longs.withColumnsRenamed({k: f"_long_{k}" for k in keys}))
-    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_long_{k}")) for k in keys])
-    rows = df.select(*dict.fromkeys([*keys, value]))
-    return _whole_lists(rows.join(longs, same_key, "left_anti"), keys, value, alias).unionByName(
-        _cut_lists(rows.join(longs, same_key), keys, value, alias, list_size)
+    type_ = df.schema[value].dataType
+    slice_ = slice_of if isinstance(slice_of, Column) else F.lit(slice_of)
+    counted = (
+        df.select(
+            *keys,
+            slice_.cast("bigint").alias("slice"),
+            F.col(value).alias("_value"),
+            _sign_of_zero(F.col(value), type_).alias("_minus"),
+        )
+        .groupBy(*keys, "slice", "_value", "_minus")
+        .agg(F.count("*").alias("_copies"))
     )
+    entries = F.collect_list(_entry("_value", "_minus", "_copies", type_))
+    return counted.groupBy(*keys, "slice").agg(_sorted_entries(entries).alias(alias))
 
 
 def cogroup_values(
@@ -88,23 +75,43 @@ def cogroup_values(
     key: str,
     left_value: str,
     right_value: str,
-    list_size: int = LIST_SIZE,
+    left_slice: Column | int = 0,
+    right_slice: Column | int = 0,
 ) -> DataFrame:
-    """Both sides' values for each key of either: (key, chunk, left, right).
+    """Both sides' values for each key of either: (key, slice, left_values, right_values).
 
-    A key that one side lacks has an empty list there. Lists are cut as in
-    ``group_values``; the join then reuses that partitioning.
+    Lists and slices are those of ``group_values``. A side without a value in a
+    slice has an empty list there, one without the key in all of its slices.
+    NULL is a key like others. Both sides go through one grouping, without a
+    join.
     """
-    lefts = group_values(left, key, left_value, "left_values", list_size)
-    rights = group_values(right, key, right_value, "right_values", list_size)
-    joined = lefts.join(rights, [key, "chunk"], "full")
-    no_left = F.array().cast(lefts.schema["left_values"].dataType)
-    no_right = F.array().cast(rights.schema["right_values"].dataType)
-    return joined.select(
-        key,
-        "chunk",
-        F.coalesce("left_values", no_left).alias("left_values"),
-        F.coalesce("right_values", no_right).alias("right_values"),
+    left_type = left.schema[left_value].dataType
+    right_type = right.schema[right_value].dataType
+
+    def side(df: DataFrame, value: str, slice_of: Column | int, is_left: bool) -> DataFrame:
+        slice_ = slice_of if isinstance(slice_of, Column) else F.lit(slice_of)
+        type_ = left_type if is_left else right_type
+        mine = F.col(value)
+        return df.select(
+            F.col(key),
+            slice_.cast("bigint").alias("slice"),
+            F.lit(is_left).alias("_is_left"),
+            (mine if is_left else F.lit(None).cast(left_type)).alias("_left"),
+            (F.lit(None).cast(right_type) if is_left else mine).alias("_right"),
+            _sign_of_zero(mine, type_).alias("_minus"),
+        )
+
+    counted = (
+        side(left, left_value, left_slice, True)
+        .unionByName(side(right, right_value, right_slice, False))
+        .groupBy(key, "slice", "_is_left", "_left", "_right", "_minus")
+        .agg(F.count("*").alias("_copies"))
+    )
+    lefts = F.when(F.col("_is_left"), _entry("_left", "_minus", "_copies", left_type))
+    rights = F.when(~F.col("_is_left"), _entry("_right", "_minus", "_copies", right_type))
+    return counted.groupBy(key, "slice").agg(
+        _sorted_entries(F.collect_list(lefts)).alias("left_values"),
+        _sorted_entries(F.collect_list(rights)).alias("right_values"),
     )
 
 

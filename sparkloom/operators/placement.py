@@ -3,124 +3,45 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one row in this many, and more rows than
-# one task should take anyway.
-HOT_ONE_IN = 1_000
-HOT_ROWS = 1_000_000
-
-
 def place_by_key(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     """Hash placement: equal keys share one of ``partitions`` partitions.
 
     Two frames placed by the same number and keys join without another
     shuffle. All rows of a key land in one task, so reduce a frame with hot
-    keys first, or use ``distribute_by``.
+    keys first, or use ``distribute_by`` with pieces.
     """
     return df.repartition(partitions, *keys)
 
 
-def long_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """Keys with more than ``rows`` rows, and how many: (keys, _size).
-
-    Counted from the key columns alone and kept, as callers measure the result
-    before they join it.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_size"))
-        .filter(F.col("_size") > rows)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-
-
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], one_in: int = HOT_ONE_IN, min_rows: int = HOT_ROWS
-) -> DataFrame | None:
-    """Keys above one row in ``one_in`` and above ``min_rows`` rows: (keys, _size, _pieces).
-
-    ``_pieces`` is the number of such shares a key holds, rounded up. There are
-    fewer than ``one_in`` hot keys whatever the data, so the result may be
-    broadcast. Without any it is None, found out by one count of the keys.
-    """
-    large = long_keys(df, keys, min_rows)
-    if large.count() == 0:
-        return None
-    share = max(df.count() / one_in, min_rows)
-    hot = large.filter(F.col("_size") > share)
-    return hot.withColumn("_pieces", F.ceil(F.col("_size") / F.lit(share)))
-
-
 def distribute_by(
-    df: DataFrame,
-    keys: Sequence[str],
-    split_hot: bool = True,
-    one_in: int = HOT_ONE_IN,
-    min_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], pieces: int = 1, spread_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of a key together, as DISTRIBUTE BY does; hot keys cut into pieces.
+    """Rows of a key together, as DISTRIBUTE BY does, or in ``pieces`` places.
 
-    The keys are counted first, in a job of its own that reads them only.
-    Without a hot key, or without ``split_hot``, all rows of each key share a
-    partition. A hot key's rows are spread over its pieces by a hash of the
-    row. Copies of a row are counted before, and move as rows with a number,
-    cut where they are more than a piece, so that they spread as well.
+    By default all rows of a key share a partition. With more pieces, every
+    key's rows are dealt over that many places by a hash of the ``spread_by``
+    columns, so that a key with a large share of the rows is not one task. It is
+    the caller who decides; the data are not looked at, and the rows stay as
+    they are. Columns that tell a key's rows apart spread them evenly.
     """
     keys = list(keys)
-    if not split_hot:
-        return df.repartition(*keys)
-    hot = hot_keys(df, keys, one_in, min_rows)
-    if hot is None:
+    if pieces < 1 or (pieces > 1) != bool(spread_by):
+        raise ValueError("pieces and spread_by go together")
+    if pieces == 1:
         return df.repartition(*keys)
-
-    columns = df.columns
-    hot = F.broadcast(
-        hot.select(
-            *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            "_pieces",
-            F.ceil(F.col("_size") / F.col("_pieces")).alias("_piece_rows"),
-        )
-    )
-    # Rows without a key belong together too, and may be the most.
-    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-
-    others = df.join(hot, same_key, "left_anti").select(
-        *columns, F.lit(0).cast("bigint").alias("_piece"), F.lit(1).cast("bigint").alias("_times")
-    )
-    counted = (
-        df.join(hot, same_key)
-        .groupBy(*columns, "_pieces", "_piece_rows")
-        .agg(F.count("*").alias("_copies"))
-    )
-    cuts = counted.withColumn(
-        "_cut", F.explode(F.expr("sequence(0L, (_copies - 1) div _piece_rows)"))
-    )
-    spread = cuts.select(
-        *columns,
-        F.pmod(F.xxhash64(*columns, "_cut"), F.col("_pieces")).alias("_piece"),
-        F.expr("least(_copies - _cut * _piece_rows, _piece_rows)").alias("_times"),
-    )
-    placed = others.unionByName(spread).repartition(*keys, "_piece")
-    return placed.select(*columns, F.explode(F.expr("sequence(1L, _times)")).alias("_copy")).drop(
-        "_copy"
-    )
+    place = F.pmod(F.xxhash64(*spread_by), F.lit(pieces))
+    return df.repartition(*keys, place)
 
 
 def cluster_by(
-    df: DataFrame,
-    keys: Sequence[str],
-    split_hot: bool = True,
-    one_in: int = HOT_ONE_IN,
-    min_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], pieces: int = 1, spread_by: Sequence[str] = ()
 ) -> DataFrame:
     """``distribute_by`` and then sorted by the keys inside each partition."""
-    return distribute_by(df, keys, split_hot, one_in, min_rows).sortWithinPartitions(*keys)
+    return distribute_by(df, keys, pieces, spread_by).sortWithinPartitions(*keys)
 
 
 def rows_by_partition(df: DataFrame, key: str) -> DataFrame:

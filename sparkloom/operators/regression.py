@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.functions.numbers import from_units, whole_units
+from sparkloom.functions.numbers import from_units, sum_of_units, whole_units
 from sparkloom.operators.matrix import coo_multiply, transpose
 
 
@@ -26,8 +26,8 @@ def gram_join(coo: DataFrame) -> DataFrame:
 def _product_sum(a: Column, b: Column, scale: int | None) -> Column:
     if scale is None:
         return F.sum(a * b).cast("double")
-    units = (whole_units(a, scale) * whole_units(b, scale)).cast("decimal(20,0)")
-    return from_units(F.sum(units), 2 * scale).cast("double")
+    units = whole_units(a, scale) * whole_units(b, scale)
+    return from_units(sum_of_units(units), 2 * scale).cast("double")
 
 
 def _cell(i: int, j: int, value: Column) -> Column:

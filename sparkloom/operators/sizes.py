@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Broadcast at most this much: a table is built whole on the driver and again
@@ -11,11 +11,16 @@ BROADCAST_BYTES = 50 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of all values, 16 more per value for the row around them."""
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values, 16 more per value for the row around them."""
     widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
-    per_row = sum(widths[1:], widths[0]) + 16 * len(widths)
-    return df.agg(F.sum(per_row.cast("bigint"))).first()[0] or 0
+    return (sum(widths[1:], widths[0]) + 16 * len(widths)).cast("bigint")
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a frame, from one job with one row of result."""
+    rows, size = df.agg(F.count("*"), F.sum(_row_bytes(df))).first()
+    return rows, size or 0
 
 
 def broadcast_if_small(
@@ -23,9 +28,7 @@ def broadcast_if_small(
 ) -> DataFrame:
     """The frame marked for broadcast, if its measured size allows.
 
-    Otherwise it comes back unmarked and the join shuffles. Rows are counted
-    first, which reads no column, and only a short table is measured in bytes.
+    Otherwise it comes back unmarked and the join shuffles.
     """
-    if df.count() <= max_rows and measured_bytes(df) <= max_bytes:
-        return F.broadcast(df)
-    return df
+    rows, size = measured(df)
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df

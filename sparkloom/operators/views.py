@@ -17,8 +17,11 @@ def as_global_view(df: DataFrame, name: str) -> str:
     return f"global_temp.{name}"
 
 
-def query_views(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
-    """Run SQL over frames named by keyword."""
-    for name, df in frames.items():
-        as_view(df, name)
-    return spark.sql(sql)
+def drop_global_view(spark: SparkSession, name: str) -> bool:
+    """Remove a view of all sessions; whether there was one."""
+    return spark.catalog.dropGlobalTempView(name)
+
+
+def query_frames(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
+    """Run SQL over frames, written ``{name}`` in the text; no view is left or replaced."""
+    return spark.sql(sql, **frames)

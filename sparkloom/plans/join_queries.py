@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.joins import band_average, pair_counts
 from sparkloom.operators.keyed import average_state
-from sparkloom.operators.views import query_views
+from sparkloom.operators.views import query_frames
 from sparkloom.plans.registry import query
 from sparkloom.sources.files import read_table
 
@@ -33,7 +33,7 @@ def emp_dept_names(spark: SparkSession, folder: str) -> DataFrame:
     employees = read_table(spark, folder, "supplier").withColumnRenamed("s_nationkey", "dno")
     departments = read_table(spark, folder, "nation").withColumnRenamed("n_nationkey", "dno")
     return employees.join(departments, "dno").select(
-        F.concat_ws(" ", "s_name", "n_name").alias("names")
+        F.concat("s_name", F.lit(" "), "n_name").alias("names")
     )
 
 
@@ -129,9 +129,9 @@ KEY_FILTER_SQL = """
 
 @query(KEY_FILTER_SQL)
 def join_key_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return query_views(
+    return query_frames(
         spark,
-        KEY_FILTER_SQL,
+        KEY_FILTER_SQL.replace("FROM customer", "FROM {customer}").replace("JOIN nation", "JOIN {nation}"),
         customer=read_table(spark, folder, "customer"),
         nation=read_table(spark, folder, "nation"),
     )
@@ -139,43 +139,44 @@ def join_key_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
     SELECT p_partkey AS registration,
-           cast(sum(cast(l_extendedprice AS decimal(18,2))) AS double) / count(*) AS average_price
+           cast(sum(cast(l_extendedprice AS decimal(28,6))) AS double) / count(l_extendedprice)
+               AS average_price
     FROM part t1
-    JOIN (SELECT p_brand AS make, p_type AS model,
-                 cast(p_retailprice AS decimal(10,2)) AS engine_size, l_extendedprice
+    JOIN (SELECT p_brand AS make, p_type AS model, p_retailprice AS engine_size, l_extendedprice
           FROM part JOIN lineitem ON p_partkey = l_partkey) t2
       ON t1.p_brand = t2.make AND t1.p_type = t2.model
-     AND abs(cast(t1.p_retailprice AS decimal(10,2)) - t2.engine_size) <= 0.1
+     AND abs(cast(t1.p_retailprice AS decimal(24,8)) - cast(t2.engine_size AS decimal(24,8))) <= 0.1
     GROUP BY p_partkey
 """)
 def comparable_price_avg(spark: SparkSession, folder: str) -> DataFrame:
-    # Sales are summed per part before they meet the part table, which then
-    # joins one row to one row, in the partitioning of the sum.
-    cars = read_table(spark, folder, "part").select(
-        F.col("p_partkey").alias("registration"),
-        F.col("p_brand").alias("make"),
-        F.col("p_type").alias("model"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("engine_size"),
-    )
+    # The sales of each part are summed before they meet the part, which then is
+    # read and joined once. Decimals with room for six places add up exactly.
     sales = average_state(
         read_table(spark, folder, "lineitem").withColumnRenamed("l_partkey", "registration"),
         "registration",
         "l_extendedprice",
-        scale=2,
+        scale=6,
+    )
+    cars = read_table(spark, folder, "part").select(
+        F.col("p_partkey").alias("registration"),
+        F.col("p_brand").alias("make"),
+        F.col("p_type").alias("model"),
+        F.col("p_retailprice").cast("decimal(24,8)").alias("engine_size"),
     )
     return band_average(
-        cars,
-        cars.join(sales, "registration").drop("registration"),
+        cars.join(sales, "registration", "left"),
         keys=["make", "model"],
         band="engine_size",
         tolerance="0.1",
         group="registration",
         alias="average_price",
+        unique_groups=True,
     )
 
 
 @query("""
-    SELECT o_orderpriority AS category, l_returnflag AS district, count(*) AS pairs
+    SELECT o_orderpriority AS category, l_returnflag AS district,
+           cast(count(*) AS decimal(38,0)) AS pairs
     FROM orders JOIN lineitem ON strftime(o_orderdate, '%m-%d') = strftime(l_shipdate, '%m-%d')
     GROUP BY o_orderpriority, l_returnflag
 """)
@@ -188,5 +189,4 @@ def many_to_many_join(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format("l_shipdate", "MM-dd").alias("day"),
         F.col("l_returnflag").alias("district"),
     )
-    pairs = pair_counts(incidents, others, "day", "category", "district")
-    return pairs.withColumn("pairs", F.col("pairs").cast("bigint"))
+    return pair_counts(incidents, others, "day", "category", "district")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.operators import keyed
@@ -10,19 +10,24 @@ from sparkloom.plans.registry import query
 from sparkloom.sources.files import read_table
 
 
+def _written(values: str) -> Column:
+    """A value list as text: each value with its copies."""
+    entry = F.transform(values, lambda e: F.concat_ws("x", e["value"], e["copies"]))
+    return F.array_join(entry, ",")
+
+
 @query("""
-    SELECT l_orderkey, 0::int AS chunk,
-           string_agg(cast(l_linenumber AS varchar), ',' ORDER BY l_linenumber) AS line_numbers
-    FROM lineitem GROUP BY l_orderkey
+    WITH counted AS (
+        SELECT l_suppkey, l_partkey // 1000 AS slice, l_partkey, count(*) AS copies
+        FROM lineitem GROUP BY l_suppkey, l_partkey)
+    SELECT l_suppkey, cast(slice AS bigint) AS slice,
+           string_agg(l_partkey || 'x' || copies, ',' ORDER BY l_partkey) AS parts
+    FROM counted GROUP BY l_suppkey, slice
 """)
 def group_values(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = read_table(spark, folder, "lineitem")
-    groups = keyed.group_values(lineitem, "l_orderkey", "l_linenumber")
-    return groups.select(
-        "l_orderkey",
-        "chunk",
-        F.array_join(F.col("values").cast("array<string>"), ",").alias("line_numbers"),
-    )
+    groups = keyed.group_values(lineitem, "l_suppkey", "l_partkey", F.expr("l_partkey div 1000"))
+    return groups.select("l_suppkey", "slice", _written("values").alias("parts"))
 
 
 @query("SELECT l_suppkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_suppkey")
@@ -74,25 +79,38 @@ def distinct_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    WITH c AS (SELECT c_nationkey AS nation,
-                      string_agg(cast(c_custkey AS varchar), ',' ORDER BY c_custkey) AS customers
-               FROM customer GROUP BY c_nationkey),
-    s AS (SELECT s_nationkey AS nation,
-                 string_agg(cast(s_suppkey AS varchar), ',' ORDER BY s_suppkey) AS suppliers
-          FROM supplier GROUP BY s_nationkey)
-    SELECT coalesce(c.nation, s.nation) AS nation, 0::int AS chunk,
+    WITH c AS (SELECT nullif(c_nationkey, 0) AS nation, c_custkey // 500 AS slice,
+                      string_agg(c_custkey || 'x1', ',' ORDER BY c_custkey) AS customers
+               FROM customer GROUP BY ALL),
+    s AS (SELECT nullif(s_nationkey, 0) AS nation, s_suppkey // 500 AS slice,
+                 string_agg(s_suppkey || 'x1', ',' ORDER BY s_suppkey) AS suppliers
+          FROM supplier GROUP BY ALL)
+    SELECT coalesce(c.nation, s.nation) AS nation,
+           cast(coalesce(c.slice, s.slice) AS bigint) AS slice,
            coalesce(customers, '') AS customers, coalesce(suppliers, '') AS suppliers
-    FROM c FULL JOIN s ON c.nation = s.nation
+    FROM c FULL JOIN s ON c.nation IS NOT DISTINCT FROM s.nation AND c.slice = s.slice
 """)
 def cogroup_lists(spark: SparkSession, folder: str) -> DataFrame:
-    customer = read_table(spark, folder, "customer").withColumnRenamed("c_nationkey", "nation")
-    supplier = read_table(spark, folder, "supplier").withColumnRenamed("s_nationkey", "nation")
-    groups = keyed.cogroup_values(customer, supplier, "nation", "c_custkey", "s_suppkey")
+    # One nation is made NULL, which is a key like others.
+    def nation(column: str) -> Column:
+        return F.nullif(F.col(column), F.lit(0))
+
+    customer = read_table(spark, folder, "customer").withColumn("nation", nation("c_nationkey"))
+    supplier = read_table(spark, folder, "supplier").withColumn("nation", nation("s_nationkey"))
+    groups = keyed.cogroup_values(
+        customer,
+        supplier,
+        "nation",
+        "c_custkey",
+        "s_suppkey",
+        F.expr("c_custkey div 500"),
+        F.expr("s_suppkey div 500"),
+    )
     return groups.select(
         "nation",
-        "chunk",
-        F.array_join(F.col("left_values").cast("array<string>"), ",").alias("customers"),
-        F.array_join(F.col("right_values").cast("array<string>"), ",").alias("suppliers"),
+        "slice",
+        _written("left_values").alias("customers"),
+        _written("right_values").alias("suppliers"),
     )
 
 

@@ -2,36 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.operators import placement
 from sparkloom.operators.keyed import average_state, finish_average, merge_average_state
 from sparkloom.operators.sizes import broadcast_if_small
+from sparkloom.operators.persisted import Persisted
 from sparkloom.plans.registry import query
 from sparkloom.sources.files import read_table
 
 
+# What ``persisted_two_aggs`` holds in the executors; ``KEPT.release()`` lets go of it.
+KEPT = Persisted()
+
+
 def _partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 @query("""
-    SELECT o_orderkey, o_custkey, quantity
-    FROM orders JOIN (SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1)
-      ON o_orderkey = l_orderkey
+    SELECT o_orderkey, o_custkey, l_linenumber, l_quantity
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    UNION ALL
+    SELECT o_orderkey, -1, l_linenumber, l_quantity
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey % 3 = 0
 """)
 def copartitioned_join(spark: SparkSession, folder: str) -> DataFrame:
+    # Keys repeat on both sides: some orders stand twice.
     n = _partitions(spark)
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    quantities = (
-        read_table(spark, folder, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.sum("l_quantity").alias("quantity"))
+    again = orders.filter("o_custkey % 3 = 0").select(
+        "o_orderkey", F.lit(-1).cast("bigint").alias("o_custkey")
+    )
+    lines = read_table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity"
     )
-    return placement.place_by_key(orders, n, "o_orderkey").join(
-        placement.place_by_key(quantities, n, "o_orderkey"), "o_orderkey"
+    return placement.place_by_key(orders.unionByName(again), n, "o_orderkey").join(
+        placement.place_by_key(lines, n, "o_orderkey"), "o_orderkey"
     )
 
 
@@ -40,21 +48,24 @@ def copartitioned_join(spark: SparkSession, folder: str) -> DataFrame:
     FROM events GROUP BY user_id
 """)
 def keys_per_partition(spark: SparkSession, folder: str) -> DataFrame:
-    counts = read_table(spark, folder, "events").groupBy("user_id").agg(
-        F.count("*").alias("events")
-    )
-    placed = placement.place_by_key(counts, _partitions(spark), "user_id")
+    events = read_table(spark, folder, "events").select("user_id")
+    return _partitions_of_keys(placement.place_by_key(events, _partitions(spark), "user_id"), "user_id")
+
+
+def _partitions_of_keys(placed: DataFrame, key: str) -> DataFrame:
+    """In how many partitions the rows of each key are, and how many they are."""
     return (
-        placed.withColumn("partition", F.spark_partition_id())
-        .groupBy("user_id")
-        .agg(F.countDistinct("partition").alias("partitions"), F.sum("events").alias("events"))
+        placement.rows_by_partition(placed, key)
+        .groupBy(key)
+        .agg(F.count("*").alias("partitions"), F.sum("rows").alias("events"))
     )
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def distribute_by(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return placement.distribute_by(orders, ["o_custkey"])
+    # Each customer's orders in four places, told apart by their key.
+    return placement.distribute_by(orders, ["o_custkey"], pieces=4, spread_by=["o_orderkey"])
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
@@ -119,10 +130,13 @@ def skew_join_avg(spark: SparkSession, folder: str) -> DataFrame:
     FROM lineitem GROUP BY l_suppkey
 """)
 def persisted_two_aggs(spark: SparkSession, folder: str) -> DataFrame:
-    # What is kept is the sums by supplier and line number, not the lines.
+    # What is kept is the sums by supplier and line number, not the lines; the
+    # entry of the last call is released before there is another.
+    KEPT.release()
     state = average_state(
         read_table(spark, folder, "lineitem"), ["l_suppkey", "l_linenumber"], "l_quantity"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    KEPT.keep(state)
     sums = state.groupBy("l_suppkey").agg(F.sum("total").alias("quantity"))
     averages = merge_average_state(state, "l_suppkey").select(
         "l_suppkey", finish_average().alias("average")

@@ -19,23 +19,24 @@ from sparkloom.sources.files import read_table
 """)
 def text_source_lines(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
-    path = files.write_text_lines(documents, "text", scratch_dir(spark, "text"))
+    path = files.write_text_lines(documents, "text", scratch_dir(spark, "documents-text", folder))
     lines = files.read_text_lines(spark, path).withColumnRenamed("value", "line")
     return lines.groupBy("line").agg(F.count("*").alias("copies"))
 
 
-def _text_lines(spark: SparkSession, rows: DataFrame, *columns: str) -> DataFrame:
+def _text_lines(
+    spark: SparkSession, folder: str, label: str, rows: DataFrame, *columns: str
+) -> DataFrame:
     """The columns as a text file of comma-separated lines, read back."""
-    lines = rows.select(F.concat_ws(",", *columns).alias("line"))
-    return files.read_text_lines(
-        spark, files.write_text_lines(lines, "line", scratch_dir(spark, "text"))
-    )
+    lines = rows.select(files.delimited(*columns).alias("line"))
+    path = files.write_text_lines(lines, "line", scratch_dir(spark, label, folder))
+    return files.read_text_lines(spark, path)
 
 
 @query("SELECT l_suppkey AS k, avg(l_quantity) AS average FROM lineitem GROUP BY l_suppkey")
 def text_avg_by_key(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = read_table(spark, folder, "lineitem")
-    lines = _text_lines(spark, lineitem, "l_suppkey", "l_quantity")
+    lines = _text_lines(spark, folder, "lineitem-text", lineitem, "l_suppkey", "l_quantity")
     pairs = parse_fields(lines, "value", {"k": "bigint", "v": "double"})
     return average_state(pairs, "k", "v").select("k", finish_average().alias("average"))
 
@@ -44,27 +45,34 @@ def text_avg_by_key(spark: SparkSession, folder: str) -> DataFrame:
     SELECT c_name || ' ' || n_name AS names FROM customer JOIN nation ON c_nationkey = n_nationkey
 """)
 def text_emp_dept_names(spark: SparkSession, folder: str) -> DataFrame:
+    customer, nation = read_table(spark, folder, "customer"), read_table(spark, folder, "nation")
     employees = _text_lines(
-        spark, read_table(spark, folder, "customer"), "c_name", "c_nationkey", "c_acctbal"
-    )
-    departments = _text_lines(
-        spark, read_table(spark, folder, "nation"), "n_name", "n_nationkey"
+        spark, folder, "customer-text", customer, "c_name", "c_nationkey", "c_acctbal"
     )
+    departments = _text_lines(spark, folder, "nation-text", nation, "n_name", "n_nationkey")
     employees = parse_fields(
         employees, "value", {"name": "string", "dno": "int", "address": "string"}
     )
     departments = parse_fields(departments, "value", {"dept": "string", "dno": "int"})
     return employees.join(departments, "dno").select(
-        F.concat_ws(" ", "name", "dept").alias("names")
+        F.concat("name", F.lit(" "), "dept").alias("names")
     )
 
 
 @query("""
-    SELECT cast(l_suppkey AS varchar) AS _c0, cast(l_quantity AS varchar) AS _c1 FROM lineitem
+    SELECT cast(l_orderkey AS varchar) AS _c0, cast(l_partkey AS varchar) AS _c1,
+           cast(l_suppkey AS varchar) AS _c2, cast(l_linenumber AS varchar) AS _c3,
+           cast(l_quantity AS varchar) AS _c4, cast(l_extendedprice AS varchar) AS _c5,
+           cast(l_discount AS varchar) AS _c6, cast(l_tax AS varchar) AS _c7,
+           l_returnflag AS _c8, l_linestatus AS _c9,
+           strftime(l_shipdate, '%Y-%m-%d') AS _c10
+    FROM lineitem
 """)
 def csv_no_header(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = read_table(spark, folder, "lineitem").select("l_suppkey", "l_quantity")
-    return files.read_csv_strings(spark, files.write_csv(pairs, scratch_dir(spark, "csv")))
+    lineitem = read_table(spark, folder, "lineitem")
+    dated = lineitem.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    path = files.write_csv(dated, scratch_dir(spark, "lineitem-csv", folder))
+    return files.read_csv_strings(spark, path, escaped=True)
 
 
 @query("""
@@ -75,8 +83,8 @@ def csv_no_header(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def csv_header_strings(spark: SparkSession, folder: str) -> DataFrame:
     customer = read_table(spark, folder, "customer")
-    path = files.write_csv(customer, scratch_dir(spark, "csv"), header=True)
-    return files.read_csv_strings(spark, path, header=True)
+    path = files.write_csv(customer, scratch_dir(spark, "customer-csv", folder), header=True)
+    return files.read_csv_strings(spark, path, header=True, escaped=True)
 
 
 @query("""
@@ -85,9 +93,9 @@ def csv_header_strings(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def csv_ddl_schema(spark: SparkSession, folder: str) -> DataFrame:
     supplier = read_table(spark, folder, "supplier")
-    path = files.write_csv(supplier, scratch_dir(spark, "csv"), header=True)
+    path = files.write_csv(supplier, scratch_dir(spark, "supplier-csv", folder), header=True)
     schema = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal float"
-    typed = files.read_csv(spark, path, schema, header=True)
+    typed = files.read_csv(spark, path, schema, header=True, escaped=True)
     return typed.withColumn("s_acctbal", F.col("s_acctbal").cast("double"))
 
 
@@ -98,17 +106,24 @@ def csv_ddl_schema(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def csv_struct_schema(spark: SparkSession, folder: str) -> DataFrame:
     part = read_table(spark, folder, "part")
-    path = files.write_csv(part, scratch_dir(spark, "csv"))
-    return files.read_csv(spark, path, files.string_schema(*part.columns))
+    path = files.write_csv(part, scratch_dir(spark, "part-csv", folder))
+    return files.read_csv(spark, path, files.string_schema(*part.columns), escaped=True)
 
 
-@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+@query("""
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+           'whole,string,whole,double,string' AS inferred
+    FROM customer
+""")
 def csv_infer_schema(spark: SparkSession, folder: str) -> DataFrame:
     customer = read_table(spark, folder, "customer")
-    path = files.write_csv(customer, scratch_dir(spark, "csv"), header=True)
-    inferred = files.read_csv_inferred(spark, path)
+    path = files.write_csv(customer, scratch_dir(spark, "inferred-csv", folder), header=True)
+    inferred = files.read_csv_inferred(spark, path, escaped=True)
+    # Whether a whole number fits an int depends on the data, not on inference.
+    kinds = [{"int": "whole", "bigint": "whole"}.get(kind, kind) for _, kind in inferred.dtypes]
     return inferred.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in customer.schema.fields]
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in customer.schema.fields],
+        F.lit(",".join(kinds)).alias("inferred"),
     )
 
 
@@ -118,7 +133,7 @@ def csv_infer_schema(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def json_source(spark: SparkSession, folder: str) -> DataFrame:
     path = files.write_json_lines(
-        read_table(spark, folder, "supplier"), scratch_dir(spark, "json")
+        read_table(spark, folder, "supplier"), scratch_dir(spark, "supplier-json", folder)
     )
     suppliers = files.read_json_lines(spark, path)
     balance = F.col("s_acctbal").cast("decimal(18,2)")
@@ -127,12 +142,14 @@ def json_source(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+           strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
+    FROM orders
+""")
 def parquet_scan(spark: SparkSession, folder: str) -> DataFrame:
     orders = spark.read.format("parquet").load(f"{folder}/orders.parquet")
-    return orders.select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
-    )
+    return orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
 # The six people of the in-memory table.
@@ -165,20 +182,21 @@ def inline_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    SELECT id, count(l_orderkey) AS lines
-    FROM (SELECT unnest(range((SELECT min(o_orderkey) FROM orders),
-                              (SELECT max(o_orderkey) + 1 FROM orders))) AS id)
-    LEFT JOIN lineitem ON l_orderkey = id GROUP BY id
+    SELECT id, count(c_custkey) AS customers
+    FROM (SELECT unnest(range((SELECT min(n_nationkey) FROM nation),
+                              (SELECT max(n_nationkey) + 1 FROM nation)))::BIGINT AS id)
+    LEFT JOIN customer ON c_nationkey = id GROUP BY id
 """)
 def range_source(spark: SparkSession, folder: str) -> DataFrame:
-    low, high = generated.key_bounds(read_table(spark, folder, "orders"), "o_orderkey")
-    lines = (
-        read_table(spark, folder, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("id"))
-        .agg(F.count("*").alias("lines"))
+    # A range over the keys of a dimension of fixed size.
+    low, high = generated.key_bounds(read_table(spark, folder, "nation"), "n_nationkey")
+    customers = (
+        read_table(spark, folder, "customer")
+        .groupBy(F.col("c_nationkey").cast("bigint").alias("id"))
+        .agg(F.count("*").alias("customers"))
     )
     ids = generated.id_range(spark, low, high, inclusive=True)
-    return ids.join(lines, "id", "left").fillna(0, ["lines"])
+    return ids.join(customers, "id", "left").fillna(0, ["customers"])
 
 
 @query("""
@@ -192,31 +210,27 @@ def gen_kv_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    SELECT i, cast(sum((i * 31 + j * 17) % 10) AS bigint) AS row_sum
-    FROM (SELECT unnest(range((SELECT max(s_suppkey) + 1 FROM supplier))) AS i),
-         (SELECT unnest(range((SELECT max(n_nationkey) + 1 FROM nation))) AS j)
-    GROUP BY i
+    SELECT l_partkey AS i, cast(sum((l_partkey * 31 + l_suppkey * 17) % 10) AS bigint) AS row_sum,
+           count(*) AS cells
+    FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) GROUP BY l_partkey
 """)
 def gen_coo(spark: SparkSession, folder: str) -> DataFrame:
-    _, last_row = generated.key_bounds(read_table(spark, folder, "supplier"), "s_suppkey")
-    _, last_col = generated.key_bounds(read_table(spark, folder, "nation"), "n_nationkey")
-    cells = generated.grid_cells(spark, last_row + 1, last_col + 1)
-    return (
-        cells.withColumn("v", (F.col("i") * 31 + F.col("j") * 17) % generated.CELL_MAX)
-        .groupBy("i")
-        .agg(F.sum("v").alias("row_sum"))
-    )
+    # A generated value for each cell that the lines name.
+    cells = generated.cells_from_keys(read_table(spark, folder, "lineitem"), "l_partkey", "l_suppkey")
+    return cells.groupBy("i").agg(F.sum("v").alias("row_sum"), F.count("*").alias("cells"))
 
 
-@query("SELECT o_orderkey, o_orderpriority FROM orders")
+@query("""
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders
+""")
 def csv_to_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    orders = read_table(spark, folder, "orders").select(*columns)
-    csv = files.write_csv(orders, scratch_dir(spark, "csv"))
-    strings = files.read_csv(spark, csv, files.string_schema(*columns))
-    parquet = files.write_parquet(strings, scratch_dir(spark, "parquet"))
+    orders = read_table(spark, folder, "orders")
+    dated = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    csv = files.write_csv(dated, scratch_dir(spark, "orders-csv", folder))
+    strings = files.read_csv(spark, csv, files.string_schema(*orders.columns), escaped=True)
+    parquet = files.write_parquet(strings, scratch_dir(spark, "orders-parquet", folder))
     return spark.read.parquet(parquet).select(
-        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderpriority"
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderdate", "o_orderpriority"
     )
 
 

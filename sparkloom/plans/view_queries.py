@@ -6,23 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.functions import user_defined as u
-from sparkloom.operators.views import as_global_view, query_views
+from sparkloom.operators.views import as_global_view, query_frames
 from sparkloom.plans.registry import query
 from sparkloom.sources.files import read_table
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 18")
 def temp_view_sql(spark: SparkSession, folder: str) -> DataFrame:
-    return query_views(
+    return query_frames(
         spark,
-        "SELECT c_custkey, c_name FROM people WHERE c_acctbal > 18",
+        "SELECT c_custkey, c_name FROM {people} WHERE c_acctbal > 18",
         people=read_table(spark, folder, "customer"),
     )
 
 
 @query("SELECT c_custkey, c_name FROM customer")
 def global_view_other_session(spark: SparkSession, folder: str) -> DataFrame:
-    view = as_global_view(read_table(spark, folder, "customer"), "people")
+    view = as_global_view(read_table(spark, folder, "customer"), "sparkloom_customers")
     return spark.newSession().sql(f"SELECT c_custkey, c_name FROM {view}")
 
 
@@ -37,9 +37,9 @@ def random_column(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT p_partkey, p_size + 1 AS next_size FROM part")
 def udf_plus_one(spark: SparkSession, folder: str) -> DataFrame:
     u.register_functions(spark)
-    return query_views(
+    return query_frames(
         spark,
-        "SELECT p_partkey, plus_one(p_size) AS next_size FROM part",
+        "SELECT p_partkey, plus_one(p_size) AS next_size FROM {part}",
         part=read_table(spark, folder, "part"),
     )
 
@@ -47,9 +47,9 @@ def udf_plus_one(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT p_partkey, p_size FROM part WHERE p_size > 5")
 def udf_filter(spark: SparkSession, folder: str) -> DataFrame:
     u.register_functions(spark)
-    return query_views(
+    return query_frames(
         spark,
-        "SELECT p_partkey, p_size FROM part WHERE one_arg_filter(p_size)",
+        "SELECT p_partkey, p_size FROM {part} WHERE one_arg_filter(p_size)",
         part=read_table(spark, folder, "part"),
     )
 
@@ -58,9 +58,9 @@ def udf_filter(spark: SparkSession, folder: str) -> DataFrame:
     SELECT cast(sum(l_linenumber) AS double) / count(l_linenumber) AS average FROM lineitem
 """)
 def udaf_my_average(spark: SparkSession, folder: str) -> DataFrame:
-    return query_views(
+    return query_frames(
         spark,
-        f"SELECT {u.my_average_sql('l_linenumber')} AS average FROM lineitem",
+        f"SELECT {u.my_average_sql('l_linenumber')} AS average FROM {{lineitem}}",
         lineitem=read_table(spark, folder, "lineitem"),
     )
 

@@ -53,6 +53,16 @@ def random_pairs(spark: SparkSession, n: int, seed: int = 0) -> DataFrame:
     )
 
 
+def cells_from_keys(df: DataFrame, row: str, column: str) -> DataFrame:
+    """A matrix (i, j, v) with a cell for each pair of keys a table holds.
+
+    The value is below ten and made by arithmetic, so it repeats.
+    """
+    i, j = F.col("i"), F.col("j")
+    pairs = df.select(F.col(row).alias("i"), F.col(column).alias("j")).distinct()
+    return pairs.withColumn("v", F.pmod(i * 31 + j * 17, F.lit(CELL_MAX)))
+
+
 def grid_cells(spark: SparkSession, n: int, m: int) -> DataFrame:
     """All positions (i, j) of an n by m matrix, from one range over n * m."""
     return spark.range(n * m).select(

@@ -14,7 +14,7 @@ from sparkloom.functions import text
 from sparkloom.functions import user_defined as u
 from sparkloom.operators import keyed, matrix, placement, regression, views
 from sparkloom.plans.source_queries import PEOPLE
-from sparkloom.session import TB, scratch_dir, settings_for
+from sparkloom.session import release_scratch, scratch_dir, shared_root
 from sparkloom.sources import files, generated
 
 PEOPLE_SCHEMA = "id int, name string, age int, city string"
@@ -249,7 +249,8 @@ def test_sums_and_groups(letters):
         ("A", 2), ("B", 2), ("C", 3), ("D", 1),
     ]
     groups = keyed.group_values(letters, "k", "v")
-    assert rows(groups.select("k", F.size("values"))) == [("A", 2), ("B", 2), ("C", 3), ("D", 1)]
+    sizes = F.aggregate("values", F.lit(0).cast("bigint"), lambda n, e: n + e["copies"])
+    assert rows(groups.select("k", sizes)) == [("A", 2), ("B", 2), ("C", 3), ("D", 1)]
     assert letters.distinct().count() == 4
 
 
@@ -261,11 +262,11 @@ def test_inner_join_multiplicity(x_pairs, y_pairs):
 def test_cogroup(x_pairs, y_pairs):
     groups = keyed.cogroup_values(x_pairs, y_pairs, "k", "v", "v")
     assert rows(groups) == [
-        (1, 0, ["a", "h"], ["A", "A"]),
-        (2, 0, ["b", "g"], ["B", "B"]),
-        (3, 0, ["c", "f"], ["C", "C", "C"]),
-        (4, 0, ["d"], ["D"]),
-        (5, 0, ["e"], []),
+        (1, 0, [("a", 1), ("h", 1)], [("A", 2)]),
+        (2, 0, [("b", 1), ("g", 1)], [("B", 2)]),
+        (3, 0, [("c", 1), ("f", 1)], [("C", 3)]),
+        (4, 0, [("d", 1)], [("D", 1)]),
+        (5, 0, [("e", 1)], []),
     ]
 
 
@@ -374,6 +375,13 @@ def test_global_view_is_seen_by_other_sessions(spark, people):
     name = views.as_global_view(people, "people_everywhere")
     assert spark.newSession().sql(f"SELECT * FROM {name}").count() == 6
     assert views.as_global_view(people, "people_everywhere") == name
+    assert views.drop_global_view(spark, "people_everywhere")
+
+
+def test_frames_in_sql_leave_no_view(spark, people):
+    views.as_view(spark.range(3), "people")
+    found = views.query_frames(spark, "SELECT * FROM {people} WHERE age > 18", people=people)
+    assert found.count() == 4 and spark.table("people").count() == 3
 
 
 def test_sql_functions(spark):
@@ -400,6 +408,10 @@ def test_my_average(spark):
     views.as_view(salaries, "employees")
     sql = f"SELECT {u.my_average_sql('salary')} AS a FROM employees"
     assert spark.sql(sql).first()["a"] == 3750.0
+    cents = generated.literal_rows(spark, [(10.9,), (11.9,), (None,)], "salary double")
+    assert cents.agg(u.my_average(F.col("salary")).alias("a")).first()["a"] == pytest.approx(11.4)
+    exact = cents.select(F.col("salary").cast("decimal(10,2)").alias("salary"))
+    assert exact.agg(u.my_average(F.col("salary")).alias("a")).first()["a"] == 11.4
     empty = salaries.filter("salary > 10000")
     assert empty.agg(u.my_average(F.col("salary")).alias("a")).first()["a"] is None
 
@@ -488,36 +500,36 @@ def test_normal_equations_and_theta(spark):
 # Files
 
 
-def test_settings_grow_with_the_input():
-    def partitions(size):
-        return int(settings_for(size)["spark.sql.shuffle.partitions"])
-
-    assert partitions(0) == 200
-    assert partitions(TB) == 4096
-    assert partitions(100 * TB) == 40_000
-    assert settings_for(100 * TB)["spark.sql.files.maxPartitionBytes"] == str(512 * 1024**2)
+def test_scratch_dir_is_the_sessions_and_stays(spark):
+    path = scratch_dir(spark, "x", "/tables/a")
+    assert path == scratch_dir(spark, "x", "/tables/a") != scratch_dir(spark, "x", "/tables/b")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_scratch_dir_follows_the_session(spark):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    path = scratch_dir(spark, "x")
-    assert path != scratch_dir(spark, "x")
-    assert shared is None or path.startswith(shared)
-
-
-def test_scratch_dir_of_a_cluster_must_be_shared():
+def test_scratch_dir_without_a_checkpoint_folder_is_the_warehouse():
     class Conf:
-        def get(self, key, default):
-            return default
+        def get(self, key, *default):
+            return default[0] if default else "file:/warehouse/"
 
     class Session:
         conf = Conf()
-        sparkContext = type("Context", (), {"master": "spark://somewhere"})
+        sparkContext = type("Context", (), {"master": "spark://somewhere", "applicationId": "app-1"})
+
+    assert scratch_dir(Session(), "x") == "file:/warehouse/sparkloom-app-1/x"
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(Session(), "x")
-    Session.sparkContext.master = "local[2]"
-    assert scratch_dir(Session(), "x").startswith("/tmp/run-")
+
+def test_calls_of_a_query_leave_one_copy(spark):
+    import os
+
+    import __spark_entry__ as entry_module
+
+    release_scratch(spark)
+    for _ in range(3):
+        entry_module.queries()["csv_to_parquet"](spark, "/root/testdata/sf0.001")
+    found = os.listdir(shared_root(spark).removeprefix("file:"))
+    assert len(found) == 2
+    release_scratch(spark)
+    assert not os.path.exists(shared_root(spark).removeprefix("file:"))
 
 
 def test_csv_under_each_schema(spark, people):
@@ -526,13 +538,65 @@ def test_csv_under_each_schema(spark, people):
     assert dict(strings.dtypes) == {c: "string" for c in people.columns}
     assert rows(files.read_csv(spark, path, PEOPLE_SCHEMA, header=True)) == rows(people)
     assert dict(files.read_csv_inferred(spark, path).dtypes)["age"] == "int"
-    bare = files.write_csv(people, scratch_dir(spark, "csv"))
+    bare = files.write_csv(people, scratch_dir(spark, "csv-bare"))
     assert files.read_csv_strings(spark, bare).columns == ["_c0", "_c1", "_c2", "_c3"]
     assert rows(files.read_csv(spark, bare, files.string_schema(*people.columns))) == [
         tuple(str(v) for v in p) for p in PEOPLE
     ]
 
 
+# Values that a careless file format loses.
+HARD = [
+    (1, "two\nlines", 1.5), (2, 'quo"te, comma', None), (3, "", 0.0), (None, None, -0.0),
+    (5, "back\\slash \\n", 2.5), (6, "car\rriage", 3.5), (7, "  spaces  ", 1e300), (8, "\\N", 4.0),
+    (9, "%0A %25", 5.0), (10, '"', 6.0), (11, "\r\n", 7.0), (12, "é\t日", 8.0), (13, "NULL", 9.0),
+]
+HARD_SCHEMA = "id int, t string, v double"
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_csv_keeps_hard_values(spark, header):
+    df = generated.literal_rows(spark, HARD, HARD_SCHEMA)
+    path = files.write_csv(df, scratch_dir(spark, f"hard-{header}"), header=header)
+    back = files.read_csv(spark, path, HARD_SCHEMA, header=header, escaped=True)
+    assert rows(back) == rows(df)
+    strings = files.read_csv_strings(spark, path, header=header, escaped=True)
+    assert sorted(map(str, (r[1] for r in rows(strings)))) == sorted(map(str, (r[1] for r in HARD)))
+    if header:
+        assert rows(files.read_csv_inferred(spark, path, escaped=True)) == rows(df)
+
+
+def test_json_keeps_hard_values(spark):
+    df = generated.literal_rows(spark, HARD, HARD_SCHEMA)
+    path = files.write_json_lines(df, scratch_dir(spark, "hard-json"))
+    assert rows(files.read_json_lines(spark, path, HARD_SCHEMA)) == rows(df)
+
+
+def test_text_lines_keep_hard_values(spark):
+    df = generated.literal_rows(spark, [("a\rb",), (None,), ("",), ("c\r",)], "t string")
+    path = files.write_text_lines(df, "t", scratch_dir(spark, "hard-text"))
+    assert rows(files.read_text_lines(spark, path)) == rows(df.filter("t is not null"))
+
+
+def test_delimited_fields_keep_nulls(spark):
+    df = generated.literal_rows(spark, [(None, 1.5), (2, None), (None, None)], "k int, v double")
+    lines = df.select(files.delimited("k", "v").alias("line"))
+    for lenient in (False, True):
+        back = text.parse_fields(lines, "line", {"k": "int", "v": "double"}, lenient=lenient)
+        assert rows(back) == rows(df)
+
+
+def test_typed_reads_are_loud(spark):
+    bad = generated.literal_rows(spark, [("1,x",), ("2,3.5",)], "line string")
+    path = files.write_text_lines(bad, "line", scratch_dir(spark, "bad-csv"))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        files.read_csv(spark, path, "k int, v double").collect()
+    broken = generated.literal_rows(spark, [('{"k": 1}',), ('{"k": ',)], "line string")
+    path = files.write_text_lines(broken, "line", scratch_dir(spark, "bad-json"))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        files.read_json_lines(spark, path, "k int").collect()
+
+
 def test_json_and_parquet(spark, people):
     path = files.write_json_lines(people, scratch_dir(spark, "json"))
     assert rows(files.read_json_lines(spark, path).select(*people.columns)) == rows(people)

@@ -38,7 +38,8 @@ def test_sum_through_lists_is_the_sum(spark):
 
     lineitem = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     through = group_values(lineitem, "l_suppkey", "l_quantity").select(
-        "l_suppkey", F.aggregate("values", F.lit(0.0), lambda a, x: a + x).alias("s")
+        "l_suppkey",
+        F.aggregate("values", F.lit(0.0), lambda a, e: a + e["value"] * e["copies"]).alias("s"),
     )
     assert bag(through) == bag(sum_by_key(lineitem, "l_suppkey", "l_quantity", "s"))
 
