@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkloom.llm.shared import join_groups, keep, text_of
+from sparkloom.llm.shared import boxed, join_groups, keep, text_of
 
 # Bits of the bitmap of surviving groups, in pieces of Spark's own bitmap size.
 BITMAP_PIECE = 32768
@@ -83,10 +83,10 @@ def only_surviving(rows: DataFrame, keys: list[Column], bitmap: DataFrame, wante
 
 
 class Refined:
-    """The two bitmaps of a table, and what they say of a row."""
+    """The two bitmaps of a table, and what they say of a row. ``text`` is never null."""
 
-    def __init__(self, docs: DataFrame, text_col: str = "text"):
-        self.text = text_of(text_col)
+    def __init__(self, docs: DataFrame, text: Column):
+        self.text = text
         self.length = F.octet_length(self.text)
         self.head = prefix_hash(self.text)
         self.by_length = keep(surviving(docs, [self.length]), "lengths")
@@ -122,15 +122,11 @@ def exact_groups(
     ``full_hash`` is null where the refinement ended before the full text was
     read; with ``all_digests`` it is computed there too.
     """
-    refined = Refined(docs, text_col)
-    total = docs.count()
-    sha = folded_sha256(refined.text)
-    hashed = keep(
-        refined.survivors(docs.select(id_col, text_col)).select(
-            F.col(id_col).alias("_id"), sha.alias("_sha")
-        ),
-        "hashes",
-    )
+    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
+    refined = Refined(rows, F.col("_text"))
+    total = rows.count()
+    sha = folded_sha256("_text")
+    hashed = keep(refined.survivors(rows).select("_id", sha.alias("_sha")), "hashes")
     # Rows of one id and text are told apart by a number.
     copies = hashed.groupBy("_id", "_sha").agg(F.count("*").alias("_n"))
     groups = keep(_groups(hashed), "groups")
@@ -148,9 +144,9 @@ def exact_groups(
         (F.col(id_col).eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)).alias("kept"),
         "full_hash",
     )
-    alone = refined.settled(docs.select(id_col, text_col)).select(
-        id_col,
-        F.col(id_col).alias("keep_id"),
+    alone = refined.settled(rows).select(
+        F.col("_id").alias(id_col),
+        F.col("_id").alias("keep_id"),
         F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"),
         (sha if all_digests else F.lit(None).cast("string")).alias("full_hash"),
@@ -165,18 +161,19 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     meets its group by (id, hash): of a hot group only one such key exists, and
     its other rows are spread by their ids.
     """
-    refined = Refined(docs, text_col)
-    columns = docs.columns
-    hashed = refined.survivors(docs).withColumn("_sha", folded_sha256(refined.text))
+    box = boxed(docs, _id=id_col)
+    text = F.coalesce(F.col("_doc")[text_col], F.lit(""))
+    refined = Refined(box, text)
+    hashed = refined.survivors(box).withColumn("_sha", folded_sha256(text))
     stays = (
         hashed.groupBy("_sha")
-        .agg(F.max(id_col).alias("_keep"))
-        .select(F.struct("_keep", "_sha").alias("_key"))
+        .agg(F.max("_id").alias("_id"))
+        .select(F.struct("_id", "_sha").alias("_key"))
     )
     kept = (
-        hashed.withColumn("_key", F.struct(F.col(id_col).alias("_keep"), F.col("_sha")))
+        hashed.withColumn("_key", F.struct("_id", "_sha"))
         .join(stays, "_key", "left_semi")
         .dropDuplicates(["_key"])
-        .select(*columns)
+        .select("_doc.*")
     )
-    return refined.settled(docs).unionByName(kept)
+    return refined.settled(box).select("_doc.*").unionByName(kept)

@@ -27,6 +27,17 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def boxed(docs: DataFrame, **named: str) -> DataFrame:
+    """Each row as the struct ``_doc``, with some of its columns under given names.
+
+    A step that adds columns of its own to such a frame cannot meet a column of
+    the input; ``select("_doc.*")`` gives the rows back.
+    """
+    return docs.select(
+        F.expr("struct(*)").alias("_doc"), *[F.col(c).alias(name) for name, c in named.items()]
+    )
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """CRC-32 of the value written as text, modulo ``modulus``; a null counts as empty."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import golay
 from sparkloom.llm.components import components
-from sparkloom.llm.shared import join_groups, keep, runs, spread, text_of
+from sparkloom.llm.shared import boxed, join_groups, keep, runs, spread, text_of
 
 SHINGLE = 4
 MAX_BITS = 4  # the segments below are made for four
@@ -230,11 +230,11 @@ def drop_near_copies(
         .select("_key")
         .distinct()
     )
-    key = F.struct(F.col(id_col).alias("_id"), F.xxhash64(text_of(text_col)).alias("_hash"))
-    columns = docs.columns
+    text = F.coalesce(F.col("_doc")[text_col], F.lit(""))
     return (
-        docs.withColumn("_key", key)
+        boxed(docs, _id=id_col)
+        .withColumn("_key", F.struct("_id", F.xxhash64(text).alias("_hash")))
         .join(stays, "_key", "left_semi")
         .dropDuplicates(["_key"])
-        .select(*columns)
+        .select("_doc.*")
     )
