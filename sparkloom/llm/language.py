@@ -161,16 +161,19 @@ class Parser:
         active = np.searchsorted(-sizes[order], -np.arange(BLOCK), side="left")
         start = np.array(self.starts, dtype=np.int64)[:, None]
         state = np.repeat(start, len(blocks), axis=1)
-        count = np.ones((k, len(blocks)), dtype=np.int64)
+        count = np.zeros((k, len(blocks)), dtype=np.int64)
         for t in range(int(sizes[order[0]])):
             m = int(active[t])
             symbol = grid[t, :m].astype(np.int64)
-            at = state[:, :m] * SYMBOLS + symbol
-            to = self.moves[at]
+            now = state[:, :m]
+            to = self.moves[now * SYMBOLS + symbol]
             failed = to == 0
-            if failed.any():
-                count[:, :m] += failed
+            # A phrase begins where none is under way or the last one ends.
+            begins = failed | (now == start)
+            if begins.any():
+                count[:, :m] += begins
                 again = self.moves[start * SYMBOLS + symbol]
+                # A symbol the sample lacks is a phrase by itself.
                 again = np.where(again == 0, start, again)
                 to = np.where(failed, again, to)
             state[:, :m] = to
