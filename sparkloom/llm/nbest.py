@@ -27,10 +27,12 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from array import array as packed_array
 from collections.abc import Iterable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -246,7 +248,6 @@ def encode(
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """The rows with ``text``, what the pieces spell; null pieces give a null text."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def spell(ids: pd.Series) -> pd.Series:
@@ -264,7 +265,6 @@ def digests(
     For corpora whose pieces nobody stores: the ids do not leave the task that
     finds them. ``round_trip`` says whether decoding gives the normalised text.
     """
-    import zlib
 
     def work(texts: list[str]) -> tuple[list[int], dict]:
         own = segmenter(path, best)

@@ -306,11 +306,11 @@ MORE = "click here to read more of our best stories of this whole long week"
 
 def test_repeats_within_a_host_are_removed(spark):
     rows = [
-        (1, "http://a.org/1", body(MORE, "first own words", SAME)),
-        (2, "http://A.org:80/2", body(MORE, "second own words", SAME)),
-        (3, "http://b.org/1", body(MORE, "third own words", SAME)),
+        (1, "http://a.org/1", body(MORE, "alpha beta gamma", SAME)),
+        (2, "http://A.org:80/2", body(MORE, "delta epsilon zeta", SAME)),
+        (3, "http://b.org/1", body(MORE, "eta theta iota", SAME)),
         (4, "http://a.org/4", body("quoted " + MORE)),
-        (5, "http://a.org/1?x", body(MORE, "first own words", SAME)),
+        (5, "http://a.org/1?x", body(MORE, "alpha beta gamma", SAME)),
         (6, None, None),
         (7, "http://a.org/7", ""),
         (8, "http://a.org/8", "<article>" + SAME + "</article>"),
@@ -325,8 +325,8 @@ def test_repeats_within_a_host_are_removed(spark):
     out = sorted(((r.page_id, r.text) for r in found.collect()), key=repr)
     assert out == sorted(
         [
-            (1, "first own words"), (2, "second own words"), (3, f"{MORE} third own words {SAME}"),
-            (4, "quoted"), (5, "first own words"), (6, ""), (7, ""), (8, SAME), (8, SAME),
+            (1, "alpha beta gamma"), (2, "delta epsilon zeta"), (3, f"{MORE} eta theta iota {SAME}"),
+            (4, "quoted"), (5, "alpha beta gamma"), (6, ""), (7, ""), (8, SAME), (8, SAME),
             (None, "tiny"), (2**60 + 1, "big"),
         ],
         key=repr,
