@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkloom.llm.shared import boxed, join_groups, keep, text_of
+from sparkloom.llm.shared import boxed, join_groups, keep, ship, text_of
 
 # Bits of the bitmap of surviving groups, in pieces of Spark's own bitmap size.
 BITMAP_PIECE = 32768
@@ -122,6 +122,7 @@ def exact_groups(
     ``full_hash`` is null where the refinement ended before the full text was
     read; with ``all_digests`` it is computed there too.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
     refined = Refined(rows, F.col("_text"))
     total = rows.count()
@@ -161,6 +162,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     meets its group by (id, hash): of a hot group only one such key exists, and
     its other rows are spread by their ids.
     """
+    ship(docs.sparkSession)
     box = boxed(docs, _id=id_col)
     text = F.coalesce(F.col("_doc")[text_col], F.lit(""))
     refined = Refined(box, text)

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import map_texts, text_of
+from sparkloom.llm.shared import map_texts, ship, text_of
 
 MARK = "▁"
 BEST = 3
@@ -248,7 +248,7 @@ def encode(
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """The rows with ``text``, what the pieces spell; null pieces give a null text."""
-
+    ship(encoded.sparkSession)
     @F.pandas_udf("string")
     def spell(ids: pd.Series) -> pd.Series:
         own = segmenter(path)

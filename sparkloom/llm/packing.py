@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import keep, map_texts, text_of
+from sparkloom.llm.shared import keep, map_texts, ship, text_of
 
 CAPACITY = 4096
 END = 1
@@ -201,6 +201,7 @@ def pack(
 
     ``nearly_full`` is the fill from which a bin is done, 63 parts in 64 by default.
     """
+    ship(docs.sparkSession)
     done = nearly_full if nearly_full is not None else capacity * NEARLY_FULL // CAPACITY
     cut = keep(pieces(docs, path, id_col, text_col, capacity, end), "pieces")
     left = cut.filter(F.col("length") < capacity).select("item", "length")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkloom.llm.shared import crc_mod, keep, text_of
+from sparkloom.llm.shared import crc_mod, keep, ship, text_of
 
 FEATURES = (
     "log_chars", "log_words", "log_lines", "word_length", "word_length_spread", "letters",
@@ -265,6 +265,7 @@ def score_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per row: the id, held_out, score and predicted."""
+    ship(docs.sparkSession)
     described = keep(
         docs.select(id_col, text_statistics(text_of(text_col)).alias("x")), "statistics"
     )
@@ -284,6 +285,7 @@ def drop_low_quality(
     The fit reads the texts of labelled rows; the scores are computed in the
     scan that filters, so no text is shuffled.
     """
+    ship(docs.sparkSession)
     described = docs.select(id_col, text_statistics(text_of(text_col)).alias("x"))
     model = fit(keep(labelled(described, labels, id_col), "labelled"))
     kept = score_column(model, text_statistics(text_of(text_col))) >= THRESHOLD

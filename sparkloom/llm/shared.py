@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+import sparkloom
 from sparkloom.session import shared_root
 
 # A key that holds one row in this many is hot, so there are fewer hot keys
@@ -22,6 +26,33 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers import this library, once for each application.
+
+    Its sources go as an archive to the shared folder and from there to every
+    worker, so executors need no copy of the repository. Operators that run
+    Python call this first.
+    """
+    context = spark.sparkContext
+    root = Path(sparkloom.__file__).parent
+    if context.applicationId in _shipped or not root.is_dir():
+        return
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as target:
+        for path in sorted(root.rglob("*.py")):
+            target.write(path, str(path.relative_to(root.parent)))
+    name = f"{shared_root(spark)}-sources/sparkloom_sources.zip"
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(archive.getvalue()))
+    out.close()
+    context.addPyFile(name)
+    _shipped.add(context.applicationId)
+
+
 def text_of(column: str) -> Column:
     """The text, a null one as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -89,6 +120,7 @@ def map_texts(df: DataFrame, work: Callable, fields: str) -> DataFrame:
     of columns of ``fields``, written as DDL. The other columns pass as Arrow
     arrays, so nulls and large numbers stay what they are.
     """
+    ship(df.sparkSession)
     others = [c for c in df.columns if c != "_text"]
     schema = T.StructType([df.schema[c] for c in others])
     added = T.StructType.fromDDL(fields)

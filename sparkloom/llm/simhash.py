@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import golay
 from sparkloom.llm.components import components
-from sparkloom.llm.shared import boxed, join_groups, keep, runs, spread, text_of
+from sparkloom.llm.shared import boxed, join_groups, keep, runs, ship, spread, text_of
 
 SHINGLE = 4
 MAX_BITS = 4  # the segments below are made for four
@@ -196,6 +196,7 @@ def near_groups(
     """One row per row: the id, ``fp`` (signed), ``component_id``, and the root
     fingerprint of the component and a hash of the text, which tell apart rows
     that share an id."""
+    ship(docs.sparkSession)
     prints = keep(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     total = prints.count()
     nodes = keep(

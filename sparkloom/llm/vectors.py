@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkloom.llm.components import components
-from sparkloom.llm.shared import join_groups, keep, runs, spread
+from sparkloom.llm.shared import join_groups, keep, runs, ship, spread
 
 COSINE = 0.95
 KEYS = 24
@@ -336,6 +336,7 @@ def near_vectors(
     cosine: float = COSINE, tile: int = TILE,
 ) -> DataFrame:
     """One row per row: the id, n_links, component_id and kept."""
+    ship(table.sparkSession)
     named = table.select(F.col(id_col).alias("_id"), F.col(vector_col).alias("vector"))
     good = named.filter(usable("vector"))
     # Equal vectors are one node; -0.0 and 0.0 are equal here.
