@@ -33,8 +33,7 @@ def sum_of_units(units: Column) -> Column:
     High and low parts are summed as bigints, which is several times faster than
     a sum of decimals, and put together once.
     """
-    low = F.pmod(units, F.lit(PART))
-    high = F.floor((units - low) / PART).cast("bigint")
+    low, high = units % PART, F.call_function("div", units, F.lit(PART))
     return (
         F.sum(high).cast("decimal(19,0)") * F.lit(Decimal(PART)) + F.sum(low).cast("decimal(19,0)")
     ).cast("decimal(30,0)")

@@ -273,6 +273,9 @@ def test_million_values_of_one_key(spark):
 
 
 def test_sums_beyond_a_bigint(spark):
+    odd = [2**63 - 1, -(2**63), 9_223_372_036 * 10**9, -1, 999_999_999, -(10**9) - 1, 5] * 3
+    frame = spark.createDataFrame([(v,) for v in [*odd, None]], "u bigint")
+    assert frame.agg(sum_of_units(F.col("u"))).first()[0] == sum(odd)
     rows = spark.range(200).select((F.lit(9 * 10**16) + F.col("id") * 16).cast("double").alias("x"))
     units = spark.range(40).select((F.lit(9 * 10**18) + F.col("id")).alias("u"))
     assert units.agg(sum_of_units(F.col("u"))).first()[0] == sum(9 * 10**18 + i for i in range(40))
