@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkloom.llm.shared import boxed, join_groups, keep, ship, text_of
+from sparkloom.llm.shared import boxed, join_groups, keep, resident, ship, text_of
 
 # Bits of the bitmap of surviving groups, in pieces of Spark's own bitmap size.
 BITMAP_PIECE = 32768
@@ -37,6 +37,7 @@ def folded_sha256(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """SHA-256 of each text in UTF-8, A-Z lower-cased, as lowercase hex."""
     import hashlib
 
+    resident("digests")
     for batch in texts:
         # bytes.lower changes A-Z and no other byte.
         yield pd.Series([hashlib.sha256(t.encode().lower()).hexdigest() for t in batch], dtype=object)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import crc_mod, map_texts, text_of
+from sparkloom.llm.shared import crc_mod, map_texts, resident, text_of
 
 SAMPLE_ROWS = 64
 SAMPLE_SYMBOLS = 40_000
@@ -201,16 +201,9 @@ class Parser:
         ]
 
 
-_parsers: dict[int, Parser] = {}
-
-
 def parser(samples: dict[str, str]) -> Parser:
-    """One for each sample and worker; the automata of another sample are dropped."""
-    key = hash(tuple(sorted(samples.items())))
-    if key not in _parsers:
-        _parsers.clear()
-        _parsers[key] = Parser(samples)
-    return _parsers[key]
+    """One for each sample and worker."""
+    return resident(("parser", *sorted(samples.items())), lambda: Parser(samples))
 
 
 def sample(

@@ -29,14 +29,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import keep, map_texts, ship, text_of
+from sparkloom.llm.shared import keep, map_texts, resident, ship, text_of
 
 CAPACITY = 4096
 END = 1
 PART_ITEMS = 100_000
 FAN_IN = 8
 NEARLY_FULL = 4032  # of CAPACITY
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 JOINED = 512  # words per call of the tokenizer
 
 # Texts with these are tokenized whole: special tokens, and controls that split()
@@ -99,14 +99,9 @@ class WordTokenizer:
             yield self.whole(t) if words is None else b"".join([known[w] for w in words])
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
-
-
 def tokenizer(path: str) -> WordTokenizer:
     """One for each file and worker."""
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+    return resident(("words", path), lambda: WordTokenizer(path))
 
 
 def pieces(

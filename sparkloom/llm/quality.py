@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkloom.llm.shared import crc_mod, keep, ship, text_of
+from sparkloom.llm.shared import crc_mod, keep, resident, ship, text_of
 
 FEATURES = (
     "log_chars", "log_words", "log_lines", "word_length", "word_length_spread", "letters",
@@ -102,6 +102,7 @@ def statistics(text: str) -> list[float]:
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def text_statistics(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    resident("statistics")
     for batch in texts:
         yield pd.Series([statistics(t) for t in batch], dtype=object)
 
@@ -248,6 +249,19 @@ def score_column(model: Discriminant, x: str | Column) -> Column:
     return score(x)
 
 
+def text_score(model: Discriminant, text: Column) -> Column:
+    """The score of a column of texts, in one step."""
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        resident("statistics")
+        for batch in texts:
+            x = np.array([statistics(t) for t in batch], dtype=np.float64)
+            yield pd.Series(model.score(x.reshape(len(batch), len(FEATURES))))
+
+    return score(text)
+
+
 def labelled(described: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The statistics of the rows to learn from: labelled, and not held out."""
     known = labels.filter(F.col("quality").isin(0, 1)).select(
@@ -288,5 +302,4 @@ def drop_low_quality(
     ship(docs.sparkSession)
     described = docs.select(id_col, text_statistics(text_of(text_col)).alias("x"))
     model = fit(keep(labelled(described, labels, id_col), "labelled"))
-    kept = score_column(model, text_statistics(text_of(text_col))) >= THRESHOLD
-    return docs.filter(kept)
+    return docs.filter(text_score(model, text_of(text_col)) >= THRESHOLD)

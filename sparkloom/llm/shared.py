@@ -112,6 +112,26 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
     )
 
 
+_resident: dict[object, object] = {}
+
+
+def resident(key: object, make: Callable[[], object] | None = None) -> object:
+    """What ``make`` builds, kept in this Python worker until another key is asked for.
+
+    Workers serve one job after the other. Each operator that runs Python names
+    what it needs here, so a worker never holds the tables of two operators.
+    """
+    if key not in _resident:
+        _resident.clear()
+        pa.default_memory_pool().release_unused()
+        _resident[key] = make() if make else None
+    return _resident[key]
+
+
+# Texts that are taken out of an Arrow batch at a time.
+TEXTS_AT_ONCE = 1024
+
+
 def map_texts(df: DataFrame, work: Callable, fields: str) -> DataFrame:
     """The other columns of ``df`` and what ``work`` makes of its column ``_text``.
 
@@ -127,15 +147,15 @@ def map_texts(df: DataFrame, work: Callable, fields: str) -> DataFrame:
     types = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows, columns = work(batch.column("_text").to_pylist())
-            kept = [batch.column(c) for c in others]
-            if rows is not None:
-                kept = [c.take(pa.array(rows, pa.int64())) for c in kept]
-            made = [pa.array(columns[f.name], f.type) for f in types]
-            yield pa.RecordBatch.from_arrays([*kept, *made], [*others, *added.names])
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(at, TEXTS_AT_ONCE)
+                rows, columns = work(batch.column("_text").to_pylist())
+                kept = [batch.column(c) for c in others]
+                if rows is not None:
+                    kept = [c.take(pa.array(rows, pa.int64())) for c in kept]
+                made = [pa.array(columns[f.name], f.type) for f in types]
+                yield pa.RecordBatch.from_arrays([*kept, *made], [*others, *added.names])
 
     return df.select(*others, "_text").mapInArrow(run, T.StructType([*schema.fields, *added.fields]))
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import golay
 from sparkloom.llm.components import components
-from sparkloom.llm.shared import boxed, join_groups, keep, runs, ship, spread, text_of
+from sparkloom.llm.shared import boxed, join_groups, keep, resident, runs, ship, spread, text_of
 
 SHINGLE = 4
 MAX_BITS = 4  # the segments below are made for four
@@ -76,6 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHI
 
     @F.pandas_udf("bigint")
     def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        resident("fingerprints")
         for texts in batches:
             values = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
             yield pd.Series(values.view(np.int64))
