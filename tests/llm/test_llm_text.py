@@ -191,6 +191,15 @@ def test_spans_take_linear_time(unit):
     pii.candidates(text)
 
 
+def test_covered_stretches():
+    r = random.Random(4)
+    spans = [(a, a + r.randrange(1, 9), "x") for a in r.choices(range(200), k=25)]
+    covered = pii.Covered(spans)
+    for s in range(210):
+        for e in (s + 1, s + 7):
+            assert covered.meets(s, e) == any(s < be and e > bs for bs, be, _ in spans)
+
+
 def test_boosting_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.random((3000, 4))
