@@ -36,11 +36,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import map_texts, ship, text_of
+from sparkloom.llm.shared import map_texts, resident, ship, text_of
 
 MARK = "▁"
 BEST = 3
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000  # some 350 MB
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 
 # Best first: score and ids.
@@ -75,18 +75,29 @@ class Segmenter:
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("a piece of this model holds a space mark behind other characters")
         self.scores = scores
+        # Bytes of a character are escaped one by one until they are together.
+        self.spelled = [
+            bytes([self.byte_of[i]]).decode("utf-8", "surrogateescape")
+            if i in self.byte_of
+            else p.replace(MARK, " ")
+            for i, p in enumerate(self.pieces)
+        ]
         self.unknown = min(scores[i] for i in self.ids.values()) - 10.0
         self.known: dict[str, Word] = {}
         # Every beginning of a piece, with the piece's id or -1.
         self.prefixes = {p[:i]: -1 for p in self.ids for i in range(1, len(p))}
         self.prefixes.update(self.ids)
 
-    def search(self, word: str, best: int) -> Paths:
-        """The best paths of one word, best first."""
-        prefixes, scores, size = self.prefixes, self.scores, len(word)
-        # For each position the pieces that end there, the best way to it first:
-        # the forward score through the piece, negated, its start, id and score.
-        arcs: list[list[tuple[float, int, int, float]]] = [[] for _ in range(size + 1)]
+    def lattice(self, word: str) -> list[list[tuple[float, int, int]]]:
+        """For each position the pieces that end there, the best way to it first.
+
+        An entry is the forward score through the piece, negated, its start and
+        its id; the first entry of a position holds the position's own score.
+        """
+        prefixes, scores, unknown = self.prefixes, self.scores, self.unknown
+        size = len(word)
+        arcs: list[list[tuple[float, int, int]]] = [[] for _ in word]
+        arcs.append([])
         forward = 0.0
         for start in range(size):
             if start:
@@ -97,32 +108,34 @@ class Segmenter:
             end = start + 1
             i = prefixes.get(word[start])
             if i is None or i < 0:
-                arcs[end].append((forward - self.unknown, start, -1, self.unknown))
+                arcs[end].append((forward - unknown, start, -1))
             else:
-                score = scores[i]
-                arcs[end].append((forward - score, start, i, score))
+                arcs[end].append((forward - scores[i], start, i))
             while i is not None and end < size:
                 end += 1
                 i = prefixes.get(word[start:end])
                 if i is not None and i >= 0:
-                    score = scores[i]
-                    arcs[end].append((forward - score, start, i, score))
+                    arcs[end].append((forward - scores[i], start, i))
         arcs[size].sort()
+        return arcs
+
+    def search(self, word: str, best: int) -> Paths:
+        """The best paths of one word, best first."""
+        arcs = self.lattice(word)
         found: Paths = []
         # Entries: rating, number, position, which of its pieces, score and ids behind.
-        agenda: list = [(0.0, 0, size, 0, 0.0, ())]
+        agenda: list = [(0.0, 0, len(word), 0, 0.0, ())]
         entered = 0
         while agenda and len(found) < best:
             _, _, at, which, behind, path = heapq.heappop(agenda)
-            last = len(found) + 1 == best
             while at:
                 here = arcs[at]
-                if not last and which + 1 < len(here):
+                if which + 1 < len(here):
                     entered += 1
                     heapq.heappush(agenda, (here[which + 1][0] - behind, entered, at, which + 1, behind, path))
-                _, start, i, score = here[which]
+                _, start, i = here[which]
                 path = ((i,) if i >= 0 else self.raw(word[start])) + path
-                behind += score
+                behind += self.scores[i] if i >= 0 else self.unknown
                 at, which = start, 0
             found.append((behind, path))
         return found
@@ -131,17 +144,29 @@ class Segmenter:
         """The pieces of a character's bytes."""
         return tuple(self.bytes.get(b, self.model.unk_id()) for b in c.encode("utf-8", "replace"))
 
-    def words(self, text: str) -> list[str]:
-        return _UNIT.findall(self.model.normalize(text)) if text else []
+    def normalized(self, text: str) -> str:
+        return self.model.normalize(text) if text else ""
 
     def of_word(self, word: str) -> Word:
         found = self.known.get(word)
         if found is None:
             if len(self.known) >= CACHE_WORDS:
                 self.known.clear()
-            paths = self.search(word, min(2, self.best))
-            loss = paths[0][0] - paths[1][0] if len(paths) > 1 else INFINITE
-            found = self.known[word] = (paths[0][0], _packed(paths[0][1]), loss)
+            # The search up to its second result: the best path, and of the paths
+            # that leave it the one with the best rating.
+            arcs = self.lattice(word)
+            at, ids, loss = len(word), [], INFINITE
+            while at:
+                here = arcs[at]
+                if len(here) > 1:
+                    loss = min(loss, here[1][0] - here[0][0])
+                _, at, i = here[0]
+                if i >= 0:
+                    ids.append(i)
+                else:
+                    ids.extend(reversed(self.raw(word[at])))
+            ids.reverse()
+            found = self.known[word] = (-arcs[-1][0][0] if word else 0.0, _packed(ids), loss)
         return found
 
     def nbest(self, text: str) -> list[tuple[float, bytes]]:
@@ -149,8 +174,11 @@ class Segmenter:
 
         Ids are little-endian 32-bit numbers, one behind the other.
         """
+        return self.of_normalized(self.normalized(text))
+
+    def of_normalized(self, text: str) -> list[tuple[float, bytes]]:
         known, of_word = self.known, self.of_word
-        words = self.words(text)
+        words = _UNIT.findall(text)
         options = [known.get(w) or of_word(w) for w in words]
         score = sum([o[0] for o in options])
         ids = [o[1] for o in options]
@@ -191,37 +219,26 @@ class Segmenter:
             ways = more[: self.best]
         return [(loss, changes) for loss, _, changes in ways]
 
+    def spell(self, ids: Iterable[int]) -> str:
+        """The normalised text of pieces, space marks as spaces."""
+        text = "".join([self.spelled[i] for i in ids])
+        if not text.isascii() and any("\udc80" <= c <= "\udcff" for c in set(text)):
+            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+        return text
+
     def decode(self, ids: Iterable[int]) -> str:
-        """The normalised text of pieces, without the mark that is put before it."""
-        out: list[str] = []
-        raw = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            out.append(self.pieces[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+        """``spell`` without the space that is put before a text."""
+        text = self.spell(ids)
         return text[1:] if text.startswith(" ") else text
 
 
-def _packed(ids: tuple[int, ...]) -> bytes:
+def _packed(ids: Iterable[int]) -> bytes:
     return packed_array("I", ids).tobytes()
 
 
-_segmenters: dict[tuple[str, int], Segmenter] = {}
-
-
 def segmenter(path: str, best: int = BEST) -> Segmenter:
     """One for each model and worker."""
-    key = (path, best)
-    if key not in _segmenters:
-        _segmenters[key] = Segmenter(path, best)
-    return _segmenters[key]
+    return resident(("pieces", path, best), lambda: Segmenter(path, best))
 
 
 def encode(
@@ -270,14 +287,15 @@ def digests(
         own = segmenter(path, best)
         rows, ranks, scores, sizes, crcs, whole = [], [], [], [], [], []
         for row, text in enumerate(texts):
-            plain = own.model.normalize(text).replace(MARK, " ")[1:]
-            for rank, (score, ids) in enumerate(own.nbest(text), 1):
+            normalized = own.normalized(text)
+            plain = normalized.replace(MARK, " ")
+            for rank, (score, ids) in enumerate(own.of_normalized(normalized), 1):
                 rows.append(row)
                 ranks.append(rank)
                 scores.append(score)
                 sizes.append(len(ids) // 4)
                 crcs.append(zlib.crc32(ids))
-                whole.append(own.decode(packed_array("I", ids)) == plain)
+                whole.append(own.spell(packed_array("I", ids)) == plain)
         return rows, {
             "rank": ranks, "score": scores, "n_pieces": sizes, "ids_crc32": crcs, "round_trip": whole
         }
