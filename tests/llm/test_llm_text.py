@@ -253,6 +253,39 @@ def test_pii_of_odd_rows(spark):
     assert pii.redact_pii(documents(spark, [])).count() == 0
 
 
+LISTS = [
+    ("call 555-123-4567, 555-987-6543 now", ["555-123-4567", "555-987-6543"]),
+    ("born 1980-05-12, 555-123-4567 is the phone", ["555-123-4567"]),
+    ("room 12 555-123-4567 all day", ["555-123-4567"]),
+    ("call +1 626 555 5759, 555-123-4567 now", ["555-123-4567"]),
+    ("call (626) 555-5759, (626) 555-1234, (626) 555-0101 now", ["(626) 555-5759", "(626) 555-1234", "(626) 555-0101"]),
+]
+
+
+@pytest.mark.parametrize("text, spans", LISTS)
+def test_numbers_beside_others_are_proposed(text, spans):
+    proposed = {text[s:e] for s, e, kind in pii.candidates(text) if kind == "phone"}
+    assert proposed >= set(spans)
+
+
+@pytest.mark.parametrize("text, spans", LISTS)
+def test_numbers_beside_others_are_found(redactor, text, spans):
+    (base, found), = redactor.all_spans([text])
+    assert [text[s:e] for s, e, k in found if k == "phone" and (s, e, k) not in base] == spans
+
+
+def test_proposals_of_a_long_stretch_are_bounded_and_scored_in_slices(redactor, monkeypatch):
+    text = "1 " * 3000
+    assert len(pii.candidates(text)) <= 20 * 3000
+    assert {"10[.]0[.]0[.]1", "john [at] a.com"} <= {
+        t[s:e] for t in ("5-10[.]0[.]0[.]1", "john [at] a.com.Then") for s, e, _ in pii.candidates(t)
+    }
+    texts = [t for t, _ in LISTS]
+    whole = redactor.all_spans(texts)
+    monkeypatch.setattr(pii, "SCORED", 3)
+    assert redactor.all_spans(texts) == whole
+
+
 def test_redaction_joins_overlapping_spans():
     assert pii.redact("ab1234567cd", [(2, 6, "card"), (4, 9, "phone")]) == "ab[CARD]cd"
 
