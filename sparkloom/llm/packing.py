@@ -3,13 +3,20 @@
 Documents become token ids and, with the end mark, pieces of at most
 ``CAPACITY`` tokens; only longer documents are cut. A full piece is a sequence by
 itself. The others are dealt to parts of a bounded size by a hash of their row
-number, and each part packs its pieces best-fit, longest first. Nearly full bins
-are done; the others are items of the next round, in an eighth of the parts,
-where they are packed best-fit as wholes, until one part is left. What moves
-after the first round are the underfull bins, as (bin, fill) pairs.
+number, and each part packs its pieces best-fit, longest first. Bins are items of
+the next round, packed best-fit as wholes, until one part is left.
+
+Of two bins of a part that best-fit filled, no two fit together, so one at most
+is half full or less, and any later merge takes such a small bin. Hence a round
+leaves as many small bins as it has parts at most, and the next one needs no more
+than these and as many of the roomiest others that can still take the smallest:
+of any bins that take them, each can be replaced by a roomier one. All others are
+done. So the items fall by about half of ``PART_ITEMS`` a round whatever the
+lengths, also where nothing fits together, and there is always a part for each
+``PART_ITEMS`` items left. What moves after the first round are (bin, fill) pairs.
 
 A part holds ``PART_ITEMS`` items on average, dealt by a hash, so its memory is
-bounded whatever the input. Parts, bins and offsets depend on the written table
+bounded whatever the input, in each round. Parts, bins and offsets depend on the written table
 of pieces alone, so a task that runs again packs as before.
 
 Defined results: a null text counts as empty; an empty document is its end mark
@@ -34,7 +41,6 @@ from sparkloom.llm.shared import keep, map_texts, resident, ship, text_of
 CAPACITY = 4096
 END = 1
 PART_ITEMS = 100_000
-FAN_IN = 8
 NEARLY_FULL = 4032  # of CAPACITY
 CACHE_WORDS = 300_000
 JOINED = 512  # words per call of the tokenizer
@@ -187,6 +193,32 @@ def _round(items: DataFrame, number: int, parts: int, capacity: int) -> DataFram
     )
 
 
+def _open(packed: DataFrame, done: int, capacity: int) -> DataFrame:
+    """The bins that the next round packs, as (item, length).
+
+    These are the bins half full or less, and about as many others, the roomiest.
+    What comes to the driver has at most a row for each fill.
+    """
+    first = packed.filter((F.col("offset") == 0) & (F.col("fill") < done))
+    bins = first.select(F.col("bin").alias("item"), F.col("fill").alias("length"))
+    counts = sorted((r["length"], r["count"]) for r in bins.groupBy("length").count().collect())
+    need = sum(n for fill, n in counts if 2 * fill <= capacity)
+    whole, share, below = capacity // 2, 0, 0
+    for fill, n in counts:
+        if 2 * fill <= capacity:
+            continue
+        if need <= 0 or fill + counts[0][0] > capacity:
+            break
+        if n > need:
+            # A share of this fill by hash, with some to spare.
+            share, below = fill, min(1 << 30, ((need + need // 8 + 8) << 30) // n)
+            break
+        whole = fill
+        need -= n
+    by_hash = F.pmod(F.xxhash64("item", F.lit(1)), F.lit(1 << 30)) < below
+    return bins.filter((F.col("length") <= whole) | ((F.col("length") == share) & by_hash))
+
+
 def pack(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
     capacity: int = CAPACITY, end: int = END, part_items: int = PART_ITEMS,
@@ -207,12 +239,11 @@ def pack(
         rounds.append(packed)
         if parts == 1:
             break
-        left = (
-            packed.filter(F.col("fill") < done)
-            .groupBy(F.col("bin").alias("item"))
-            .agg(F.max("fill").alias("length"))
-        )
-        parts = -(-parts // FAN_IN)
+        left = _open(packed, done, capacity)
+        # Half the parts are enough even where a part holds a few items only.
+        parts = min(-(-parts // 2), -(-left.count() // part_items))
+        if not parts:
+            break
     # From the last round back: where each item of a round ends up.
     placed = rounds.pop().select("item", "bin", "offset")
     while rounds:

@@ -68,6 +68,34 @@ def test_rounds_merge_the_bins_of_many_parts(spark):
     assert len(bins) <= 1.1 * alone
 
 
+@pytest.mark.parametrize("short", [0, 30])
+def test_rounds_are_bounded_where_pieces_do_not_fit_together(spark, monkeypatch, short):
+    r = random.Random(2)
+    sizes = [r.randrange(2, 20) for _ in range(short)] + [r.randrange(70, 110) for _ in range(1200)]
+    docs = documents(spark, [(i, "word " * n, "en") for i, n in enumerate(sizes)])
+    rounds = []
+
+    def counted(items, number, parts, capacity, pack=packing._round):
+        rounds.append((items.count(), parts))
+        return pack(items, number, parts, capacity)
+
+    monkeypatch.setattr(packing, "_round", counted)
+    rows = packing.pack(docs, PATH, capacity=128, part_items=40).collect()
+    assert all(items <= parts * 40 for items, parts in rounds)
+    assert len(rows) == len(sizes)
+    assert len(check_layout(rows, 128)) == 1200
+
+
+def test_small_bins_meet_the_roomiest_ones(spark):
+    fills = [*[10] * 3, *[64] * 2, *[70] * 4, *[71] * 5000, *[100] * 50, *[119] * 20, 127]
+    rows = [(i, i, 0, f) for i, f in enumerate(fills)] + [(-1, 0, 1, 10)]
+    packed = spark.createDataFrame(rows, "item bigint, bin bigint, offset bigint, fill bigint")
+    left = sorted(r.length for r in packing._open(packed, 126, 128).collect())
+    assert left[:9] == [10] * 3 + [64] * 2 + [70] * 4 and set(left[9:]) <= {71} and len(left) < 60
+    alone = packed.filter("fill > 64")
+    assert packing._open(alone, 126, 128).count() == 0
+
+
 def test_best_fit_equals_plain_one():
     r = random.Random(5)
     lengths = [r.randrange(1, 60) for _ in range(500)]
