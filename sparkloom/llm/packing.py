@@ -25,89 +25,20 @@ alone; repeated rows are packed each; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import os
-import re
-import unicodedata
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.shared import keep, map_texts, resident, ship, text_of
+from sparkloom.llm.shared import keep, map_texts, ship, text_of
+from sparkloom.llm.words import tokenizer
 
 CAPACITY = 4096
 END = 1
 PART_ITEMS = 100_000
 NEARLY_FULL = 4032  # of CAPACITY
-CACHE_WORDS = 300_000
-JOINED = 512  # words per call of the tokenizer
-
-# Texts with these are tokenized whole: special tokens, and controls that split()
-# takes for white space and the tokenizer does not.
-_WHOLE = re.compile("<\\||[\x1c-\x1f]")
-
-
-class WordTokenizer:
-    """Ids of texts by a tokenizer that never joins words across white space.
-
-    Each distinct word is tokenized once and remembered, since words repeat.
-    The memory of words is dropped when it is full. ``check`` compares both ways.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), JOINED):
-            part = words[at : at + JOINED]
-            encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(encoded.ids, dtype="<u4").tobytes()
-            starts = np.array([s for s, _ in encoded.offsets], dtype=np.int64)
-            ends = np.cumsum([len(w) + 1 for w in part])
-            cuts = np.searchsorted(starts, ends).tolist()
-            begin = 0
-            for w, cut in zip(part, cuts):
-                self.known[w] = ids[4 * begin : 4 * cut]
-                begin = cut
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, as little-endian unsigned 32-bit numbers."""
-        for at in range(0, len(texts), 256):
-            yield from self._some(texts[at : at + 256])
-
-    def _some(self, texts: list[str]) -> Iterator[bytes]:
-        split: list[list[str] | None] = []
-        new: set[str] = set()
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        for t in texts:
-            if _WHOLE.search(t) or not unicodedata.is_normalized("NFC", t):
-                split.append(None)
-                continue
-            # The tokenizer lower-cases character by character.
-            words = (t if "Σ" in t or "İ" in t else t.lower()).split()
-            split.append(words)
-            new.update(w for w in set(words) if w not in self.known)
-        self.learn(sorted(new))
-        known = self.known
-        for t, words in zip(texts, split):
-            yield self.whole(t) if words is None else b"".join([known[w] for w in words])
-
-
-def tokenizer(path: str) -> WordTokenizer:
-    """One for each file and worker."""
-    return resident(("words", path), lambda: WordTokenizer(path))
 
 
 def pieces(

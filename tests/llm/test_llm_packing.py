@@ -9,10 +9,10 @@ from hypothesis import strategies as st
 from plain import documents
 from tokenizers import Tokenizer
 
-from sparkloom.llm import packing, queries, sharding
+from sparkloom.llm import packing, queries, sharding, words
 
 PATH = public_tokenizers.path(queries.WORD_TOKENIZER)
-WORDS = packing.WordTokenizer(PATH)
+WORDS = words.WordTokenizer(PATH)
 
 
 @settings(max_examples=300, deadline=None)
@@ -29,6 +29,36 @@ def test_odd_words_give_the_tokenizers_ids(text):
     assert next(WORDS.texts([text])) == WORDS.whole(text)
 
 
+def test_words_of_the_tables_are_merged_without_the_tokenizer():
+    assert WORDS.merge is not None
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abcdest'.,!?-_019 éüßñªº²½\u00ad", max_size=40))
+def test_latin_words_give_the_tokenizers_ids(text):
+    assert next(WORDS.texts([text])) == WORDS.whole(text)
+
+
+def test_a_full_memory_of_words_keeps_the_latest(monkeypatch):
+    monkeypatch.setattr(words, "CACHE_WORDS", 5)
+    own = words.WordTokenizer(PATH)
+    texts = [f"word{i} common {'x' * i}" for i in range(20)]
+    assert list(own.texts(texts)) == [own.whole(t) for t in texts]
+    assert len(own.known) + len(own.known.older) <= 2 * (5 + 3)
+
+
+def test_a_file_of_another_kind_goes_to_the_tokenizer(tmp_path):
+    import json
+
+    file = json.load(open(PATH, encoding="utf-8"))
+    file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "[a-z]+|[^\\sa-z]"
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(file))
+    own = words.WordTokenizer(str(other))
+    assert own.merge is None
+    assert next(own.texts(["a,,b cd1"])) == own.whole("a,,b cd1") != WORDS.whole("a,,b cd1")
+
+
 def check_layout(rows, capacity):
     """Pieces lie in their sequences without gaps, overlaps or excess."""
     bins = {}
