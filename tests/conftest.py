@@ -1,13 +1,34 @@
 import os
+import signal
 import sys
 
-import pytest
+# Before numpy is loaded: its threads do not survive the fork that starts Spark.
+for threads in ("OPENBLAS_NUM_THREADS", "OMP_NUM_THREADS", "MKL_NUM_THREADS"):
+    os.environ.setdefault(threads, "1")
+
+import pytest  # noqa: E402
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from sparkloom.session import build_session  # noqa: E402
 
+TEST_SECONDS = 600
+
+
+@pytest.fixture(autouse=True)
+def time_limit(request):
+    """A test that takes longer fails instead of holding up the others."""
+
+    def stop(*_):
+        raise TimeoutError(f"{request.node.nodeid} took over {TEST_SECONDS} s")
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(TEST_SECONDS)
+    yield
+    signal.alarm(0)
+    signal.signal(signal.SIGALRM, before)
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
