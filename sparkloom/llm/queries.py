@@ -23,6 +23,7 @@ from sparkloom.llm import (
     sharding,
     simhash,
     vectors,
+    windows,
 )
 from sparkloom.llm.shared import read
 
@@ -162,3 +163,8 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(read(spark, folder, "embeddings"))
+
+
+@query()
+def op12_order_preserving_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return windows.pack_windows(read(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))
