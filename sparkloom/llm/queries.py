@@ -16,6 +16,7 @@ from sparkloom.llm import (
     exact_dedup,
     language,
     nbest,
+    negatives,
     packing,
     pages,
     pii,
@@ -23,6 +24,7 @@ from sparkloom.llm import (
     sharding,
     simhash,
     vectors,
+    whitening,
     windows,
 )
 from sparkloom.llm.shared import read
@@ -168,3 +170,16 @@ def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op12_order_preserving_packing(spark: SparkSession, folder: str) -> DataFrame:
     return windows.pack_windows(read(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
+@query()
+def op11_hard_negative_mining(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    embeddings = read(spark, folder, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(embeddings, anchors=vec_id % 100 == 0)
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings"))
