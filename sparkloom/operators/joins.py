@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.operators.keyed import finish_average, merge_average_state
+from sparkloom.operators.scan import running_sums
 
 
 def pair_counts(
@@ -35,48 +36,13 @@ def pair_counts(
     )
 
 
-def band_average(
-    rows: DataFrame,
-    keys: Sequence[str],
-    band: str,
-    tolerance: Decimal | str,
-    group: str,
-    total: str = "total",
-    n: str = "n",
-    alias: str = "average",
-    unique_groups: bool = False,
-) -> DataFrame:
-    """Average over the rows that have equal keys and a near band value, by group.
-
-    Each row stands on both sides: it asks for the average around its decimal
-    ``band``, and it offers an average state (``total``, ``n``; NULL where it has
-    none), see ``average_state``. A row takes in the states of all rows of its
-    keys whose band differs by ``tolerance`` at most. The result has one row for
-    each group that took in any state; with ``unique_groups`` the caller says
-    that no two rows have one group, which saves a shuffle. Decimals keep their
-    scale, of the band and of the tolerance.
-
-    Rows never meet pairwise. They shrink to their distinct (keys, band) cells
-    with the sum of their states. Along the band axis of a key the sums up to
-    ``band + tolerance``, less those below ``band - tolerance``, are what a cell
-    asks for, so one sort and running sums give all cells their answers, however
-    wide the tolerance. The axis is cut in slices twice the tolerance wide; a
-    cell's state also stands in the neighbouring slice that its tolerance
-    reaches, so slices are worked on apart.
-    """
-    keys = list(keys)
-    near = F.lit(Decimal(tolerance))
-    width = F.lit(2 * Decimal(tolerance) or Decimal(1))
+def _sliced(cells: DataFrame, keys: list[str], band: str, near: Column, width: Column) -> DataFrame:
+    """(keys, band, total, n) around each cell, by slices of the axis worked on apart."""
 
     def slice_of(position: Column) -> Column:
         # Any never-falling function will do: both sides use the same one.
         return F.floor(position / width).cast("bigint")
 
-    cells = (
-        rows.filter(F.col(band).isNotNull())
-        .groupBy(*keys, band)
-        .agg(F.sum(total).alias("_total"), F.sum(n).alias("_n"))
-    )
     place = F.col(band)
     low, high = slice_of(place - near), slice_of(place + near)
     # Point 0 asks for the states below the tolerance, point 1 for those up to its
@@ -98,7 +64,7 @@ def band_average(
         .orderBy("_at", "_order")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    sums = (
+    return (
         points.select(
             *keys,
             "_slice",
@@ -113,6 +79,86 @@ def band_average(
         .filter("n > 0")
         .drop("_slice")
     )
+
+def _scanned(
+    cells: DataFrame, keys: list[str], band: str, near: Column, pieces: int | None
+) -> DataFrame:
+    """(keys, band, total, n) around each cell, by one scan of all cells' points."""
+    # A cell asks for the states below the tolerance (0), is a state (1), and asks
+    # for those up to the tolerance's end (2); at one position in this order.
+    place = F.col(band)
+    points = (
+        cells.withColumn("_order", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+        .withColumn(
+            "_at", F.when(F.col("_order") == 0, place - near).when(F.col("_order") == 2, place + near).otherwise(place)
+        )
+        .withColumn("_state", F.col("_order") == 1)
+    )
+    sums = {
+        "_sum": F.when(F.col("_state"), F.col("_total")),
+        "_rows": F.when(F.col("_state"), F.col("_n")),
+    }
+    sign = F.col("_order") - 1
+    return (
+        running_sums(points, keys, ["_at", "_order", band], sums, pieces)
+        .filter(~F.col("_state"))
+        .groupBy(*keys, band)
+        .agg(
+            F.sum(F.coalesce("_sum", F.lit(0)) * sign).alias("total"),
+            F.sum(F.coalesce("_rows", F.lit(0)) * sign).alias("n"),
+        )
+        .filter("n > 0")
+    )
+
+
+def band_average(
+    rows: DataFrame,
+    keys: Sequence[str],
+    band: str,
+    tolerance: Decimal | str,
+    group: str,
+    total: str = "total",
+    n: str = "n",
+    alias: str = "average",
+    unique_groups: bool = False,
+    long_axis: bool = False,
+    pieces: int | None = None,
+) -> DataFrame:
+    """Average over the rows that have equal keys and a near band value, by group.
+
+    Each row stands on both sides: it asks for the average around its decimal
+    ``band``, and it offers an average state (``total``, ``n``; NULL where it has
+    none), see ``average_state``. A row takes in the states of all rows of its
+    keys whose band differs by ``tolerance`` at most. The result has one row for
+    each group that took in any state; with ``unique_groups`` the caller says
+    that no two rows have one group, which saves a shuffle. Decimals keep their
+    scale, of the band and of the tolerance.
+
+    Rows never meet pairwise. They shrink to their distinct (keys, band) cells
+    with the sum of their states. Along the band axis of a key the sums up to
+    ``band + tolerance``, less those below ``band - tolerance``, are what a cell
+    asks for, so one sort and running sums give all cells their answers, however
+    wide the tolerance. The axis is cut in slices twice the tolerance wide; a
+    cell's state also stands in the neighbouring slice that its tolerance
+    reaches, so slices are worked on apart.
+
+    A slice of a key is one task. Where a single slice may hold a large share of
+    all cells, as with a tolerance as wide as the axis and few keys, say
+    ``long_axis``: the axis is then cut by the number of cells into ``pieces``,
+    and a scan of two levels gives the running sums (``running_sums``). It costs a
+    write and another shuffle, so it is the caller's choice and not the default.
+    """
+    keys = list(keys)
+    near = F.lit(Decimal(tolerance))
+    width = F.lit(2 * Decimal(tolerance) or Decimal(1))
+    cells = (
+        rows.filter(F.col(band).isNotNull())
+        .groupBy(*keys, band)
+        .agg(F.sum(total).alias("_total"), F.sum(n).alias("_n"))
+    )
+    sums = (
+        _scanned(cells, keys, band, near, pieces) if long_axis else _sliced(cells, keys, band, near, width)
+    )
     answers = rows.select(*keys, band, group).join(sums, [*keys, band])
     if not unique_groups:
         answers = merge_average_state(answers, group)

@@ -7,6 +7,7 @@ without a value counts as absent.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -101,15 +102,39 @@ def block_multiply(
 ) -> DataFrame:
     """Product of two coordinate matrices by blocks, for dense ones.
 
-    Blocks meet on the inner block index; numpy multiplies them in batches, and
-    the cells of the partial products are added up in Spark, map side first.
-    Against ``coo_multiply`` the join carries one row for each pair of blocks
-    instead of one for each multiplication. The result has the same rows.
+    Blocks meet on the inner block index; numpy multiplies them in batches and a
+    task adds its products up by output block. What it then sends is one row for
+    each output block it touched, the block's cells as two arrays, to the task
+    that owns the block, which adds the blocks up as they come, one at a time in
+    memory. So the shuffle has at most output blocks times tasks rows (more only
+    where a task touches more blocks than it may hold), where ``coo_multiply``
+    moves a row for each cell and joins one for each multiplication. The result
+    has the same rows.
     """
-    lefts = to_blocks(left, rows, inner, unique).select(
+    return block_sums(
+        block_products(left, right, rows, inner, cols, unique), rows, cols
+    )
+
+
+def block_products(
+    left: DataFrame,
+    right: DataFrame,
+    rows: int = BLOCK,
+    inner: int = BLOCK,
+    cols: int = BLOCK,
+    unique: bool = False,
+) -> DataFrame:
+    """Partial output blocks (bi, bj, at, v) of a product, one for each block and task."""
+    return _multiplied(
+        to_blocks(left, rows, inner, unique), to_blocks(right, inner, cols, unique), rows, inner, cols
+    )
+
+
+def _multiplied(left: DataFrame, right: DataFrame, rows: int, inner: int, cols: int) -> DataFrame:
+    lefts = left.select(
         "bi", F.col("bj").alias("bk"), F.col("at").alias("left_at"), F.col("v").alias("left_v")
     )
-    rights = to_blocks(right, inner, cols, unique).select(
+    rights = right.select(
         F.col("bi").alias("bk"), "bj", F.col("at").alias("right_at"), F.col("v").alias("right_v")
     )
 
@@ -130,15 +155,19 @@ def block_multiply(
         shape = (batch.num_rows, height, width)
         return value.reshape(shape), present.reshape(shape)
 
-    def cells(targets: np.ndarray, value: np.ndarray, present: np.ndarray) -> pa.RecordBatch:
-        block, row, col = np.nonzero(present)
+    def sparse(targets: np.ndarray, value: np.ndarray, present: np.ndarray) -> pa.RecordBatch:
+        n = len(targets)
+        block, place = np.nonzero(present.reshape(n, -1))
+        ends = np.cumsum(np.bincount(block, minlength=n))
+        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(targets[block, 0] * rows + row),
-                pa.array(targets[block, 1] * cols + col),
-                pa.array(value[block, row, col]),
+                pa.array(targets[:, 0]),
+                pa.array(targets[:, 1]),
+                pa.ListArray.from_arrays(offsets, pa.array(place.astype(np.int32))),
+                pa.ListArray.from_arrays(offsets, pa.array(value.reshape(n, -1)[block, place])),
             ],
-            ["i", "j", "v"],
+            ["bi", "bj", "at", "v"],
         )
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +179,7 @@ def block_multiply(
             for start in range(0, whole.num_rows, pairs_at_once):
                 batch = whole.slice(start, pairs_at_once)
                 if len(held) + batch.num_rows > blocks_held:
-                    yield cells(np.array(list(held)), value[: len(held)], present[: len(held)])
+                    yield sparse(np.array(list(held)), value[: len(held)], present[: len(held)])
                     value[: len(held)] = 0
                     present[: len(held)] = False
                     held = {}
@@ -164,12 +193,133 @@ def block_multiply(
                     value[slot] += products[pair]
                     present[slot] |= touched[pair]
         if held:
-            yield cells(np.array(list(held)), value[: len(held)], present[: len(held)])
+            yield sparse(np.array(list(held)), value[: len(held)], present[: len(held)])
 
     return (
         lefts.join(rights, "bk")
         .select("bi", "bj", "left_at", "left_v", "right_at", "right_v")
-        .mapInArrow(multiply, "i bigint, j bigint, v double")
-        .groupBy("i", "j")
-        .agg(F.sum("v").alias("v"))
+        .mapInArrow(multiply, "bi bigint, bj bigint, at array<int>, v array<double>")
     )
+
+
+def block_sums(parts: DataFrame, rows: int = BLOCK, cols: int = BLOCK) -> DataFrame:
+    """Cells (i, j, v) of the sums of blocks with the same (bi, bj)."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: tuple[int, int] | None = None
+        value, present = np.zeros(rows * cols), np.zeros(rows * cols, dtype=bool)
+
+        def cells() -> pa.RecordBatch:
+            place = np.nonzero(present)[0]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(now[0] * rows + place // cols),
+                    pa.array(now[1] * cols + place % cols),
+                    pa.array(value[place]),
+                ],
+                ["i", "j", "v"],
+            )
+
+        for batch in batches:
+            at, v = batch.column("at"), batch.column("v")
+            places, values = at.flatten().to_numpy(), v.flatten().to_numpy()
+            ends = np.cumsum(np.asarray(at.value_lengths())).tolist()
+            begin = 0
+            targets = zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist())
+            for target, end in zip(targets, ends):
+                if target != now:
+                    if now is not None:
+                        yield cells()
+                    now = target
+                    value[:] = 0
+                    present[:] = False
+                value[places[begin:end]] += values[begin:end]
+                present[places[begin:end]] = True
+                begin = end
+        if now is not None:
+            yield cells()
+
+    return (
+        parts.repartition("bi", "bj")
+        .sortWithinPartitions("bi", "bj")
+        .mapInArrow(add_up, "i bigint, j bigint, v double")
+    )
+
+
+@dataclass(frozen=True)
+class BlockMatrix:
+    """Blocks (bi, bj, at, v), see ``to_blocks``, and the size of their matrix.
+
+    The size is declared and not read off the cells, so rows and columns at the
+    end count that hold nothing, and so do the blocks they fill.
+    """
+
+    blocks: DataFrame
+    rows: int
+    cols: int
+    block_rows: int = BLOCK
+    block_cols: int = BLOCK
+
+    def __post_init__(self) -> None:
+        if min(self.rows, self.cols) < 0 or min(self.block_rows, self.block_cols) < 1:
+            raise ValueError("a matrix has no negative size and no empty blocks")
+
+    @classmethod
+    def of_cells(
+        cls, coo: DataFrame, rows: int, cols: int, block_rows: int = BLOCK,
+        block_cols: int = BLOCK, unique: bool = False,
+    ) -> BlockMatrix:
+        return cls(to_blocks(coo, block_rows, block_cols, unique), rows, cols, block_rows, block_cols)
+
+    @property
+    def row_blocks(self) -> int:
+        return -(-self.rows // self.block_rows)
+
+    @property
+    def col_blocks(self) -> int:
+        return -(-self.cols // self.block_cols)
+
+    def grid(self) -> DataFrame:
+        """One row: the grid's row and column blocks, and how many of them hold cells."""
+        inside = (F.col("bi") < self.row_blocks) & (F.col("bj") < self.col_blocks)
+        counted = self.blocks.filter(inside & (F.col("bi") >= 0) & (F.col("bj") >= 0))
+        return counted.select("bi", "bj").distinct().agg(F.count("*").alias("filled")).select(
+            F.lit(self.row_blocks).cast("bigint").alias("row_blocks"),
+            F.lit(self.col_blocks).cast("bigint").alias("col_blocks"),
+            "filled",
+        )
+
+    def invalid(self) -> DataFrame:
+        """Blocks that break the layout: (bi, bj, reason), a row for each reason.
+
+        ``outside the grid``; ``given twice``: there is another block of its place;
+        ``places and values differ in number``; ``outside the matrix``: a cell
+        outside its block, or in a last block beyond the matrix; ``place taken
+        twice``. The check is one pass over the blocks and a count by place.
+        """
+        bi, bj, at = F.col("bi"), F.col("bj"), F.col("at")
+        outside = (bi < 0) | (bj < 0) | (bi >= self.row_blocks) | (bj >= self.col_blocks)
+        # The last blocks may be lower or narrower than the others.
+        height = F.least(F.lit(self.block_rows), F.lit(self.rows) - bi * self.block_rows)
+        width = F.least(F.lit(self.block_cols), F.lit(self.cols) - bj * self.block_cols)
+        row = lambda p: F.floor(p / F.lit(self.block_cols))
+        beyond = F.exists(at, lambda p: (p < 0) | (row(p) >= height) | (p % self.block_cols >= width))
+        reasons = {
+            "outside the grid": outside,
+            "places and values differ in number": F.size(at) != F.size("v"),
+            "outside the matrix": ~outside & beyond,
+            "place taken twice": F.size(F.array_distinct(at)) != F.size(at),
+        }
+        found = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in reasons.items()]))
+        broken = self.blocks.select("bi", "bj", F.explode(found).alias("reason"))
+        twice = self.blocks.groupBy("bi", "bj").count().filter("count > 1")
+        return broken.unionByName(twice.select("bi", "bj", F.lit("given twice").alias("reason")))
+
+    def multiply(self, other: BlockMatrix) -> DataFrame:
+        """Cells of the product; the sizes and blocks must fit."""
+        if (self.cols, self.block_cols) != (other.rows, other.block_rows):
+            raise ValueError("the inner sizes differ")
+        parts = _multiplied(
+            self.blocks, other.blocks, self.block_rows, self.block_cols, other.block_cols
+        )
+        return block_sums(parts, self.block_rows, other.block_cols)

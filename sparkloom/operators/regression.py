@@ -1,4 +1,4 @@
-"""Least squares by normal equations.
+"""Least squares by normal equations, or by orthogonal factors where these lose too much.
 
 The rows are read once, and one row of k * (k + 1) / 2 + k sums comes out, k
 being the number of features, whatever the input holds. Decimal features give
@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,3 +102,87 @@ def ols(
                 yield pd.DataFrame({"term": names, "theta": theta})
 
     return sums.mapInPandas(solve, "term string, theta double")
+
+
+# Factors merged by one task of the upper level of the tree.
+FAN_IN = 256
+
+
+def triangular_factor(df: DataFrame, columns: list[Column], fan_in: int = FAN_IN) -> DataFrame:
+    """R of the QR factorisation of the rows, a matrix as tall as it must be: (r binary, n).
+
+    Rows with a NULL are left out. A task factors its rows a batch at a time, each
+    batch stacked below the factor so far, and gives out one small factor; these
+    are merged the same way, by ``fan_in`` tasks and then by one. So a task holds a
+    batch and one factor, the last task reads ``fan_in`` factors at most, and what
+    moves is k * k numbers for each task. R'R is X'X without ever being computed:
+    its condition is not squared.
+    """
+    k = len(columns)
+    rows = df.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).dropna()
+
+    def merged(r: np.ndarray, more: np.ndarray) -> np.ndarray:
+        return np.linalg.qr(np.vstack([r, more]), mode="r")
+
+    def result(r: np.ndarray, n: int) -> pa.RecordBatch:
+        full = np.zeros((k, k))
+        full[: len(r)] = r
+        return pa.RecordBatch.from_pydict({"r": [full.tobytes()], "n": pa.array([n], pa.int64())})
+
+    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r, n = np.zeros((0, k)), 0
+        for batch in batches:
+            if batch.num_rows:
+                r = merged(r, np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+                n += batch.num_rows
+        if n:
+            yield result(r, n)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r, n = np.zeros((0, k)), 0
+        for batch in batches:
+            for value, count in zip(batch.column("r"), batch.column("n").to_pylist()):
+                r = merged(r, np.frombuffer(value.as_buffer()).reshape(k, k))
+                n += count
+        if n:
+            yield result(r, n)
+
+    fields = "r binary, n bigint"
+    leaves = rows.mapInArrow(factor, fields).withColumn("_part", F.spark_partition_id())
+    # One task's factor goes where its number says, so the tree is the same each time.
+    middle = leaves.repartition(fan_in, F.col("_part") % fan_in).sortWithinPartitions("_part")
+    tops = middle.select("r", "n").mapInArrow(merge, fields).withColumn("_part", F.spark_partition_id())
+    last = tops.repartition(1).sortWithinPartitions("_part")
+    return last.select("r", "n").mapInArrow(merge, fields)
+
+
+def ols_qr(
+    df: DataFrame, features: dict[str, Column], target: Column, tolerance: float | None = None
+) -> DataFrame:
+    """Least squares without the normal equations: (term, theta, rank), a row per feature.
+
+    The rows' triangular factor, target as its last column, is all that the
+    solution needs. Directions whose singular value is ``tolerance`` of the largest
+    or less count as dependent, by default the machine's precision times the number
+    of rows or features; the solution is then the shortest one, as that of numpy's
+    ``lstsq``. Where ``ols`` sees a condition number squared, beyond some 10^8, and
+    loses all digits, this keeps them up to some 10^15. Rows with a NULL are left
+    out; no rows, no result.
+    """
+    names = list(features)
+    k = len(names)
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value, n in zip(batch.column("r"), batch.column("n").to_pylist()):
+                r = np.frombuffer(value.as_buffer()).reshape(k + 1, k + 1)
+                u, s, vt = np.linalg.svd(r[:k, :k])
+                cut = np.finfo(float).eps * max(n, k) if tolerance is None else tolerance
+                rank = int((s > cut * s[0]).sum())
+                theta = vt[:rank].T @ ((u[:, :rank].T @ r[:k, k]) / s[:rank])
+                yield pa.RecordBatch.from_pydict(
+                    {"term": names, "theta": theta, "rank": pa.array([rank] * k, pa.int32())}
+                )
+
+    factor = triangular_factor(df, [*features.values(), target])
+    return factor.mapInArrow(solve, "term string, theta double, rank int")

@@ -190,3 +190,34 @@ def many_to_many_join(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_returnflag").alias("district"),
     )
     return pair_counts(incidents, others, "day", "category", "district")
+
+
+@query("""
+    SELECT l_suppkey, cast(sum(near) AS double) / cast(sum(lines) AS double) AS average_quantity
+    FROM (SELECT l_suppkey, sum(cast(l_quantity AS decimal(18,2))) OVER around AS near,
+                 count(*) OVER around AS lines
+          FROM lineitem
+          WINDOW around AS (PARTITION BY l_returnflag
+                            ORDER BY cast(l_extendedprice AS decimal(15,2))
+                            RANGE BETWEEN 20000 PRECEDING AND 20000 FOLLOWING))
+    GROUP BY l_suppkey
+""")
+def wide_band_average(spark: SparkSession, folder: str) -> DataFrame:
+    # Three keys and a tolerance of a fifth of the prices: a key's axis is cut by
+    # the scan, as slices of the tolerance would be a handful of tasks.
+    lines = read_table(spark, folder, "lineitem").select(
+        "l_returnflag",
+        "l_suppkey",
+        F.col("l_extendedprice").cast("decimal(15,2)").alias("price"),
+        F.col("l_quantity").cast("decimal(18,2)").alias("total"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+    return band_average(
+        lines,
+        keys=["l_returnflag"],
+        band="price",
+        tolerance="20000",
+        group="l_suppkey",
+        alias="average_quantity",
+        long_axis=True,
+    )

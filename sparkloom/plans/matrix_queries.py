@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,6 +117,41 @@ def block_grid(spark: SparkSession, folder: str) -> DataFrame:
     return matrix.block_grid(matrix.block_layout(_part_by_supplier(spark, folder)))
 
 
+def _sold(spark: SparkSession, folder: str) -> matrix.BlockMatrix:
+    """Part by supplier as blocks, with the size that the dimension tables declare."""
+    last = read_table(spark, folder, "part").agg(F.max("p_partkey"))
+    rows = (last.first()[0] or 0) + 1
+    cols = (read_table(spark, folder, "supplier").agg(F.max("s_suppkey")).first()[0] or 0) + 1
+    cells = _part_by_supplier(spark, folder)
+    return matrix.BlockMatrix.of_cells(cells, rows, cols, unique=True)
+
+
+@query(f"""
+    WITH {SPARSE_SQL},
+    size AS (SELECT (SELECT max(p_partkey) FROM part) + 1 AS r,
+                    (SELECT max(s_suppkey) FROM supplier) + 1 AS c)
+    SELECT (r + 63) // 64 AS row_blocks, (c + 63) // 64 AS col_blocks,
+           (SELECT count(*) FROM (SELECT DISTINCT i // 64, j // 64 FROM m)) AS filled
+    FROM size
+""")
+def sized_matrix_grid(spark: SparkSession, folder: str) -> DataFrame:
+    return _sold(spark, folder).grid()
+
+
+@query(f"""
+    WITH {SPARSE_SQL},
+    size AS (SELECT ((SELECT max(p_partkey) FROM part) + 1) // 2 AS r,
+                    (SELECT max(s_suppkey) FROM supplier) + 1 AS c)
+    SELECT bi, bj, CASE WHEN bi >= (r + 63) // 64 THEN 'outside the grid'
+                        ELSE 'outside the matrix' END AS reason
+    FROM (SELECT DISTINCT i // 64 AS bi, j // 64 AS bj FROM m, size WHERE i >= r), size
+""")
+def invalid_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    # The same blocks in a matrix declared for the first half of the parts.
+    whole = _sold(spark, folder)
+    return dataclasses.replace(whole, rows=whole.rows // 2).invalid()
+
+
 def _cells_sql(columns: list[str], table: str) -> str:
     """X'X of the given columns, one select per cell."""
     return " UNION ALL ".join(
@@ -174,3 +211,21 @@ def ols_theta(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = read_table(spark, folder, "lineitem")
     theta = regression.ols(lineitem, features, F.col("l_extendedprice"), scale=2)
     return theta.withColumn("theta", F.round("theta", 6))
+
+
+@query("""
+    WITH s AS (
+        SELECT count(*) AS n,
+               cast(sum(x) AS double) AS sx, cast(sum(y) AS double) AS sy,
+               cast(sum(x * x) AS double) AS sxx, cast(sum(x * y) AS double) AS sxy
+        FROM (SELECT cast(p_size AS decimal(18,2)) AS x,
+                     cast(p_retailprice AS decimal(18,2)) AS y FROM part)),
+    t AS (SELECT *, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope FROM s)
+    SELECT 'p_size' AS term, round(slope, 6) AS theta FROM t
+    UNION ALL SELECT 'intercept', round((sy - slope * sx) / n, 6) FROM t
+""")
+def ols_qr_theta(spark: SparkSession, folder: str) -> DataFrame:
+    features = {"intercept": F.lit(1), "p_size": F.col("p_size")}
+    part = read_table(spark, folder, "part")
+    theta = regression.ols_qr(part, features, F.col("p_retailprice"))
+    return theta.select("term", F.round("theta", 6).alias("theta"))

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.operators import placement
+from sparkloom.operators import buckets, placement
 from sparkloom.operators.keyed import average_state, finish_average, merge_average_state
 from sparkloom.operators.sizes import broadcast_if_small
-from sparkloom.operators.persisted import Persisted
+from sparkloom.operators.persisted import Checkpointed, Persisted
 from sparkloom.plans.registry import query
 from sparkloom.sources.files import read_table
 
 
 # What ``persisted_two_aggs`` holds in the executors; ``KEPT.release()`` lets go of it.
 KEPT = Persisted()
+# What ``checkpointed_two_aggs`` holds on storage.
+SAVED = Checkpointed()
 
 
 def _partitions(spark: SparkSession) -> int:
@@ -142,3 +144,44 @@ def persisted_two_aggs(spark: SparkSession, folder: str) -> DataFrame:
         "l_suppkey", finish_average().alias("average")
     )
     return sums.join(averages, "l_suppkey")
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, l_linenumber, l_quantity
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+""")
+def bucketed_join(spark: SparkSession, folder: str) -> DataFrame:
+    # Both tables are written by bucket; what is returned joins them from there,
+    # and so would any later query.
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    lines = read_table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity"
+    )
+    n = max(buckets.BUCKETS, _partitions(spark))
+    names = [
+        buckets.write_bucketed(table, label, ["o_orderkey"], n, folder)
+        for label, table in (("orders", orders), ("lines", lines))
+    ]
+    left, right = (spark.table(name) for name in names)
+    # A merge join reads both as they lie; a broadcast would not use the buckets.
+    return left.join(right.hint("merge"), "o_orderkey")
+
+
+@query("""
+    SELECT l_suppkey, sum(l_quantity) AS quantity, avg(l_quantity) AS average
+    FROM lineitem GROUP BY l_suppkey
+""")
+def checkpointed_two_aggs(spark: SparkSession, folder: str) -> DataFrame:
+    # As persisted_two_aggs, with the shared frame on storage instead of in the
+    # executors; the files of the last call go before there are others.
+    SAVED.release()
+    state = SAVED.keep(
+        average_state(
+            read_table(spark, folder, "lineitem"), ["l_suppkey", "l_linenumber"], "l_quantity"
+        )
+    )
+    sums = state.groupBy("l_suppkey").agg(F.sum("total").alias("quantity"))
+    averages = merge_average_state(state, "l_suppkey").select(
+        "l_suppkey", finish_average().alias("average")
+    )
+    return sums.join(averages, "l_suppkey")

@@ -220,6 +220,33 @@ def gen_coo(spark: SparkSession, folder: str) -> DataFrame:
     return cells.groupBy("i").agg(F.sum("v").alias("row_sum"), F.count("*").alias("cells"))
 
 
+def _drawn(n: int, seed: int, *ids: str) -> str:
+    """SQL: a whole number below n, drawn by the hash of seed and ids."""
+    text = f"concat_ws(':', '{seed}', {', '.join(ids)})"
+    return f"cast(floor(('0x' || substr(md5({text}), 1, 13))::BIGINT / 4503599627370496 * {n}) AS bigint)"
+
+
+@query(f"""
+    SELECT chr(cast(65 + {_drawn(26, 7, 'event_id')} AS int)) AS k, count(*) AS pairs,
+           cast(sum({_drawn(10, 8, 'event_id')}) AS bigint) AS total
+    FROM events GROUP BY 1
+""")
+def random_pairs_by_id(spark: SparkSession, folder: str) -> DataFrame:
+    # A pair drawn for each event by its id, whatever partition it is in.
+    pairs = generated.drawn_pairs(read_table(spark, folder, "events"), "event_id", seed=7)
+    return pairs.groupBy("k").agg(F.count("*").alias("pairs"), F.sum("v").alias("total"))
+
+
+@query(f"""
+    SELECT i, j, {_drawn(10, 3, 'i', 'j')} AS v
+    FROM (SELECT DISTINCT l_partkey AS i, l_suppkey AS j FROM lineitem)
+""")
+def random_cells_by_position(spark: SparkSession, folder: str) -> DataFrame:
+    return generated.drawn_cells(
+        read_table(spark, folder, "lineitem"), "l_partkey", "l_suppkey", seed=3
+    )
+
+
 @query("""
     SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders
 """)

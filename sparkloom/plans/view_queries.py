@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.functions import user_defined as u
+from sparkloom.functions.aggregates import Average, register_aggregate
 from sparkloom.operators.views import as_global_view, query_frames
 from sparkloom.plans.registry import query
 from sparkloom.sources.files import read_table
@@ -73,3 +74,21 @@ def udaf_my_average_by_key(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "lineitem").groupBy("l_suppkey").agg(
         u.my_average(F.col("l_linenumber")).alias("average")
     )
+
+
+@query("""
+    SELECT l_suppkey, cast(sum(l_linenumber) AS double) / count(l_linenumber) AS average
+    FROM lineitem GROUP BY l_suppkey
+""")
+def udaf_called_from_sql(spark: SparkSession, folder: str) -> DataFrame:
+    register_aggregate(spark, "exact_average", Average())
+    return query_frames(
+        spark,
+        """
+        SELECT k AS l_suppkey, result AS average FROM exact_average(
+            TABLE(SELECT * FROM exact_average_states(
+                TABLE(SELECT l_suppkey, l_linenumber FROM {lineitem})))
+            PARTITION BY k)
+        """,
+        lineitem=read_table(spark, folder, "lineitem"),
+    )

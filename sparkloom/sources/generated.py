@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -73,3 +73,40 @@ def grid_cells(spark: SparkSession, n: int, m: int) -> DataFrame:
 def random_coo(spark: SparkSession, n: int, m: int, seed: int = 0) -> DataFrame:
     """A full n by m matrix as cells (i, j, v) with v uniform in [0, 10)."""
     return grid_cells(spark, n, m).withColumn("v", F.rand(seed) * CELL_MAX)
+
+
+# Bits of a hash that a double holds exactly.
+UNIFORM_BITS = 52
+
+
+def uniform(seed: int, *ids: Column | str) -> Column:
+    """Uniform in [0, 1), drawn by a counter: a mixing hash of the seed and the ids.
+
+    The same seed and ids give the same number in any partition, order and
+    attempt of a task, and different ids give independent ones; ``rand`` depends
+    on how the rows lie. The first 52 bits of MD5 are the number's, so other
+    engines can draw it too. A NULL id counts as left out.
+    """
+    ids = [F.col(i) if isinstance(i, str) else i for i in ids]
+    text = F.concat_ws(":", F.lit(str(seed)), *[i.cast("string") for i in ids])
+    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, UNIFORM_BITS // 4), 16, 10)
+    return bits.cast("bigint") / F.lit(float(1 << UNIFORM_BITS))
+
+
+def uniform_below(n: int, seed: int, *ids: Column | str) -> Column:
+    """A whole number from 0 to n - 1, each as likely, drawn by a counter."""
+    return F.floor(uniform(seed, *ids) * n).cast("bigint")
+
+
+def drawn_pairs(ids: DataFrame, column: str = "id", seed: int = 0) -> DataFrame:
+    """A random key A-Z and a random value 0-9 for each id, the same ones each time."""
+    return ids.select(
+        F.char(F.lit(65) + uniform_below(KEY_COUNT, seed, column)).alias("k"),
+        uniform_below(VALUE_COUNT, seed + 1, column).alias("v"),
+    )
+
+
+def drawn_cells(df: DataFrame, row: str, column: str, seed: int = 0) -> DataFrame:
+    """A matrix (i, j, v) with a cell for each pair of keys a table holds, v random below ten."""
+    pairs = df.select(F.col(row).alias("i"), F.col(column).alias("j")).distinct()
+    return pairs.withColumn("v", uniform_below(CELL_MAX, seed, "i", "j"))

@@ -1,0 +1,298 @@
+"""The two-level scan, tables by bucket, sums of blocks, sized matrices, orthogonal
+factors, drawn numbers, checkpoints and aggregates by name."""
+
+import random
+from decimal import Decimal
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sparkloom.functions.aggregates import Aggregate, Average, register_aggregate
+from sparkloom.operators import buckets, matrix, regression
+from sparkloom.operators.joins import band_average
+from sparkloom.operators.persisted import Checkpointed
+from sparkloom.operators.scan import in_pieces, running_sums
+from sparkloom.sources import generated
+from spark_settings import settings
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_running_sums_of_one_hot_key_and_nulls(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot", "hot", "hot", None, "cold"]), i, rng.choice([None, 1, 2, -3])) for i in range(2000)]
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, "k string, at int, v int")
+    found = running_sums(table, ["k"], ["at"], {"s": F.col("v")}, pieces=7).collect()
+    assert len(found) == len(rows)
+    now = {}
+    for r in sorted(found, key=lambda r: r["at"]):
+        if r["v"] is not None:
+            now[r["k"]] = now.get(r["k"], 0) + r["v"]
+        assert r["s"] == now.get(r["k"])
+
+
+def test_running_sums_without_keys_and_rows(spark):
+    table = spark.range(1000).withColumn("v", F.lit(1))
+    found = running_sums(table, [], ["id"], {"s": F.col("v")}, pieces=5).collect()
+    assert sorted((r.id, r.s) for r in found) == [(i, i + 1) for i in range(1000)]
+    assert running_sums(table.filter("id < 0"), [], ["id"], {"s": F.col("v")}).count() == 0
+
+
+def test_a_long_axis_of_one_key_is_many_tasks(spark):
+    """A tolerance wider than the axis: every row takes in all rows, or a stretch of them."""
+    n = 200_000
+    rows = spark.range(n).select(
+        F.lit("only").alias("k"),
+        (F.col("id").cast("decimal(18,2)") / 100).cast("decimal(18,2)").alias("at"),
+        (F.col("id") % 10).alias("total"), F.lit(1).cast("bigint").alias("n"), "id",
+    )
+    arguments = dict(keys=["k"], band="at", group="id", unique_groups=True, long_axis=True, pieces=8)
+    wide = band_average(rows, tolerance="5000", **arguments)
+    assert [r.average for r in wide.filter("id % 40000 = 7").collect()] == [4.5] * 5
+    assert wide.count() == n
+    near = band_average(rows, tolerance="300", **arguments)
+    values = np.arange(n) % 10
+    for r in near.filter("id % 9973 = 0").collect():
+        low, high = max(0, r.id - 30000), min(n, r.id + 30001)
+        assert r.average == pytest.approx(values[low:high].mean(), abs=1e-12)
+    pieces = in_pieces(rows, ["k", "at"], 8).groupBy("_piece").count().collect()
+    assert len(pieces) == 8 and max(r["count"] for r in pieces) < 0.3 * n
+
+
+@pytest.mark.parametrize("tolerance", ["0", "0.3", "100"])
+def test_both_band_averages_agree(spark, tolerance):
+    rng = random.Random(9)
+    data = [
+        (rng.choice("ab"), None if rng.random() < 0.1 else Decimal(rng.randrange(50)) / 10,
+         rng.choice([None, rng.randrange(9)]), i)
+        for i in range(400)
+    ]
+    rows = spark.createDataFrame(data, "k string, at decimal(9,2), total int, id int").withColumn(
+        "n", F.when(F.col("total").isNotNull(), 1)
+    )
+    plain = {}
+    for k, at, _, i in data:
+        near = [t for q, b, t, _ in data if q == k and None not in (at, b, t) and abs(at - b) <= Decimal(tolerance)]
+        if near:
+            plain[i] = sum(near) / len(near)
+    for long_axis in (False, True):
+        found = band_average(
+            rows, ["k"], "at", tolerance, "id", long_axis=long_axis, pieces=5 if long_axis else None
+        )
+        assert {r.id: pytest.approx(r.average) for r in found.collect()} == plain
+
+
+def test_bucketed_tables_join_and_group_without_an_exchange(spark):
+    left = spark.range(5000).select((F.col("id") % 700).alias("k"), F.col("id").alias("v"))
+    right = spark.range(900).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    names = [buckets.write_bucketed(t, label, ["k"], 4) for t, label in ((left, "a"), (right, "b"))]
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        joined = spark.table(names[0]).join(spark.table(names[1]), "k")
+        assert joined.count() == 5000
+        grouped = joined.groupBy("k").agg(F.sum("v"))
+        assert grouped.count() == 700
+        for frame in (joined, grouped):
+            frame.collect()
+            assert "Exchange" not in executed(frame)
+            # A bucket is one sorted file.
+            assert "Sort [" not in executed(frame) or "SortMergeJoin" in executed(frame)
+    again = buckets.write_bucketed(right, "b", ["k"], 4)
+    assert again == names[1] and spark.table(again).count() == 900
+    for name in names:
+        buckets.drop_bucketed(spark, name)
+        assert not spark.catalog.tableExists(name)
+
+
+def test_bucketed_join_query_has_no_exchange(spark):
+    import __spark_entry__ as entry_module
+
+    frame = entry_module.queries()["bucketed_join"](spark, "/root/testdata/sf0.01")
+    frame.collect()
+    assert "Exchange" not in executed(frame) and "SortMergeJoin" in executed(frame)
+
+
+def cells(spark, m):
+    data = [(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))]
+    return spark.createDataFrame(data, "i bigint, j bigint, v double")
+
+
+def test_products_travel_as_blocks(spark):
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 5, (90, 70)) * (rng.random((90, 70)) < 0.5)
+    b = rng.integers(0, 5, (70, 50)) * (rng.random((70, 50)) < 0.5)
+    left, right = cells(spark, a), cells(spark, b)
+    parts = matrix.block_products(left, right, 16, 8, 32, unique=True)
+    tasks = parts.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts.count() <= 6 * 2 * tasks
+    found = matrix.block_multiply(left, right, 16, 8, 32, unique=True)
+    plain = {(r.i, r.j): r.v for r in matrix.coo_multiply(left, right).collect()}
+    assert {(r.i, r.j): r.v for r in found.collect()} == plain
+
+
+def test_a_sized_matrix_counts_empty_blocks(spark):
+    m = np.zeros((10, 7))
+    m[0, 0] = m[9, 2] = 1
+    sized = matrix.BlockMatrix.of_cells(cells(spark, m), 10, 7, 4, 3)
+    assert sized.grid().first().asDict() == {"row_blocks": 3, "col_blocks": 3, "filled": 2}
+    assert sized.invalid().count() == 0
+    empty = matrix.BlockMatrix.of_cells(cells(spark, m).filter("i < 0"), 10, 7, 4, 3)
+    assert empty.grid().first().asDict() == {"row_blocks": 3, "col_blocks": 3, "filled": 0}
+    with pytest.raises(ValueError):
+        sized.multiply(sized)
+    with pytest.raises(ValueError):
+        matrix.BlockMatrix(sized.blocks, -1, 3)
+
+
+def test_sized_matrices_multiply(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(1, 5, (10, 7)), rng.integers(1, 5, (7, 5))
+    left = matrix.BlockMatrix.of_cells(cells(spark, a), 10, 7, 4, 3)
+    right = matrix.BlockMatrix.of_cells(cells(spark, b), 7, 5, 3, 2)
+    got = {(r.i, r.j): r.v for r in left.multiply(right).collect()}
+    assert got == {(i, j): (a @ b)[i, j] for i in range(10) for j in range(5)}
+
+
+def test_invalid_blocks_are_told_with_their_reason(spark):
+    blocks = spark.createDataFrame(
+        [
+            (0, 0, [0, 11], [1.0, 2.0]), (2, 2, [0, 3], [1.0, 1.0]), (2, 1, [6], [1.0]), (1, 0, [12], [1.0]),
+            (1, 1, [2, 2], [1.0, 1.0]), (3, 0, [0], [1.0]), (-1, 0, [0], [1.0]), (0, 1, [1], [1.0, 2.0]),
+            (0, 2, [0], [1.0]), (0, 2, [0], [1.0]), (1, 2, [1], [1.0]),
+        ],
+        "bi bigint, bj bigint, at array<int>, v array<double>",
+    )
+    found = matrix.BlockMatrix(blocks, 10, 7, 4, 3).invalid().collect()
+    assert sorted((r.bi, r.bj, r.reason) for r in found) == [
+        (-1, 0, "outside the grid"), (0, 1, "places and values differ in number"), (0, 2, "given twice"),
+        (1, 0, "outside the matrix"), (1, 1, "place taken twice"), (1, 2, "outside the matrix"),
+        (2, 1, "outside the matrix"), (3, 0, "outside the grid"),
+    ]
+
+
+def test_orthogonal_factors_keep_what_the_normal_equations_lose(spark):
+    rng = np.random.default_rng(4)
+    a = rng.standard_normal(4000)
+    x = np.column_stack([np.ones(4000), a, a + 1e-9 * rng.standard_normal(4000)])
+    y = x @ [1.0, 2.0, 3.0]
+    table = spark.createDataFrame(
+        [(*map(float, row), float(t)) for row, t in zip(x, y)], "a double, b double, c double, y double"
+    ).repartition(6)
+    features = {name: F.col(name) for name in "abc"}
+    expected = np.linalg.lstsq(x, y, rcond=None)[0]
+    rows = {r.term: r for r in regression.ols_qr(table, features, F.col("y")).collect()}
+    theta = np.array([rows[name].theta for name in "abc"])
+    assert rows["a"].rank == 3
+    assert np.abs(theta - expected).max() < 1e-4 and np.abs(theta - [1, 2, 3]).max() < 1e-4
+    old = {r.term: r.theta for r in regression.ols(table, features, F.col("y")).collect()}
+    assert max(abs(old["b"] - 2), abs(old["c"] - 3)) > 0.01
+
+
+def test_dependent_columns_give_the_shortest_solution(spark):
+    rng = np.random.default_rng(6)
+    a = rng.standard_normal(300)
+    x = np.column_stack([a, 2 * a, np.ones(300)])
+    y = 5 * a + 1
+    table = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, y double")
+    table = table.unionByName(table.limit(1).withColumn("a", F.lit(None).cast("double")))
+    features = {name: F.col(name) for name in "abc"}
+    rows = {r.term: r for r in regression.ols_qr(table, features, F.col("y")).collect()}
+    assert rows["a"].rank == 2
+    assert np.allclose([rows[n].theta for n in "abc"], np.linalg.lstsq(x, y, rcond=None)[0])
+    assert regression.ols_qr(table.filter("false"), features, F.col("y")).count() == 0
+
+
+def test_factor_merges_up_the_tree(spark):
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((500, 3))
+    table = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double").repartition(13)
+    row = regression.triangular_factor(table, [F.col(c) for c in "abc"], fan_in=4).first()
+    r = np.frombuffer(row.r).reshape(3, 3)
+    assert row.n == 500 and np.allclose(r.T @ r, x.T @ x)
+    few = regression.triangular_factor(table.limit(2), [F.col(c) for c in "abc"]).first()
+    assert few.n == 2
+
+
+def test_drawn_numbers_are_uniform_and_the_same_in_any_partition(spark):
+    ids = spark.range(40_000)
+    drawn = ids.select("id", generated.uniform(3, "id").alias("u"), generated.uniform(4, "id").alias("w"))
+    there = {r.id: r.u for r in drawn.repartition(13, F.rand()).collect()}
+    assert there == {r.id: r.u for r in drawn.coalesce(1).collect()}
+    u, w = np.array(drawn.select("u", "w").collect()).T
+    assert 0 <= u.min() and u.max() < 1
+    counts = np.bincount((u * 50).astype(int), minlength=50)
+    assert ((counts - 800) ** 2 / 800).sum() < 95  # chi-square, 49 degrees, one in 10,000
+    assert abs(np.corrcoef(u, w)[0, 1]) < 0.02 and abs(np.corrcoef(u[:-1], u[1:])[0, 1]) < 0.02
+    pairs = generated.drawn_pairs(ids, seed=1).groupBy("k").count().collect()
+    assert len(pairs) == 26 and max(r["count"] for r in pairs) < 1.15 * 40_000 / 26
+
+
+def test_a_checkpoint_cuts_lineage_and_is_released(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(x):
+        calls.add(1)
+        return x
+
+    with Checkpointed() as kept:
+        frame = kept.keep(spark.range(10).select(counted("id").alias("x")))
+        assert frame.agg(F.sum("x")).first()[0] == 45 and frame.count() == 10
+        assert calls.value == 10
+        assert "Python" not in executed(frame)
+        folder = kept.folders[0][1]
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        assert files.exists(path)
+    assert not files.exists(path)
+
+
+class Widest(Aggregate):
+    """The smallest and the largest value, and how far they are apart."""
+
+    state = "low bigint, high bigint"
+    result = "bigint"
+
+    def zero(self):
+        return None, None
+
+    def reduce(self, values, state):
+        found = [v for v in values.to_pylist() if v is not None]
+        return self.merge(state, (min(found), max(found))) if found else state
+
+    def merge(self, a, b):
+        lows = [v for v in (a[0], b[0]) if v is not None]
+        highs = [v for v in (a[1], b[1]) if v is not None]
+        return (min(lows), max(highs)) if lows else (None, None)
+
+    def finish(self, state):
+        return None if state[0] is None else state[1] - state[0]
+
+
+def test_aggregates_are_called_by_name(spark):
+    rows = [("a", 1), ("a", None), ("a", 8), ("b", None), (None, 5), (None, 7)] + [("hot", i) for i in range(5000)]
+    spark.createDataFrame(rows, "k string, x bigint").repartition(6).createOrReplaceTempView("measured")
+    register_aggregate(spark, "mean_of", Average(), key="string")
+    register_aggregate(spark, "widest", Widest(), key="string", keys_held=1)
+    states = spark.sql("SELECT * FROM mean_of_states(TABLE(SELECT k, x FROM measured))")
+    assert states.count() <= 4 * 6
+    # The rows stay where they are; only states move.
+    assert "Exchange" not in executed(states).replace("Exchange RoundRobin", "")
+
+    def call(name):
+        frame = spark.sql(
+            f"SELECT * FROM {name}(TABLE(SELECT * FROM {name}_states(TABLE(SELECT k, x FROM measured))) PARTITION BY k)"
+        )
+        return {r.k: r.result for r in frame.collect()}
+
+    assert call("mean_of") == {"a": 4.5, "b": None, None: 6.0, "hot": 2499.5}
+    assert call("widest") == {"a": 7, "b": None, None: 2, "hot": 4999}
+    spark.catalog.dropTempView("measured")
+
+
+def test_pieces_need_their_column_free(spark):
+    with pytest.raises(ValueError):
+        in_pieces(spark.range(3).withColumn("_piece", F.lit(1)), ["id"])
