@@ -20,7 +20,10 @@ Defined results: a null text counts as empty; the empty text has one
 segmentation, of no pieces; a text with fewer segmentations than N has as many
 rows; equal scores come in the order of the search, the same in each run. A
 character without a piece becomes its UTF-8 bytes, scored below all pieces.
-Decoding an encoded text gives the normalised text back.
+Decoding an encoded text gives the normalised text back. Repeated rows are encoded
+each; a text of any length is encoded whole, by its words, and a word of any length
+takes time in proportion to it; an empty table gives an empty result; columns other
+than the id and the text, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +44,10 @@ from sparkloom.llm.shared import map_texts, resident, ship, text_of
 
 MARK = "▁"
 BEST = 3
-CACHE_WORDS = 800_000  # some 350 MB
+# Words remembered: twice as many at most, some 350 MB, those used since the last
+# change kept.
+CACHE_WORDS = 400_000
+CACHE_SEARCHED = 50_000
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 
 # Best first: score and ids.
@@ -50,6 +57,18 @@ Word = tuple[float, bytes, float]
 INFINITE = float("inf")
 
 
+class _Known(dict):
+    """Words and what ``of_word`` found; a word that is missing is searched."""
+
+    def __init__(self, segmenter: Segmenter, older: dict[str, Word]):
+        self.segmenter, self.older = segmenter, older
+
+    def __missing__(self, word: str) -> Word:
+        found = self.older.get(word) or self.segmenter.of_word(word)
+        self[word] = found
+        return found
+
+
 class Segmenter:
     """The pieces and scores of a model, with the words searched so far."""
 
@@ -83,10 +102,19 @@ class Segmenter:
             for i, p in enumerate(self.pieces)
         ]
         self.unknown = min(scores[i] for i in self.ids.values()) - 10.0
-        self.known: dict[str, Word] = {}
-        # Every beginning of a piece, with the piece's id or -1.
-        self.prefixes = {p[:i]: -1 for p in self.ids for i in range(1, len(p))}
-        self.prefixes.update(self.ids)
+        self.known = _Known(self, {})
+        self.searched: dict[str, Paths] = {}
+        self.trie = self._trie()
+
+    def _trie(self) -> dict:
+        """The pieces by their characters: char -> [score, id or -1, next characters]."""
+        root: dict = {}
+        for piece, i in self.ids.items():
+            level = root
+            for c in piece[:-1]:
+                level = level.setdefault(c, [0.0, -1, {}])[2]
+            level.setdefault(piece[-1], [0.0, -1, {}])[:2] = self.scores[i], i
+        return root
 
     def lattice(self, word: str) -> list[list[tuple[float, int, int]]]:
         """For each position the pieces that end there, the best way to it first.
@@ -94,31 +122,66 @@ class Segmenter:
         An entry is the forward score through the piece, negated, its start and
         its id; the first entry of a position holds the position's own score.
         """
-        prefixes, scores, unknown = self.prefixes, self.scores, self.unknown
         size = len(word)
         arcs: list[list[tuple[float, int, int]]] = [[] for _ in word]
         arcs.append([])
         forward = 0.0
         for start in range(size):
             if start:
-                here = arcs[start]
-                if len(here) > 1:
-                    here.sort()
-                forward = here[0][0]
+                arcs[start].sort()
+                forward = arcs[start][0][0]
+            node = self.trie.get(word[start])
+            if node is None or node[1] < 0:
+                arcs[start + 1].append((forward - self.unknown, start, -1))
             end = start + 1
-            i = prefixes.get(word[start])
-            if i is None or i < 0:
-                arcs[end].append((forward - unknown, start, -1))
-            else:
-                arcs[end].append((forward - scores[i], start, i))
-            while i is not None and end < size:
+            while node is not None:
+                if node[1] >= 0:
+                    arcs[end].append((forward - node[0], start, node[1]))
+                if end == size:
+                    break
+                node = node[2].get(word[end])
                 end += 1
-                i = prefixes.get(word[start:end])
-                if i is not None and i >= 0:
-                    arcs[end].append((forward - scores[i], start, i))
         arcs[size].sort()
         return arcs
 
+    def forward(self, word: str) -> tuple[list[float], list[float], list[int], list[int]]:
+        """The Viterbi pass alone: for each position its best score, that of the best
+        piece but one to end there, both negated, and start and id of the best piece."""
+        size = len(word)
+        best, next_best = [INFINITE] * (size + 1), [INFINITE] * (size + 1)
+        came, piece = [0] * (size + 1), [-1] * (size + 1)
+        best[0] = 0.0
+        trie, unknown = self.trie, self.unknown
+        for start in range(size):
+            here = best[start]
+            node = trie.get(word[start])
+            end = start + 1
+            if node is None or node[1] < 0:
+                score = here - unknown
+                if score < best[end]:
+                    next_best[end], best[end] = best[end], score
+                    came[end], piece[end] = start, -1
+                elif score < next_best[end]:
+                    next_best[end] = score
+                if node is None:
+                    continue
+            while True:
+                value, i, further = node
+                if i >= 0:
+                    score = here - value
+                    if score < best[end]:
+                        next_best[end], best[end] = best[end], score
+                        came[end], piece[end] = start, i
+                    elif score < next_best[end]:
+                        next_best[end] = score
+                if end == size or not further:
+                    break
+                node = further.get(word[end])
+                if node is None:
+                    break
+                end += 1
+        return best, next_best, came, piece
+
     def search(self, word: str, best: int) -> Paths:
         """The best paths of one word, best first."""
         arcs = self.lattice(word)
@@ -147,53 +210,60 @@ class Segmenter:
     def normalized(self, text: str) -> str:
         return self.model.normalize(text) if text else ""
 
+    def plain(self, text: str) -> str:
+        """The normalised text as decoding gives it: with spaces, none in front."""
+        plain = self.normalized(text).replace(MARK, " ")
+        return plain[1:] if plain.startswith(" ") else plain
+
     def of_word(self, word: str) -> Word:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            # The search up to its second result: the best path, and of the paths
-            # that leave it the one with the best rating.
-            arcs = self.lattice(word)
-            at, ids, loss = len(word), [], INFINITE
-            while at:
-                here = arcs[at]
-                if len(here) > 1:
-                    loss = min(loss, here[1][0] - here[0][0])
-                _, at, i = here[0]
-                if i >= 0:
-                    ids.append(i)
-                else:
-                    ids.extend(reversed(self.raw(word[at])))
-            ids.reverse()
-            found = self.known[word] = (-arcs[-1][0][0] if word else 0.0, _packed(ids), loss)
-        return found
+        """Score, ids and loss of a word, not remembered."""
+        # The search up to its second result: the best path, and of the paths
+        # that leave it the one with the best rating.
+        best, next_best, came, piece = self.forward(word)
+        at, ids, loss = len(word), [], INFINITE
+        while at:
+            less = next_best[at] - best[at]
+            if less < loss:
+                loss = less
+            i = piece[at]
+            at = came[at]
+            if i >= 0:
+                ids.append(i)
+            else:
+                ids.extend(reversed(self.raw(word[at])))
+        ids.reverse()
+        return -best[-1], _packed(ids), loss
 
     def nbest(self, text: str) -> list[tuple[float, bytes]]:
         """The N best segmentations of a text, best first: score and ids.
 
         Ids are little-endian 32-bit numbers, one behind the other.
         """
+        if len(self.known) > CACHE_WORDS:
+            self.known = _Known(self, dict(self.known))
         return self.of_normalized(self.normalized(text))
 
     def of_normalized(self, text: str) -> list[tuple[float, bytes]]:
-        known, of_word = self.known, self.of_word
         words = _UNIT.findall(text)
-        options = [known.get(w) or of_word(w) for w in words]
-        score = sum([o[0] for o in options])
-        ids = [o[1] for o in options]
+        if not words:
+            return [(0.0, b"")]
+        scores, ids, losses = zip(*map(self.known.__getitem__, words))
+        score, whole = sum(scores), b"".join(ids)
         out = []
-        for loss, changes in self._ways(words, [o[2] for o in options]):
-            now = ids
+        for loss, changes in self._ways(words, losses):
+            now = whole
             if changes:
-                now = ids.copy()
-                for i, path in changes.items():
-                    now[i] = _packed(path)
-            out.append((score - loss, b"".join(now)))
+                # What lies before, between and behind the words that change.
+                parts, done = [], 0
+                for i in sorted(changes):
+                    parts += [*ids[done:i], _packed(changes[i])]
+                    done = i + 1
+                now = b"".join([*parts, *ids[done:]])
+            out.append((score - loss, now))
         return out
 
     def _ways(
-        self, words: list[str], losses: list[float]
+        self, words: list[str], losses: tuple[float, ...]
     ) -> list[tuple[float, dict[int, tuple[int, ...]]]]:
         """The N cheapest ways to leave the best paths: loss, and the words' other ids."""
         ways: list = [(0.0, (), {})]
@@ -209,7 +279,11 @@ class Segmenter:
         for i in places:
             if losses[i] == INFINITE:
                 break
-            paths = self.search(words[i], self.best)
+            paths = self.searched.get(words[i])
+            if paths is None:
+                if len(self.searched) >= CACHE_SEARCHED:
+                    self.searched.clear()
+                paths = self.searched[words[i]] = self.search(words[i], self.best)
             more = [
                 (loss + paths[0][0] - paths[k][0], (*order, k), {**changes, i: paths[k][1]} if k else changes)
                 for loss, order, changes in ways
@@ -242,25 +316,41 @@ def segmenter(path: str, best: int = BEST) -> Segmenter:
 
 
 def encode(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", best: int = BEST
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", best: int = BEST,
+    digests: bool = False,
 ) -> DataFrame:
-    """Rows (id, rank from 1, score, ids): the best segmentations of each text."""
+    """Rows (id, rank from 1, score, ids): the best segmentations of each text.
+
+    ``digests`` adds n_pieces, ids_crc32 (of the ids as little-endian 32-bit
+    numbers) and round_trip: whether ``decode`` gives the normalised text.
+    """
 
     def work(texts: list[str]) -> tuple[list[int], dict]:
         own = segmenter(path, best)
-        rows, ranks, scores, ids = [], [], [], []
+        rows, ranks, scores, ids, crcs, whole = [], [], [], [], [], []
         for row, text in enumerate(texts):
+            plain = own.plain(text) if digests else ""
             for rank, (score, pieces) in enumerate(own.nbest(text), 1):
                 rows.append(row)
                 ranks.append(rank)
                 scores.append(score)
-                ids.append(np.frombuffer(pieces, dtype="<i4"))
-        return rows, {"rank": ranks, "score": scores, "ids": ids}
-
+                ids.append(pieces)
+                if digests:
+                    crcs.append(zlib.crc32(pieces))
+                    whole.append(own.decode(packed_array("I", pieces)) == plain)
+        sizes = np.array([len(i) // 4 for i in ids], dtype=np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+        columns = {"rank": ranks, "score": scores, "ids": pa.ListArray.from_arrays(pa.array(ends), flat)}
+        if digests:
+            columns |= {"n_pieces": sizes, "ids_crc32": crcs, "round_trip": whole}
+        return rows, columns
+
+    fields = "rank int, score double, ids array<int>"
+    if digests:
+        fields += ", n_pieces bigint, ids_crc32 bigint, round_trip boolean"
     named = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    return map_texts(named, work, "rank int, score double, ids array<int>").withColumnRenamed(
-        "_id", id_col
-    )
+    return map_texts(named, work, fields).withColumnRenamed("_id", id_col)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
@@ -272,35 +362,3 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
         return pd.Series([None if i is None else own.decode(list(i)) for i in ids], dtype=object)
 
     return encoded.withColumn("text", spell(ids_col))
-
-
-def digests(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", best: int = BEST
-) -> DataFrame:
-    """Rows (id, rank, score, n_pieces, ids_crc32, round_trip) in place of ids.
-
-    For corpora whose pieces nobody stores: the ids do not leave the task that
-    finds them. ``round_trip`` says whether decoding gives the normalised text.
-    """
-
-    def work(texts: list[str]) -> tuple[list[int], dict]:
-        own = segmenter(path, best)
-        rows, ranks, scores, sizes, crcs, whole = [], [], [], [], [], []
-        for row, text in enumerate(texts):
-            normalized = own.normalized(text)
-            plain = normalized.replace(MARK, " ")
-            for rank, (score, ids) in enumerate(own.of_normalized(normalized), 1):
-                rows.append(row)
-                ranks.append(rank)
-                scores.append(score)
-                sizes.append(len(ids) // 4)
-                crcs.append(zlib.crc32(ids))
-                whole.append(own.spell(packed_array("I", ids)) == plain)
-        return rows, {
-            "rank": ranks, "score": scores, "n_pieces": sizes, "ids_crc32": crcs, "round_trip": whole
-        }
-
-    named = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    return map_texts(
-        named, work, "rank int, score double, n_pieces bigint, ids_crc32 bigint, round_trip boolean"
-    ).withColumnRenamed("_id", id_col)

@@ -151,10 +151,10 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op8_sentencepiece_nbest(spark: SparkSession, folder: str) -> DataFrame:
-    """The three best segmentations of each text: score, pieces, a digest of the
-    ids, and whether decoding them gives the text back."""
+    """The three best segmentations of each text: score, ids and their digest, and
+    whether decoding them gives the text back."""
     documents = read(spark, folder, "documents")
-    return nbest.digests(documents, public_tokenizers.path(PIECE_MODEL))
+    return nbest.encode(documents, public_tokenizers.path(PIECE_MODEL), digests=True)
 
 
 @query()

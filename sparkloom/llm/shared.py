@@ -154,7 +154,10 @@ def map_texts(df: DataFrame, work: Callable, fields: str) -> DataFrame:
                 kept = [batch.column(c) for c in others]
                 if rows is not None:
                     kept = [c.take(pa.array(rows, pa.int64())) for c in kept]
-                made = [pa.array(columns[f.name], f.type) for f in types]
+                made = [
+                    made if isinstance(made := columns[f.name], pa.Array) else pa.array(made, f.type)
+                    for f in types
+                ]
                 yield pa.RecordBatch.from_arrays([*kept, *made], [*others, *added.names])
 
     return df.select(*others, "_text").mapInArrow(run, T.StructType([*schema.fields, *added.fields]))

@@ -3,7 +3,6 @@ import random
 import re
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -469,13 +468,30 @@ def test_encode_and_decode_of_odd_rows(spark):
     assert nbest.encode(documents(spark, []), MODEL).count() == 0
 
 
-def test_digests_agree_with_encoded_rows(spark):
+def test_digests_agree_with_the_ids(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    digests = nbest.digests(docs, MODEL).toPandas().set_index(["doc_id", "rank"]).sort_index()
-    assert digests.round_trip.all() and len(digests) >= 3 * docs.count() - 3
-    encoded = nbest.encode(docs, MODEL).toPandas().set_index(["doc_id", "rank"]).sort_index()
+    rows = nbest.encode(docs, MODEL, digests=True).toPandas()
+    assert rows.round_trip.all() and len(rows) >= 3 * docs.count() - 3
     import zlib
 
-    crcs = encoded.ids.map(lambda i: zlib.crc32(np.array(i, dtype="<i4").tobytes()))
-    assert (digests.ids_crc32 == crcs).all() and (digests.score == encoded.score).all()
-    assert isinstance(digests, pd.DataFrame)
+    crcs = rows.ids.map(lambda i: zlib.crc32(np.array(i, dtype="<i4").tobytes()))
+    assert (rows.ids_crc32 == crcs).all() and (rows.n_pieces == rows.ids.map(len)).all()
+    decoded = nbest.decode(nbest.encode(docs, MODEL), MODEL).join(docs.withColumnRenamed("text", "given"), "doc_id")
+    model = nbest.Segmenter(MODEL)
+    assert all(r.text == model.plain(r.given) for r in decoded.collect())
+
+
+def test_a_full_memory_of_words_changes_nothing(monkeypatch):
+    own, small = nbest.Segmenter(MODEL), nbest.Segmenter(MODEL)
+    monkeypatch.setattr(nbest, "CACHE_WORDS", 3)
+    for text in ["some words here", "other words there and more", "some words again", ""]:
+        assert small.nbest(text) == own.nbest(text)
+
+
+def test_the_forward_pass_equals_the_lattice(segmenter):
+    for word in ["▁therein", "▁日本x", "\n▁a", "é", "▁" * 5 + "the", "abcdefghij" * 30]:
+        arcs = segmenter.lattice(word)
+        best, next_best, came, piece = segmenter.forward(word)
+        for at in range(1, len(word) + 1):
+            assert (best[at], came[at], piece[at]) == arcs[at][0]
+            assert next_best[at] == (arcs[at][1][0] if len(arcs[at]) > 1 else float("inf"))
