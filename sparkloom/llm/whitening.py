@@ -5,7 +5,8 @@ is never built: a pass over the rows gives ``X'(X Q)`` for a block Q of a few
 columns, where X are the rows less their mean, and the leading eigenvectors come
 from Chebyshev-filtered subspace iteration. A round applies a Chebyshev polynomial
 of V to the block, a pass for each degree, which damps the part of the spectrum
-below the block's smallest Ritz value and lets the part above grow; then QR makes
+from its lower edge, estimated once, to the block's smallest Ritz value and lets the
+part above grow; then QR makes
 the block orthonormal and Rayleigh-Ritz, one more pass, gives eigenvalues, vectors
 and residuals. Rounds go on until every wanted pair is certified by its residual
 ``|V q - e q|``, which bounds the error of e and, over the distance to the other
@@ -50,6 +51,7 @@ COMPONENTS = 8
 # Columns of the block beyond the wanted ones: the more, the fewer rounds.
 MORE = 24
 DEGREE = 8
+EDGE_STEPS = 6
 ROUNDS = 200
 RESIDUAL = 1e-14
 ROUNDING = 1e-10
@@ -148,20 +150,44 @@ class Centred:
         return self.add(lambda z: (z * z).sum(axis=0)[:, None])[:, 0] / self.n
 
 
+def lower_edge(times: Callable[[np.ndarray], np.ndarray], dimension: int, steps: int = EDGE_STEPS) -> float:
+    """About the smallest eigenvalue, from below: a few Lanczos steps, one column each.
+
+    It only says where the filter need not be small, so an estimate will do.
+    """
+    basis = np.zeros((dimension, 0))
+    v = np.random.default_rng(7).standard_normal(dimension)
+    v /= np.linalg.norm(v)
+    alphas, betas = [], []
+    for _ in range(min(steps, dimension)):
+        basis = np.column_stack([basis, v])
+        w = times(v[:, None])[:, 0]
+        alphas.append(float(v @ w))
+        for _ in range(2):
+            w = w - basis @ (basis.T @ w)
+        betas.append(float(np.linalg.norm(w)))
+        if betas[-1] <= 1e-12 * abs(alphas[0]):
+            break
+        v = w / betas[-1]
+    small = np.diag(alphas) + np.diag(betas[:-1], 1) + np.diag(betas[:-1], -1)
+    return max(0.0, float(np.linalg.eigvalsh(small)[0]) - betas[-1])
+
+
 def filtered(
-    times: Callable[[np.ndarray], np.ndarray], q: np.ndarray, degree: int, cut: float, top: float
+    times: Callable[[np.ndarray], np.ndarray], q: np.ndarray, degree: int, low: float, cut: float, top: float
 ) -> np.ndarray:
-    """The Chebyshev polynomial that is small on [0, cut], applied to a block.
+    """The Chebyshev polynomial that is small on [low, cut], applied to a block.
 
     It is scaled to one at ``top``, so numbers stay small.
     """
-    half = cut / 2
-    sigma = half / (top - half)
+    half, middle = (cut - low) / 2, (cut + low) / 2
+    sigma = half / (top - middle)
     twice = 2 / sigma
-    before, now = q, (times(q) - half * q) * (sigma / half)
+    before, now = q, (times(q) - middle * q) * (sigma / half)
     for _ in range(degree - 1):
         next_sigma = 1 / (twice - sigma)
-        before, now = now, (times(now) - half * now) * (2 * next_sigma / half) - sigma * next_sigma * before
+        image = times(now) - middle * now
+        before, now = now, image * (2 * next_sigma / half) - sigma * next_sigma * before
         sigma = next_sigma
     return now
 
@@ -177,7 +203,7 @@ def leading_pairs(
     size = min(dimension, wanted + more)
     wanted = min(wanted, dimension)
     q = np.linalg.qr(np.random.default_rng(20240917).standard_normal((dimension, size)))[0]
-    last = math.inf
+    last, edge = math.inf, None
     for _ in range(ROUNDS):
         image = times(q)
         small = q.T @ image
@@ -197,14 +223,17 @@ def leading_pairs(
         if cut >= top:
             # All of the block's eigenvalues are one: nothing to tell apart.
             cut = 0.5 * top
+        if edge is None:
+            edge = lower_edge(times, dimension)
+        low = min(edge, 0.9 * cut)
 
         def growth(value: float) -> float:
-            t = max(2 * value / cut - 1, 1.0)
+            t = max((2 * value - cut - low) / (cut - low), 1.0)
             return t + math.sqrt(t * t - 1)
 
         ratio = growth(top) / growth(values[rank - 1])
         degree = DEGREE if ratio <= 1 else max(2, min(DEGREE, int(math.log(RANGE) / math.log(ratio))))
-        q = np.linalg.qr(filtered(times, q, degree, cut, top))[0]
+        q = np.linalg.qr(filtered(times, q, degree, low, cut, top))[0]
         q = np.linalg.qr(q)[0]
     raise ArithmeticError(f"no certified eigenvectors after {ROUNDS} rounds: residual {worst}")
 
