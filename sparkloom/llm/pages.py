@@ -7,15 +7,19 @@ A page is parsed into blocks of visible text, each in one of three regions:
 * ``out``: inside an element that is no text (script, style, ...) or that names
   itself a menu, header, footer, sidebar, notice, advert, form or comments, by
   its tag, role, class or id. It is removed, also where a page alone has it.
-* ``open``: the markup does not say. Here repeats decide.
+* ``open``: the markup does not say. Here repeats decide, on pages with an article
+  and on others. So they do inside a main element for parts whose class or id has a
+  word that may as well speak of the text, as in ``post-header`` or ``related-work``.
 
 For these the token streams of a host's pages, their ``open`` and visible ``out``
-blocks in order, are put together, and all suffixes are sorted by host and by
-their first ``REPEAT`` tokens: suffixes that agree this far form one group, that
-is a stretch of the host's suffix array with common prefixes no shorter. A
-group that comes from streams of two distinct contents is a repeated substring,
-and its tokens are boilerplate. What is left of the open blocks, the unique
-runs, is the text. A page with an article takes the article alone.
+blocks in order, are put together, and their suffixes are brought together that
+share their first ``REPEAT`` tokens: the intervals of the host's suffix array whose
+common prefixes are no shorter. Neither the order of the suffixes inside an
+interval nor longer prefixes are made, as they would mark no token more: each
+window of a longer repeat is an interval too. An interval that comes from streams
+of two distinct contents is a repeated substring, and its tokens are boilerplate.
+The text is what is left of the open blocks, the unique runs, and the main blocks,
+in page order.
 
 The suffixes are rows, grouped by a shuffle on (host, prefix) with partial
 aggregates (the least and the greatest stream), so neither a host nor a repeated
@@ -25,7 +29,9 @@ Defined results: null html is empty; a page without visible text has the empty
 text; streams shorter than ``REPEAT`` tokens are one group key as a whole; pages
 with one and the same stream count once, so a page stored twice does not erase
 itself; a page cut off in the middle is parsed as far as it goes; a null url is
-a host of its own name, the empty one.
+a host of its own name, the empty one. Repeated rows, also with one id, are pages
+each; pages and attributes of any length are read whole; an empty table gives an
+empty result; other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -75,53 +81,90 @@ CLOSES = {
     "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
 }
 
-_TAG = re.compile(
-    r"<(/?)([a-zA-Z][^\s/>]{0,64})((?:[^\"'>]|\"[^\"]{0,4096}\"|'[^']{0,4096}'){0,4096})>"
-)
-_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]{0,64})([^>]*)>")
+_TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[^A-Za-z0-9]+")
 _HAS = re.compile(r"^(?:has|no|with|without|is)[-_]", re.I)
 
 
-def _names_out(attributes: str) -> bool:
-    """Whether an element's attributes call it something other than text."""
+# Of these, words that inside a main element may as well speak of the text.
+UNSURE_NAMES = frozenset(
+    "header footer masthead side social related recommended recommendations notice notices notification"
+    " banner promotion subscription signup toolbar pager menu menus sidebar hidden".split()
+)
+
+
+def _tag_at(page: str, at: int) -> tuple[bool, str, str, int] | None:
+    """The tag that starts at ``at``: is it an end tag, name, attributes, where it ends.
+
+    A quoted value may hold any character. Without its quote's end a value is taken
+    to end with the tag, at the next ``>``. None if there is no tag, or no end.
+    """
+    name = _TAG_NAME.match(page, at)
+    if not name:
+        return None
+    here = name.end()
+    while True:
+        end = page.find(">", here)
+        if end < 0:
+            return None
+        # The first quote before the tag's end that opens a value.
+        opened = _QUOTE.search(page, here, end)
+        if not opened:
+            return bool(name[1]), name[2].lower(), page[name.end() : end], end + 1
+        closed = page.find(opened[1], opened.end())
+        if closed < 0:
+            return bool(name[1]), name[2].lower(), page[name.end() : end], end + 1
+        here = closed + 1
+
+
+_QUOTE = re.compile(r"=\s*([\"'])")
+
+
+def _said(attributes: str, inside: bool) -> str | None:
+    """What an element's attributes call it: "out", "open" if they leave it open, or None."""
+    said = None
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
         if name in ("class", "id"):
             for word in value.split():
-                if not _HAS.match(word) and any(
-                    part.lower() in OUT_NAMES for part in _NAME.split(word)
-                ):
-                    return True
+                parts = [] if _HAS.match(word) else [part.lower() for part in _NAME.split(word)]
+                known = OUT_NAMES.intersection(parts)
+                if known and (not inside or known - UNSURE_NAMES):
+                    return "out"
+                if known:
+                    said = "open"
         elif name == "role" and value.lower().strip() in OUT_ROLES:
-            return True
+            return "out"
         elif name == "hidden" and (m[2] or m[3] or m[4] or "hidden").lower() != "false":
-            return True
+            return "out"
         elif name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "out"
         elif name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return "out"
+    return said
 
 
-def _is_main(tag: str, attributes: str) -> int:
-    """2 for an article, 1 for a main element, 0 for others."""
-    if tag == "article" or 'articlebody' in attributes.lower():
-        return 2
-    if tag == "main" or re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I):
-        return 1
-    return 0
+def _is_main(tag: str, attributes: str) -> bool:
+    """Whether an element holds the main text."""
+    return (
+        tag in MAIN_TAGS
+        or "articlebody" in attributes.lower()
+        or re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I) is not None
+    )
 
 
-def blocks(page: str) -> list[tuple[str, int, str]]:
-    """Visible blocks (region, rank of the main element, text) in page order.
+def blocks(page: str) -> list[tuple[str, str]]:
+    """Visible blocks (region, text) in page order.
 
-    Regions are "main", "out" and "open". White space in a block is one space. The
-    start of an article or main element is an empty block.
+    Regions are "main", "out" and "open". White space in a block is one space.
     """
-    found: list[tuple[str, int, str]] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, out, main
+    found: list[tuple[str, str]] = []
+    stack: list[tuple[str, str | None]] = []  # tag, and its region if it sets one
+
+    def region() -> str:
+        said = [r for _, r in stack if r]
+        return "out" if "out" in said else said[-1] if said else "open"
     buffer: list[str] = []
 
     def flush() -> None:
@@ -129,12 +172,10 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
             text = " ".join(html.unescape("".join(buffer)).split())
             buffer.clear()
             if text:
-                out = any(o for _, o, _ in stack)
-                rank = max((m for _, _, m in stack), default=0)
-                found.append(("out" if out else "main" if rank else "open", rank, text))
+                found.append((region(), text))
 
     def pop_to(at: int) -> None:
-        if any(t not in INLINE or o for t, o, _ in stack[at:]):
+        if any(t not in INLINE or r for t, r in stack[at:]):
             flush()
         del stack[at:]
 
@@ -154,21 +195,20 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
             end = page.find(">", sign)
             at = size if end < 0 else end + 1
             continue
-        tag_match = _TAG.match(page, sign) or _PLAIN_TAG.match(page, sign)
+        tag_match = _tag_at(page, sign)
         if not tag_match:
             if re.match(r"</?[a-zA-Z]", page[sign : sign + 3]):
                 break  # cut off inside a tag
             buffer.append("<")
             at = sign + 1
             continue
-        at = tag_match.end()
-        closing, tag, attributes = tag_match[1], tag_match[2].lower(), tag_match[3]
+        closing, tag, attributes, at = tag_match
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     pop_to(i)
                     break
-                if stack[i][2] and tag not in ("body", "html", "main", "article", "div", "section"):
+                if stack[i][1] == "main" and tag not in ("body", "html", "main", "article", "div", "section"):
                     break  # a stray end tag does not close an article
             else:
                 if tag not in INLINE:
@@ -192,28 +232,22 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
                         break
         if tag in VOID or attributes.endswith("/") and tag not in INLINE:
             continue
-        main = _is_main(tag, attributes)
-        inside = any(m for _, _, m in stack)
-        out = tag in OUT_TAGS and not (tag == "header" and inside)
-        if not out and not main and tag not in ("html", "body"):
-            out = _names_out(attributes)
-        if out:
-            flush()
-        stack.append((tag, out, main))
-        if main and not any(o for _, o, _ in stack):
+        inside = any(r == "main" for _, r in stack)
+        said = None if tag in ("html", "body") else _said(attributes, inside)
+        if tag in OUT_TAGS and not (tag == "header" and inside):
+            said = "out"
+        elif said is None and _is_main(tag, attributes):
+            said = "main"
+        if said:
             flush()
-            found.append(("main", main, ""))  # there is an article, even if empty
+        stack.append((tag, said))
     flush()
     return found
 
 
-def page_text(page: str) -> str | None:
-    """The text of the article or main element; None if the page has none."""
-    parts = blocks(page)
-    best = max((rank for region, rank, _ in parts if region == "main"), default=0)
-    if not best:
-        return None
-    return " ".join(text for region, rank, text in parts if region == "main" and rank == best and text)
+def main_text(page: str) -> str:
+    """The text of the main blocks alone."""
+    return " ".join(text for region, text in blocks(page) if region == "main")
 
 
 def host_of(url: Column) -> Column:
@@ -222,42 +256,64 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(host, r"^.*@", ""))
 
 
-def _articles(texts: list[str]) -> tuple[list[int], dict]:
-    """The pages that have an article, with its text."""
-    articles = [page_text(page) for page in texts]
-    rows = [i for i, text in enumerate(articles) if text is not None]
-    return rows, {"text": [articles[i] for i in rows]}
+def _settled(texts: list[str]) -> tuple[list[int], dict]:
+    """The pages without open blocks, with their text: their main blocks."""
+    rows, found = [], []
+    for i, page in enumerate(texts):
+        parts = blocks(page)
+        if all(region != "open" for region, _ in parts):
+            rows.append(i)
+            found.append(" ".join(text for region, text in parts if region == "main"))
+    return rows, {"text": found}
 
 
 def _streams(texts: list[str]) -> tuple[list[int], dict]:
-    """Tokens outside the article, and whether their block is open."""
-    rows, has, words, is_open = [], [], [], []
+    """Tokens outside of main blocks, and whether their block is open; where the page
+    has open blocks, also its main blocks, each with the number of tokens before it."""
+    rows, words, is_open, main, main_at = [], [], [], [], []
     for i, page in enumerate(texts):
-        parts = blocks(page)
-        article = any(region == "main" for region, _, _ in parts)
-        stream = [(w, region == "open") for region, _, t in parts if region != "main" for w in t.split()]
-        if article and not stream:
+        stream, texts_, places = [], [], []
+        for region, text in blocks(page):
+            if region == "main":
+                texts_.append(text)
+                places.append(len(stream))
+            else:
+                stream += [(w, region == "open") for w in text.split()]
+        if not stream:
             continue
+        has_open = any(o for _, o in stream)
         rows.append(i)
-        has.append(article)
         words.append([w for w, _ in stream])
         is_open.append([o for _, o in stream])
-    return rows, {"has_article": has, "words": words, "is_open": is_open}
+        main.append(texts_ if has_open else [])
+        main_at.append(places if has_open else [])
+    return rows, {"words": words, "is_open": is_open, "main": main, "main_at": main_at}
 
 
-def unique_runs(words: list[str], is_open: list[bool], starts: list[int], repeat: int) -> str:
-    """The open tokens that no repeated substring covers; it starts at ``starts``."""
+def unique_runs(
+    words: list[str], is_open: list[bool], main: list[str], main_at: list[int], starts: list[int], repeat: int
+) -> str:
+    """The main blocks and the open tokens that no repeated substring covers, in page order.
+
+    Repeated substrings begin at ``starts``.
+    """
     covered = bytearray(len(words) + 1)
     for s in starts:
-        for i in range(s, min(s + repeat, len(words))):
-            covered[i] = 1
-    return " ".join(w for w, o, c in zip(words, is_open, covered) if o and not c)
+        covered[s : s + repeat] = b"\1" * len(covered[s : s + repeat])
+    left = [w if o and not c else None for w, o, c in zip(words, is_open, covered)]
+    parts, done = [], 0
+    for text, at in zip([*main, None], [*main_at, len(words)]):
+        parts += [w for w in left[done:at] if w is not None]
+        done = at
+        if text is not None:
+            parts.append(text)
+    return " ".join(parts)
 
 
 def _assembled(batches: Iterator[pa.RecordBatch], repeat: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("words", "is_open", "starts")))
-        texts = [unique_runs(w, o, s or [], repeat) for w, o, s in rows]
+        rows = zip(*(batch.column(c).to_pylist() for c in ("words", "is_open", "main", "main_at", "starts")))
+        texts = [unique_runs(w, o, m, a, s or [], repeat) for w, o, m, a, s in rows]
         yield pa.RecordBatch.from_arrays(
             [batch.column("_id"), batch.column("_url"), pa.array(texts, pa.string())],
             ["_id", "_url", "text"],
@@ -269,7 +325,7 @@ def repeated_starts(streams: DataFrame, repeat: int) -> DataFrame:
 
     Only hosts with an open block are looked at; elsewhere nothing depends on it.
     """
-    hosts = streams.filter("not has_article and exists(is_open, o -> o)").select("_host").distinct()
+    hosts = streams.filter("exists(is_open, o -> o)").select("_host").distinct()
     mine = keep(streams.join(hosts, "_host", "left_semi"), "host-streams")
     # A suffix for each token that has enough behind it, one at least.
     at = F.explode(F.expr(f"sequence(0, greatest(0, size(words) - {repeat}))")).alias("at")
@@ -301,8 +357,8 @@ def extract_text(
 ) -> DataFrame:
     """One row per row: the id, the url and ``text``.
 
-    The html is parsed twice, once for the streams and once for the articles,
-    so that no article is written down or shuffled on the way.
+    The html is parsed twice: for the streams, and for the pages that need none. So
+    the text of a page without open blocks is not written down on the way.
     """
     ship(pages.sparkSession)
     named = pages.select(
@@ -310,23 +366,23 @@ def extract_text(
         F.col(url_col).alias("_url"),
         F.coalesce(F.col(html_col), F.lit("")).alias("_text"),
     )
-    articles = map_texts(named, _articles, "text string")
+    settled = map_texts(named, _settled, "text string")
     streams = keep(
         map_texts(
             named.withColumn("_host", host_of(F.col("_url"))),
             _streams,
-            "has_article boolean, words array<string>, is_open array<boolean>",
+            "words array<string>, is_open array<boolean>, main array<string>, main_at array<int>",
         ).withColumn("row", F.monotonically_increasing_id()),
         "page-streams",
     )
     starts = repeated_starts(streams, repeat)
     texts = T.StructType([named.schema["_id"], named.schema["_url"], T.StructField("text", T.StringType())])
     others = (
-        streams.filter("not has_article")
+        streams.filter("exists(is_open, o -> o)")
         .join(starts, "row", "left")
-        .select("_id", "_url", "words", "is_open", "starts")
+        .select("_id", "_url", "words", "is_open", "main", "main_at", "starts")
         .mapInArrow(lambda batches: _assembled(batches, repeat), texts)
     )
-    return articles.unionByName(others).select(
+    return settled.unionByName(others).select(
         F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text"
     )

@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -300,8 +301,8 @@ def test_regions_of_a_page():
         "<div class='post-comments'><p>Reader says</p></div><form>f</form><footer>by me</footer></article>"
         "<div id=cookie-notice>ok?</div><aside>side</aside><p hidden>h</p><p>loose</p></body>"
     )
-    assert pages.page_text(page) == "Head One & two! Three"
-    regions = {text: region for region, _, text in pages.blocks(page)}
+    assert pages.main_text(page) == "Head One & two! Three"
+    regions = {text: region for region, text in pages.blocks(page)}
     assert regions["Top"] == regions["Menu"] == regions["ok?"] == regions["side"] == "out"
     assert regions["loose"] == "open" and "no" not in regions
 
@@ -310,7 +311,11 @@ def test_regions_of_a_page():
     "page, text",
     [
         ("<article>a<br>b&nbsp;c</article>", "a b c"),
-        ("<main>x<article>y</article></main>", "y"),
+        ("<main>x<article>y</article></main>", "x y"),
+        ("<article>own</article><article class='comment'>theirs</article>", "own"),
+        (f"<article><p data-x='{'>' * 9000}leak'>a</p>b</article>", "a b"),
+        ("<article><p title='no end>a</p>b</article>", "a b"),
+        ("<article>a <b title=it's>b</b> c's</article>", "a b c's"),
         ("<main>x<p>y</main>z", "x y"),
         ("<article><p>cut &am", "cut &am"),
         ("<article><p>cut</p><p cla", "cut"),
@@ -324,7 +329,7 @@ def test_regions_of_a_page():
     ],
 )
 def test_articles(page, text):
-    assert pages.page_text(page) == text
+    assert pages.main_text(page) == text
 
 
 def test_articles_of_the_test_pages(spark):
@@ -334,7 +339,7 @@ def test_articles_of_the_test_pages(spark):
         import html
 
         plain = " ".join(html.unescape(re.sub(r"</?(?:p|br|h1)>", " ", re.sub(r"</?b>", "", inner))).split())
-        assert pages.page_text(r.html) == re.sub(r" ?<[^>]*$", "", plain)
+        assert pages.main_text(r.html) == re.sub(r" ?<[^>]*$", "", plain)
 
 
 def body(*parts):
@@ -375,6 +380,55 @@ def test_repeats_within_a_host_are_removed(spark):
     assert pages.extract_text(table.limit(0)).count() == 0
 
 
+def extracted(spark, rows):
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {r.page_id: r.text for r in pages.extract_text(table).collect()}
+
+
+def test_what_the_markup_leaves_open_is_kept_unless_it_repeats(spark):
+    card = "<article>teaser of another story</article>"
+    lead = "<div id='story'><p>The real lead.</p><p>And the body.</p></div>"
+    again = f"<div class='post-footer'>{SAME}</div>"
+    found = extracted(
+        spark,
+        [
+            (1, "http://a/1", card + lead),
+            (2, "http://a/2", "<main><p>Lead</p><article>Inner</article></main>"),
+            (3, "http://a/3", "<article><div class='post-header'><h1>Title</h1></div>Text"
+                              "<section class='related-work'>Others did this.</section></article>"),
+            (4, "http://a/4", f"<article>One text{again}</article>"),
+            (5, "http://a/5", f"<article>Other text{again}</article><p>loose end</p>"),
+            (6, "http://b/6", f"<article>One text{again}</article>"),
+            (7, "http://a/7", f"<article>{SAME}</article>"),
+            (8, "http://a/8", "<article>Mine<div class='post-comments'>theirs</div></article>"),
+        ],
+    )
+    assert found == {
+        1: "teaser of another story The real lead. And the body.", 2: "Lead Inner",
+        3: "Title Text Others did this.", 4: "One text", 5: "Other text loose end", 6: f"One text {SAME}",
+        7: SAME, 8: "Mine",
+    }
+
+
+def test_only_the_repeats_can_tell(spark):
+    """Pages without any name for their parts: what repeats on the host goes."""
+    r = random.Random(4)
+    menu = " ".join(f"entry{i}" for i in range(12))
+    stories = [" ".join(f"w{r.randrange(10**6)}" for _ in range(r.randrange(3, 60))) for _ in range(40)]
+    rows = [
+        (i, "http://same.host/" + str(i), f"<body><div>{menu}</div><div><p>{story}</p></div><div>{SAME}</div>")
+        for i, story in enumerate(stories)
+    ]
+    assert extracted(spark, rows) == dict(enumerate(stories))
+
+
+@pytest.mark.parametrize("unit", ["<p a='", "<", "<a ", "<p a=\"x\" b='y' ", "<!--", "</", "<p>'", "=\""])
+def test_markup_is_read_in_linear_time(unit):
+    start = time.process_time()
+    pages.blocks(unit * 60_000)
+    assert time.process_time() - start < 5
+
+
 def plain_unique(streams, repeat):
     """Uncovered tokens of each stream of one host."""
     where = {}
