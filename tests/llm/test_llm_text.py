@@ -112,6 +112,48 @@ def test_phrases_equal_plain_ones():
         assert column.tolist() == [plain_phrases(c.tolist(), sample) if len(c) else 0 for c in coded]
 
 
+@pytest.mark.parametrize("block", [1, 2, 7, 64])
+def test_phrases_do_not_depend_on_the_block(monkeypatch, block):
+    r = random.Random(7)
+    samples = {n: "".join(r.choice(s) for _ in range(900)) for n, s in (("a", "ab "), ("b", "bcd"), ("c", "日本語x"))}
+    samples["d"] = "abcdefgh ijkl " * 40
+    parser = language.Parser(samples)
+    texts = ["".join(r.choice("abcd日本 ") for _ in range(r.randrange(0, 400))) for _ in range(30)]
+    # Phrases much longer than a block: the parses from its start never meet.
+    texts += [samples["d"], samples["d"][5:] + "zz" + samples["a"], samples["c"][3:500]]
+    coded = [parser.alphabet.symbols(language.letters(t)) for t in texts]
+    whole = parser.phrases(coded)
+    monkeypatch.setattr(language, "BLOCK", block)
+    assert (parser.phrases(coded) == whole).all()
+    sample = language.letters(samples["d"])[: language.SAMPLE_SYMBOLS]
+    assert whole[30][parser.names.index("d")] == 1 and len(sample)
+
+
+def test_languages_of_one_script_are_told_apart():
+    r = random.Random(5)
+    stock = [chr(0x4E00 + i) for i in range(3000)]
+    r.shuffle(stock)
+    words = {
+        n: ["".join(r.choices(stock[at : at + 2000], k=r.randrange(1, 4))) for _ in range(400)]
+        for n, at in (("one", 0), ("two", 1000))
+    }
+    parser = language.Parser({n: " ".join(r.choices(w, k=3000)) for n, w in words.items()})
+    texts = [(n, " ".join(r.choices(w, k=30))) for n, w in words.items() for _ in range(50)]
+    assert [a for a, _ in parser.classify([t for _, t in texts])] == [n for n, _ in texts]
+    # Letters are not confused with others of their code block.
+    known = language.Parser({"one": "日本語 の文"}).alphabet
+    symbols = known.symbols(language.letters("日本語中")).tolist()
+    assert len(set(symbols)) == 4 and symbols[3] == known.size
+
+
+def test_a_long_first_row_leaves_room_for_the_others():
+    long, short = "a" * 100_000, "quick brown fox"
+    text = language._shared_out([long, short, "", "12", "lazy dog " * 9], 1000)
+    assert short in text and "lazy dog " * 8 in text and len(text) <= 1000 + 2
+    assert text.count("a") > 800
+    assert language._shared_out([], 1000) == "" and language._shared_out(["abc"] * 5, 10) == "ab ab ab ab ab"
+
+
 def test_long_texts_are_parsed_whole():
     parser = language.Parser({"a": "abab abba " * 20, "b": "xyxy yxxy " * 20})
     head = "abab " * 400
