@@ -328,6 +328,23 @@ def test_proposals_of_a_long_stretch_are_bounded_and_scored_in_slices(redactor,
     assert redactor.all_spans(texts) == whole
 
 
+def test_long_names_and_hosts_are_proposed_whole():
+    name, host = "n" * 300, " dot ".join(["mail", "a", "b", "c", "d", "e", "com"])
+    label = "x" * 100
+    text = f"to {name} at {host} and jane [at] {label}.org, kim at h dot com"
+    proposed = {text[s:e] for s, e, kind in pii.candidates(text) if kind == "email"}
+    assert {f"{name} at {host}", f"jane [at] {label}.org", "kim at h dot com"} <= proposed
+    assert f"{name} at mail dot a" in proposed
+
+
+def test_hosts_that_share_their_ends_take_linear_time():
+    text = "a at b" + " dot at dot b" * 20_000
+    start = time.process_time()
+    found = pii.candidates(text)
+    assert time.process_time() - start < 10 and len(found) <= 8 * 20_000
+    assert (0, len(text), "email") in found
+
+
 def test_redaction_joins_overlapping_spans():
     assert pii.redact("ab1234567cd", [(2, 6, "card"), (4, 9, "phone")]) == "ab[CARD]cd"
 
