@@ -12,14 +12,20 @@ differ in two bits or fewer, so the two fingerprints share a Golay key (see
 for each pair of segments, some 80 keys of 26 bits, the lists are gathered by a
 shuffle, and the fingerprints of a list are compared on all 64 bits. A list
 puts out a spanning forest of its links, less than one link for each of its
-rows, and never all pairs. All fingerprints within four bits of one are less
-than 0.7 million, which bounds what near copies of one text add to a list.
+rows, and never all pairs.
+
+Fingerprints of a templated source share most bits and may fill a list without
+being linked. A list of more than ``LONG_LIST`` rows is therefore not compared where
+it was gathered, nor held there: its rows go on, are dealt to groups of some
+``LIST_TILE``, and each two groups are compared in a task of their own, so no task
+holds or compares more than two groups. All tiles together hold all pairs.
 
 Defined results: a null text is empty; a text without words has fingerprint
 zero and is linked like any other; a text with fewer words than a shingle has
 one shingle, the whole sequence. Rows with the same id and different texts keep
-their own fingerprints; the component's name is the smallest id. An empty table
-gives an empty result.
+their own fingerprints; the component's name is the smallest id. Texts of any length
+are read whole; an empty table gives an empty result; columns other than the id and
+the text, whatever their names, are not looked at and pass ``drop_near_copies``.
 """
 
 from __future__ import annotations
@@ -42,6 +48,9 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and bits
 PAIRS = ((0, 1), (0, 2), (1, 2))
 # Lists up to this long are compared pair by pair at once, longer ones by search.
 SHORT_LIST = 48
+LONG_LIST = 1 << 16
+LIST_TILE = 1 << 13
+ROWS_AT_ONCE = 1 << 18
 
 # For each byte value the eight bits.
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.int64)
@@ -167,28 +176,113 @@ def linked(key: np.ndarray, prints: np.ndarray, most: int = MAX_BITS) -> np.ndar
     return np.unique(np.concatenate(found), axis=0)
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in runs(batches, ["key"]):
+def _lists(
+    batches: Iterator[pa.RecordBatch], long_list: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Rows sorted by key, as keys and signed fingerprints, and whether they are part of
+    a long list; other lists come whole. No more is held than two long lists' rows."""
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    held, passing = 0, None
+    for batch in batches:
+        key, fp = (batch.column(c).to_numpy() for c in ("key", "fp"))
+        if passing is not None:
+            more = int(np.searchsorted(key, passing, side="right"))
+            if more:
+                yield key[:more], fp[:more], True
+            key, fp = key[more:], fp[more:]
+        if not len(key):
+            continue
+        passing = None
+        waiting.append((key, fp))
+        held += len(key)
+        if held < min(ROWS_AT_ONCE, 2 * long_list):
+            continue
+        key, fp = (np.concatenate(c) for c in zip(*waiting))
+        cut = int(np.searchsorted(key, key[-1]))
+        if cut:
+            yield key[:cut], fp[:cut], False
+        waiting, held = [(key[cut:], fp[cut:])], len(key) - cut
+        if held > long_list:
+            yield key[cut:], fp[cut:], True
+            waiting, held, passing = [], 0, key[-1]
+    if waiting:
+        key, fp = (np.concatenate(c) for c in zip(*waiting))
+        yield key, fp, False
+
+
+def _found(key: np.ndarray | None, a: np.ndarray, b: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Rows (key, a, b): links without a key, or rows of long lists without b."""
+    for at in range(0, len(a), 1 << 16):
+        part = slice(at, at + (1 << 16))
+        n = len(a[part])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.nulls(n, pa.int32()) if key is None else pa.array(key[part]),
+                pa.array(a[part]),
+                pa.nulls(n, pa.int64()) if b is None else pa.array(b[part]),
+            ],
+            ["key", "a", "b"],
+        )
+
+
+def _links(batches: Iterator[pa.RecordBatch], long_list: int) -> Iterator[pa.RecordBatch]:
+    for key, fp, is_long in _lists(batches, long_list):
+        if not is_long:
+            starts = np.nonzero(np.diff(key, prepend=key[0] - 1))[0]
+            lengths = np.diff(np.append(starts, len(key)))
+            long = np.repeat(lengths > long_list, lengths)
+            if not long.all():
+                prints = np.ascontiguousarray(fp[~long]).view(np.uint64)
+                signed = np.ascontiguousarray(linked(key[~long], prints).T).view(np.int64)
+                yield from _found(None, signed[0], signed[1])
+            key, fp = key[long], fp[long]
+        yield from _found(key, fp, None)
+
+
+def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for table in runs(batches, ["key", "tile"], rows=1 << 14):
+        key, tile = table.column("key").to_numpy(), table.column("tile").to_numpy()
         prints = np.ascontiguousarray(table.column("fp").to_numpy()).view(np.uint64)
-        pairs = linked(table.column("key").to_numpy(), prints)
-        signed = np.ascontiguousarray(pairs).view(np.int64)
-        for at in range(0, len(signed), 1 << 16):
-            part = signed[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], ["a", "b"]
-            )
+        edges = np.nonzero((key[1:] != key[:-1]) | (tile[1:] != tile[:-1]))[0] + 1
+        for part in np.split(prints, edges):
+            x, y = (np.array(side, dtype=np.uint64).view(np.int64) for side in _search(part, MAX_BITS))
+            yield from _found(None, x, y)
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
+def fingerprint_links(
+    distinct: DataFrame, long_list: int = LONG_LIST, tile: int = LIST_TILE
+) -> DataFrame:
     """Links that connect all fingerprints within ``MAX_BITS`` of one another."""
-    return (
+    fields = "key int, a bigint, b bigint"
+    found = keep(
         spread(distinct.select("fp"), "fp")
         .mapInArrow(_listed, "key int, fp bigint")
         .repartition("key")
         .sortWithinPartitions("key", "fp")
-        .mapInArrow(_links, "a bigint, b bigint")
-        .distinct()
+        .mapInArrow(lambda batches: _links(batches, long_list), fields),
+        "fingerprint-lists",
+    )
+    rows = found.filter("key is not null").select("key", F.col("a").alias("fp"))
+    total = rows.count()
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
+    groups = F.greatest(F.lit(2), F.ceil(F.col("n") / tile)).cast("bigint")
+    tiled = (
+        join_groups(rows, sizes, ["key"], "n", total)
+        .select("key", "fp", groups.alias("groups"))
+        .withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("groups")))
+        .withColumn("other", F.explode(F.expr("sequence(0L, groups - 1)")))
+        .filter("mine <> other")
+        .select(
+            "key", "fp",
+            (F.least("mine", "other") * F.col("groups") + F.greatest("mine", "other")).alias("tile"),
+        )
     )
+    in_tiles = (
+        tiled.repartition("key", "tile")
+        .sortWithinPartitions("key", "tile", "fp")
+        .mapInArrow(_tile_links, fields)
+    )
+    return found.filter("key is null").select("a", "b").unionByName(in_tiles.select("a", "b")).distinct()
 
 
 def near_groups(
@@ -209,8 +303,12 @@ def near_groups(
         nodes.join(parts, "fp", "left").withColumn("root", F.coalesce("root", "fp")),
         "fingerprint-parts",
     )
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = keep(placed.join(least, "root").drop("least"), "fingerprint-names")
+    least = placed.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.count("*").alias("size")
+    )
+    # A component may hold a large share of the fingerprints.
+    named = join_groups(placed.drop("least"), least, ["root"], "size", placed.count())
+    named = keep(named.drop("size"), "fingerprint-names")
     return join_groups(prints, named, ["fp"], "copies", total).select(
         F.col("_id").alias(id_col), "fp", "component_id", "root", "text_hash"
     )

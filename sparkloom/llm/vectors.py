@@ -373,9 +373,12 @@ def near_vectors(
         .withColumn("root", F.coalesce("root", "node")),
         "vector-parts",
     )
-    least = whole.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = whole.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.count("*").alias("size")
+    )
+    # A component may hold a large share of the vectors.
     named_classes = keep(
-        whole.join(least, "root").select(
+        join_groups(whole.drop("least"), least, ["root"], "size", whole.count()).select(
             "node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
         ),
         "vector-names",

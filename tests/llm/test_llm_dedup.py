@@ -179,6 +179,37 @@ def test_components_of_fingerprints(spark):
     assert union_find(prints, [(back[a], back[b]) for a, b in links]) == expected
 
 
+@pytest.mark.parametrize("long_list, tile", [(1, 1), (5, 2), (40, 16)])
+def test_long_lists_are_compared_in_tiles(spark, long_list, tile):
+    # A templated source: two segments shared, so its lists hold all of it.
+    r = random.Random(6)
+    prints = {0x2AAAA5555533333 | r.getrandbits(21) << 43 for _ in range(60)}
+    prints |= set(near_prints(120, 3))
+    prints = sorted(p & (2**64 - 1) for p in prints)
+    expected = union_find(prints, [(a, b) for a, b in pairs(prints) if (a ^ b).bit_count() <= 4])
+    signed = {p: p - (1 << 64) if p >> 63 else p for p in prints}
+    back = {v: k for k, v in signed.items()}
+    frame = spark.createDataFrame([(signed[p],) for p in prints], "fp bigint")
+    links = [(back[r.a], back[r.b]) for r in simhash.fingerprint_links(frame, long_list, tile).collect()]
+    assert all((a ^ b).bit_count() <= 4 for a, b in links)
+    assert union_find(prints, links) == expected
+
+
+def test_rows_of_long_lists_are_not_held(monkeypatch):
+    import pyarrow as pa
+
+    keys = sorted([1] * 5 + [2] * 5000 + [3] * 40 + [4] * 900 + [5])
+    whole = pa.record_batch([pa.array(keys, pa.int32()), pa.array(range(len(keys)))], ["key", "fp"])
+    batches = (whole.slice(at, 30) for at in range(0, len(keys), 30))
+    parts = list(simhash._lists(batches, 100))
+    assert max(len(key) for key, _, _ in parts) <= 2 * 100 + 30
+    assert np.concatenate([fp for _, fp, _ in parts]).tolist() == list(range(len(keys)))
+    for key, _, is_long in parts:
+        assert not is_long or set(key.tolist()) <= {2, 4}
+        # What is not passed on as long comes whole or is long by itself.
+        assert is_long or all((key == k).sum() == keys.count(k) or (key == k).sum() > 100 for k in set(key.tolist()))
+
+
 def test_near_groups_equal_plain_ones(spark):
     base = "the quick brown fox jumps over the lazy dog and runs away from all of them today " * 8
     rows = [(i, base + f" end{i}", "en") for i in range(20, 60)]
