@@ -32,7 +32,7 @@ import heapq
 import re
 import zlib
 from array import array as packed_array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -48,6 +48,11 @@ BEST = 3
 # change kept.
 CACHE_WORDS = 400_000
 CACHE_SEARCHED = 50_000
+# Texts whose new words are searched in step, such words at a time, and the length
+# up to which words are.
+TEXTS_IN_STEP = 256
+WORDS_AT_ONCE = 16_384
+IN_STEP = 48
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 
 # Best first: score and ids.
@@ -105,6 +110,7 @@ class Segmenter:
         self.known = _Known(self, {})
         self.searched: dict[str, Paths] = {}
         self.trie = self._trie()
+        self._tables()
 
     def _trie(self) -> dict:
         """The pieces by their characters: char -> [score, id or -1, next characters]."""
@@ -116,6 +122,110 @@ class Segmenter:
             level.setdefault(piece[-1], [0.0, -1, {}])[:2] = self.scores[i], i
         return root
 
+    def _tables(self) -> None:
+        """The trie as arrays, for many words in step.
+
+        Symbols number the characters of pieces from 1; nodes are numbered from 1,
+        0 is none. An edge is a node and a symbol in one number, and edges are sorted.
+        """
+        symbols = sorted({c for piece in self.ids for c in piece})
+        self.symbol = np.zeros(0x110000, dtype=np.int32)
+        self.symbol[[ord(c) for c in symbols]] = np.arange(1, len(symbols) + 1)
+        self.width = len(symbols) + 1
+        ids, scores, edges = [-1, -1], [0.0, 0.0], {}
+        waiting = [(1, self.trie)]
+        for node, level in waiting:
+            for c, (score, i, further) in level.items():
+                edges[node * self.width + int(self.symbol[ord(c)])] = len(ids)
+                if further:
+                    waiting.append((len(ids), further))
+                ids.append(i)
+                scores.append(score)
+        self.edges = np.array(sorted(edges), dtype=np.int64)
+        self.targets = np.array([edges[e] for e in self.edges.tolist()], dtype=np.int32)
+        self.node_id, self.node_score = np.array(ids, dtype=np.int32), np.array(scores)
+        self.inner = np.zeros(len(ids), dtype=bool)
+        self.inner[[node for node, _ in waiting]] = True
+
+    def _next(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        key = node * np.int64(self.width) + symbol
+        place = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+        return np.where(self.edges[place] == key, self.targets[place], 0)
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Search words, many in step, and remember them.
+
+        The same Viterbi pass as ``forward``, each step for all words at once. Words
+        longer than ``IN_STEP`` and those with characters that are no piece are
+        left to ``of_word``.
+        """
+        kept = [w for w in words if 0 < len(w) <= IN_STEP]
+        for at in range(0, len(kept), WORDS_AT_ONCE):
+            self._learn(sorted(kept[at : at + WORDS_AT_ONCE], key=len, reverse=True))
+
+    def _learn(self, words: list[str]) -> None:
+        n, size = len(words), len(words[0])
+        lengths = np.array([len(w) for w in words])
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        symbols = np.zeros((size, n), dtype=np.int32)
+        column = np.repeat(np.arange(n), lengths)
+        row = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        symbols[row, column] = self.symbol[points]
+        best = np.full((size + 1, n), INFINITE)
+        next_best = np.full((size + 1, n), INFINITE)
+        came = np.zeros((size + 1, n), dtype=np.int32)
+        piece = np.full((size + 1, n), -1, dtype=np.int32)
+        best[0] = 0.0
+        # Words stand longest first, so those that reach a position stand in front.
+        reach = np.searchsorted(-lengths, -np.arange(size + 1), side="right")
+        for start in range(size):
+            which = np.arange(int(reach[start + 1]))
+            node = self._next(np.ones(len(which), dtype=np.int32), symbols[start, which])
+            end = start + 1
+            while True:
+                alive = node > 0
+                which, node = which[alive], node[alive]
+                if not len(which):
+                    break
+                ids = self.node_id[node]
+                is_piece = ids >= 0
+                w, found = which[is_piece], ids[is_piece]
+                score = best[start, w] - self.node_score[node[is_piece]]
+                old = best[end, w]
+                better = score < old
+                next_best[end, w] = np.where(better, old, np.minimum(next_best[end, w], score))
+                w, score, found = w[better], score[better], found[better]
+                best[end, w], came[end, w], piece[end, w] = score, start, found
+                goes_on = (which < reach[min(end + 1, size)]) & self.inner[node] & (end < size)
+                which, node = which[goes_on], node[goes_on]
+                if not len(which):
+                    break
+                node = self._next(node, symbols[end, which])
+                end += 1
+        # Back from the ends; words that some piece does not reach are left out.
+        whole = np.isfinite(best[lengths, np.arange(n)])
+        at, loss = lengths.copy(), np.full(n, INFINITE)
+        steps = []
+        which = np.nonzero(whole)[0]
+        while len(which):
+            here = at[which]
+            loss[which] = np.minimum(loss[which], next_best[here, which] - best[here, which])
+            steps.append((which, piece[here, which]))
+            at[which] = came[here, which]
+            which = which[at[which] > 0]
+        if not steps:
+            return
+        owner = np.concatenate([w for w, _ in steps[::-1]])
+        order = np.argsort(owner, kind="stable")
+        flat = np.concatenate([i for _, i in steps[::-1]])[order].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=n))).tolist()
+        scores = (-best[lengths, np.arange(n)]).tolist()
+        begin = 0
+        for word, end, score, less, ok in zip(words, ends, scores, loss.tolist(), whole.tolist()):
+            if ok:
+                self.known[word] = (score, flat[begin:end], less)
+            begin = end
+
     def lattice(self, word: str) -> list[list[tuple[float, int, int]]]:
         """For each position the pieces that end there, the best way to it first.
 
@@ -210,9 +320,9 @@ class Segmenter:
     def normalized(self, text: str) -> str:
         return self.model.normalize(text) if text else ""
 
-    def plain(self, text: str) -> str:
-        """The normalised text as decoding gives it: with spaces, none in front."""
-        plain = self.normalized(text).replace(MARK, " ")
+    def plain(self, normalized: str) -> str:
+        """A normalised text as decoding gives it: with spaces, none in front."""
+        plain = normalized.replace(MARK, " ")
         return plain[1:] if plain.startswith(" ") else plain
 
     def of_word(self, word: str) -> Word:
@@ -234,6 +344,21 @@ class Segmenter:
         ids.reverse()
         return -best[-1], _packed(ids), loss
 
+    def all_nbest(self, texts: list[str]) -> Iterator[tuple[str, list[tuple[float, bytes]]]]:
+        """Each text normalised, and its N best segmentations as ``nbest`` gives them."""
+        for at in range(0, len(texts), TEXTS_IN_STEP):
+            if len(self.known) > CACHE_WORDS:
+                self.known = _Known(self, dict(self.known))
+            normalized = [self.normalized(t) for t in texts[at : at + TEXTS_IN_STEP]]
+            split = [_UNIT.findall(t) for t in normalized]
+            found = [list(map(self.known.get, words)) for words in split]
+            new = {w for words, f in zip(split, found) for w, o in zip(words, f) if o is None}
+            self.learn(w for w in new if w not in self.known.older)
+            for text, words, options in zip(normalized, split, found):
+                if None in options:
+                    options = [self.known[w] if o is None else o for w, o in zip(words, options)]
+                yield text, self.of_words(words, options)
+
     def nbest(self, text: str) -> list[tuple[float, bytes]]:
         """The N best segmentations of a text, best first: score and ids.
 
@@ -241,13 +366,14 @@ class Segmenter:
         """
         if len(self.known) > CACHE_WORDS:
             self.known = _Known(self, dict(self.known))
-        return self.of_normalized(self.normalized(text))
+        words = _UNIT.findall(self.normalized(text))
+        return self.of_words(words, [self.known[w] for w in words])
 
-    def of_normalized(self, text: str) -> list[tuple[float, bytes]]:
-        words = _UNIT.findall(text)
+    def of_words(self, words: list[str], options: list[Word]) -> list[tuple[float, bytes]]:
+        """The N best of a text from what was found for its words."""
         if not words:
             return [(0.0, b"")]
-        scores, ids, losses = zip(*map(self.known.__getitem__, words))
+        scores, ids, losses = zip(*options)
         score, whole = sum(scores), b"".join(ids)
         out = []
         for loss, changes in self._ways(words, losses):
@@ -295,7 +421,7 @@ class Segmenter:
 
     def spell(self, ids: Iterable[int]) -> str:
         """The normalised text of pieces, space marks as spaces."""
-        text = "".join([self.spelled[i] for i in ids])
+        text = "".join(map(self.spelled.__getitem__, ids))
         if not text.isascii() and any("\udc80" <= c <= "\udcff" for c in set(text)):
             text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
         return text
@@ -328,9 +454,9 @@ def encode(
     def work(texts: list[str]) -> tuple[list[int], dict]:
         own = segmenter(path, best)
         rows, ranks, scores, ids, crcs, whole = [], [], [], [], [], []
-        for row, text in enumerate(texts):
+        for row, (text, found) in enumerate(own.all_nbest(texts)):
             plain = own.plain(text) if digests else ""
-            for rank, (score, pieces) in enumerate(own.nbest(text), 1):
+            for rank, (score, pieces) in enumerate(found, 1):
                 rows.append(row)
                 ranks.append(rank)
                 scores.append(score)

@@ -591,14 +591,28 @@ def test_digests_agree_with_the_ids(spark):
     assert (rows.ids_crc32 == crcs).all() and (rows.n_pieces == rows.ids.map(len)).all()
     decoded = nbest.decode(nbest.encode(docs, MODEL), MODEL).join(docs.withColumnRenamed("text", "given"), "doc_id")
     model = nbest.Segmenter(MODEL)
-    assert all(r.text == model.plain(r.given) for r in decoded.collect())
+    assert all(r.text == model.plain(model.normalized(r.given)) for r in decoded.collect())
 
 
 def test_a_full_memory_of_words_changes_nothing(monkeypatch):
     own, small = nbest.Segmenter(MODEL), nbest.Segmenter(MODEL)
     monkeypatch.setattr(nbest, "CACHE_WORDS", 3)
-    for text in ["some words here", "other words there and more", "some words again", ""]:
+    texts = ["some words here", "other words there and more", "some words again", ""]
+    for text in texts:
         assert small.nbest(text) == own.nbest(text)
+    assert [found for _, found in small.all_nbest(texts)] == [own.nbest(t) for t in texts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="atheingo .▁\n日é☃0,", max_size=70), max_size=12))
+def test_words_searched_in_step_equal_single_ones(texts):
+    own = test_best_segmentations_equal_plain_ones.segmenter
+    own.known = nbest._Known(own, {})
+    together = [found for _, found in own.all_nbest(texts)]
+    in_step = dict(own.known)
+    own.known = nbest._Known(own, {})
+    assert [own.nbest(t) for t in texts] == together
+    assert all(own.of_word(w) == found for w, found in in_step.items())
 
 
 def test_the_forward_pass_equals_the_lattice(segmenter):
