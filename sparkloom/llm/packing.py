@@ -20,7 +20,9 @@ bounded whatever the input, in each round. Parts, bins and offsets depend on the
 of pieces alone, so a task that runs again packs as before.
 
 Defined results: a null text counts as empty; an empty document is its end mark
-alone; repeated rows are packed each; an empty table gives an empty result.
+alone; repeated rows are packed each; texts of any length are cut whole into pieces;
+an empty table gives an empty result; columns other than the id and the text,
+whatever their names, are not looked at.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ driver (some hundred numbers, whatever the input).
 Defined results: a null or empty text has all its statistics at zero and is
 scored like any other; labels other than 0 and 1 are left out, a label given
 twice counts twice; if a class has fewer than two rows, every score is 0.5. The
-score is a function of the text alone: equal texts have equal scores.
+score is a function of the text alone: equal texts, and so repeated rows, have equal
+scores. Texts of any length are read whole; an empty table gives an empty result;
+other columns, whatever their names, are not looked at and pass ``drop_low_quality``.
 """
 
 from __future__ import annotations

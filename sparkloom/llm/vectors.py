@@ -28,7 +28,8 @@ Defined results: a null vector, one that holds a null or a component that is not
 finite, an empty one and one of zeros link with nothing and are their own
 component; vectors of different lengths do not link; labels and other columns
 are not looked at. Rows with the same id and different vectors are different
-vectors; an id's row says what the row's vector has.
+vectors; an id's row says what the row's vector has. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations

@@ -179,6 +179,19 @@ def test_components_of_fingerprints(spark):
     assert union_find(prints, [(back[a], back[b]) for a, b in links]) == expected
 
 
+def test_the_bitmap_grows_with_the_table(spark):
+    assert exact_dedup.bitmap_bits(0) == exact_dedup.BITMAP_LEAST
+    assert exact_dedup.bitmap_bits(10**6) == 1 << 24 and exact_dedup.bitmap_bits(10**12) == exact_dedup.BITMAP_MOST
+    # A third of the rows are copies; few others go on to the full hash.
+    rows = [(i, f"{'copy ' * 80}{i % 1000}" if i % 3 == 0 else f"{'x' * 300}{i * 7919 % 30011:05d} {i}", "en") for i in range(6000)]
+    docs = documents(spark, rows).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    docs = docs.withColumn("_text", F.concat(F.md5("_text").substr(1, 12), "_text"))
+    truth = docs.groupBy(F.octet_length("_text"), exact_dedup.prefix_hash(F.col("_text"))).count().filter("count > 1").count()
+    refined = exact_dedup.Refined(docs, F.col("_text"))
+    assert truth * 2 <= refined.survivors(docs).count() <= 2200
+    assert refined.survivors(docs).count() + refined.settled(docs).count() == 6000
+
+
 @pytest.mark.parametrize("long_list, tile", [(1, 1), (5, 2), (40, 16)])
 def test_long_lists_are_compared_in_tiles(spark, long_list, tile):
     # A templated source: two segments shared, so its lists hold all of it.
