@@ -45,6 +45,24 @@ def copartitioned_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("""
+    SELECT c_custkey, c_nationkey, o_orderkey, o_totalprice
+    FROM orders JOIN customer ON o_custkey = c_custkey
+""")
+def spread_copartitioned_join(spark: SparkSession, folder: str) -> DataFrame:
+    # A customer may hold a large share of the orders: those are in four places.
+    orders = read_table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice"
+    )
+    customers = read_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    many, few = placement.place_for_join(
+        orders, customers, _partitions(spark), ["c_custkey"], pieces=4, spread_by=["o_orderkey"]
+    )
+    return many.join(few.hint("merge"), ["c_custkey", "_piece"]).select(
+        "c_custkey", "c_nationkey", "o_orderkey", "o_totalprice"
+    )
+
+
 @query("""
     SELECT user_id, cast(1 AS bigint) AS partitions, count(*) AS events
     FROM events GROUP BY user_id
@@ -73,7 +91,8 @@ def distribute_by(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def cluster_by(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return placement.cluster_by(orders, ["o_custkey"])
+    # A customer with many orders is four tasks and four sorts, not one.
+    return placement.cluster_by(orders, ["o_custkey"], pieces=4, spread_by=["o_orderkey"])
 
 
 @query("""

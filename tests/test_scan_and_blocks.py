@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.functions.aggregates import Aggregate, Average, register_aggregate
-from sparkloom.operators import buckets, matrix, regression
+from sparkloom.operators import buckets, matrix, placement, regression
 from sparkloom.operators.joins import band_average
 from sparkloom.operators.persisted import Checkpointed
 from sparkloom.operators.scan import in_pieces, running_sums
@@ -296,3 +296,21 @@ def test_aggregates_are_called_by_name(spark):
 def test_pieces_need_their_column_free(spark):
     with pytest.raises(ValueError):
         in_pieces(spark.range(3).withColumn("_piece", F.lit(1)), ["id"])
+
+
+def test_a_hot_key_of_a_placed_join_is_several_tasks(spark):
+    many = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id") % 50).cast("bigint").alias("k"), "id"
+    )
+    few = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        left, right = placement.place_for_join(many, few, 16, ["k"], 5, ["id"])
+        joined = left.join(right, ["k", "_piece"])
+        tasks = joined.filter("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+        rows = joined.select("k", "id", "w").collect()
+        plan = executed(joined)
+    assert tasks >= 3
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, many.join(few, "k").select("k", "id", "w").collect()))
+    assert plan.count("Exchange hashpartitioning") == 2 == plan.count("REPARTITION_BY_NUM")
+    with pytest.raises(ValueError):
+        placement.place_for_join(many, few, 16, ["k"], 0, ["id"])
