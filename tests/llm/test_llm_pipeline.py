@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 def test_queries_are_registered():
     names = [n.split("_")[0] for n in entry_module.queries() if n.startswith("op")]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in entry_module.queries()
 
 
