@@ -32,6 +32,7 @@ import heapq
 import re
 import zlib
 from array import array as packed_array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -44,15 +45,15 @@ from sparkloom.llm.shared import map_texts, resident, ship, text_of
 
 MARK = "▁"
 BEST = 3
-# Words remembered: twice as many at most, some 350 MB, those used since the last
-# change kept.
-CACHE_WORDS = 400_000
+# Words remembered, some 200 MB; all are forgotten when there are more.
+CACHE_WORDS = 800_000
 CACHE_SEARCHED = 50_000
 # Texts whose new words are searched in step, such words at a time, and the length
 # up to which words are.
-TEXTS_IN_STEP = 256
+TEXTS_IN_STEP = 1024
 WORDS_AT_ONCE = 16_384
 IN_STEP = 48
+TABLE = 64  # symbols with a column in the table of edges, and none
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 
 # Best first: score and ids.
@@ -62,16 +63,37 @@ Word = tuple[float, bytes, float]
 INFINITE = float("inf")
 
 
-class _Known(dict):
-    """Words and what ``of_word`` found; a word that is missing is searched."""
+class Found:
+    """What was found for words, by number, in arrays."""
 
-    def __init__(self, segmenter: Segmenter, older: dict[str, Word]):
-        self.segmenter, self.older = segmenter, older
+    def __init__(self):
+        self.size = 0
+        self.scores, self.losses = np.zeros(1024), np.zeros(1024)
+        # Where a word's ids start in ``ids``, and where those of the last word end.
+        self.starts = np.zeros(1025, dtype=np.int64)
+        self.ids = np.zeros(4096, dtype="<u4")
+
+    def add(self, scores: np.ndarray, ids: np.ndarray, sizes: np.ndarray, losses: np.ndarray) -> None:
+        """More words: their scores, their ids one behind the other, how many, and losses."""
+        at, n = self.size, self.size + len(scores)
+        begin = int(self.starts[at])
+        end = begin + len(ids)
+        while n > len(self.scores):
+            self.scores, self.losses = (np.concatenate([a, a]) for a in (self.scores, self.losses))
+            self.starts = np.concatenate([self.starts, self.starts[:-1]])
+        while end > len(self.ids):
+            self.ids = np.concatenate([self.ids, self.ids])
+        self.scores[at:n], self.losses[at:n] = scores, losses
+        self.starts[at + 1 : n + 1] = begin + np.cumsum(sizes)
+        self.ids[begin:end] = ids
+        self.size = n
 
-    def __missing__(self, word: str) -> Word:
-        found = self.older.get(word) or self.segmenter.of_word(word)
-        self[word] = found
-        return found
+
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of an array, one behind the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
 
 
 class Segmenter:
@@ -99,18 +121,18 @@ class Segmenter:
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("a piece of this model holds a space mark behind other characters")
         self.scores = scores
-        # Bytes of a character are escaped one by one until they are together.
-        self.spelled = [
-            bytes([self.byte_of[i]]).decode("utf-8", "surrogateescape")
-            if i in self.byte_of
-            else p.replace(MARK, " ")
-            for i, p in enumerate(self.pieces)
-        ]
         self.unknown = min(scores[i] for i in self.ids.values()) - 10.0
-        self.known = _Known(self, {})
+        self.forget()
         self.searched: dict[str, Paths] = {}
         self.trie = self._trie()
         self._tables()
+        spelled = [
+            bytes([self.byte_of[i]]) if i in self.byte_of else p.replace(MARK, " ").encode()
+            for i, p in enumerate(self.pieces)
+        ]
+        self.letters = np.frombuffer(b"".join(spelled), dtype=np.uint8)
+        self.letter_sizes = np.array([len(p) for p in spelled], dtype=np.int64)
+        self.letter_starts = np.cumsum(self.letter_sizes) - self.letter_sizes
 
     def _trie(self) -> dict:
         """The pieces by their characters: char -> [score, id or -1, next characters]."""
@@ -122,35 +144,56 @@ class Segmenter:
             level.setdefault(piece[-1], [0.0, -1, {}])[:2] = self.scores[i], i
         return root
 
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.found = Found()
+
     def _tables(self) -> None:
         """The trie as arrays, for many words in step.
 
-        Symbols number the characters of pieces from 1; nodes are numbered from 1,
-        0 is none. An edge is a node and a symbol in one number, and edges are sorted.
+        Symbols number the characters of pieces from 1, the commonest first; nodes
+        are numbered from 1, those with edges first, and 0 is none. Edges by the
+        commonest symbols are in a table, the others, a node and a symbol in one
+        number, in a sorted list.
         """
-        symbols = sorted({c for piece in self.ids for c in piece})
+        share = Counter(c for piece in self.ids for c in piece)
+        symbols = sorted(share, key=lambda c: (-share[c], c))
         self.symbol = np.zeros(0x110000, dtype=np.int32)
         self.symbol[[ord(c) for c in symbols]] = np.arange(1, len(symbols) + 1)
         self.width = len(symbols) + 1
-        ids, scores, edges = [-1, -1], [0.0, 0.0], {}
-        waiting = [(1, self.trie)]
-        for node, level in waiting:
+        levels = [self.trie]
+        for level in levels:
+            levels += [further for _, _, further in level.values() if further]
+        number = {id(level): i for i, level in enumerate(levels, 1)}
+        self.inner = len(levels)
+        ids, scores, edges = [-1] * (self.inner + 1), [0.0] * (self.inner + 1), {}
+        self.table = np.zeros((self.inner + 1, TABLE), dtype=np.int32)
+        for node, level in enumerate(levels, 1):
             for c, (score, i, further) in level.items():
-                edges[node * self.width + int(self.symbol[ord(c)])] = len(ids)
+                to = number[id(further)] if further else len(ids)
                 if further:
-                    waiting.append((len(ids), further))
-                ids.append(i)
-                scores.append(score)
-        self.edges = np.array(sorted(edges), dtype=np.int64)
-        self.targets = np.array([edges[e] for e in self.edges.tolist()], dtype=np.int32)
+                    ids[to], scores[to] = i, score
+                else:
+                    ids.append(i)
+                    scores.append(score)
+                by = int(self.symbol[ord(c)])
+                if by < TABLE:
+                    self.table[node, by] = to
+                else:
+                    edges[node * self.width + by] = to
+        self.edges = np.array(sorted(edges) or [0], dtype=np.int64)
+        self.targets = np.array([edges[e] for e in sorted(edges)] or [0], dtype=np.int32)
         self.node_id, self.node_score = np.array(ids, dtype=np.int32), np.array(scores)
-        self.inner = np.zeros(len(ids), dtype=bool)
-        self.inner[[node for node, _ in waiting]] = True
 
     def _next(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        key = node * np.int64(self.width) + symbol
-        place = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
-        return np.where(self.edges[place] == key, self.targets[place], 0)
+        """Where nodes with edges lead by a symbol each."""
+        to = self.table[node, np.where(symbol < TABLE, symbol, 0)]
+        rare = np.nonzero(symbol >= TABLE)[0]
+        if len(rare):
+            key = node[rare] * np.int64(self.width) + symbol[rare]
+            place = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+            to[rare] = np.where(self.edges[place] == key, self.targets[place], 0)
+        return to
 
     def learn(self, words: Iterable[str]) -> None:
         """Search words, many in step, and remember them.
@@ -159,9 +202,16 @@ class Segmenter:
         longer than ``IN_STEP`` and those with characters that are no piece are
         left to ``of_word``.
         """
-        kept = [w for w in words if 0 < len(w) <= IN_STEP]
+        words = list(words)
+        kept = sorted((w for w in words if 0 < len(w) <= IN_STEP), key=len, reverse=True)
         for at in range(0, len(kept), WORDS_AT_ONCE):
-            self._learn(sorted(kept[at : at + WORDS_AT_ONCE], key=len, reverse=True))
+            self._learn(kept[at : at + WORDS_AT_ONCE])
+        for word in words:
+            if word not in self.known:
+                score, ids, loss = self.of_word(word)
+                ids = np.frombuffer(ids, dtype="<u4")
+                self.known[word] = self.found.size
+                self.found.add(np.array([score]), ids, np.array([len(ids)]), np.array([loss]))
 
     def _learn(self, words: list[str]) -> None:
         n, size = len(words), len(words[0])
@@ -196,7 +246,7 @@ class Segmenter:
                 next_best[end, w] = np.where(better, old, np.minimum(next_best[end, w], score))
                 w, score, found = w[better], score[better], found[better]
                 best[end, w], came[end, w], piece[end, w] = score, start, found
-                goes_on = (which < reach[min(end + 1, size)]) & self.inner[node] & (end < size)
+                goes_on = (which < reach[min(end + 1, size)]) & (node <= self.inner) & (end < size)
                 which, node = which[goes_on], node[goes_on]
                 if not len(which):
                     break
@@ -217,14 +267,11 @@ class Segmenter:
             return
         owner = np.concatenate([w for w, _ in steps[::-1]])
         order = np.argsort(owner, kind="stable")
-        flat = np.concatenate([i for _, i in steps[::-1]])[order].astype("<u4").tobytes()
-        ends = (4 * np.cumsum(np.bincount(owner, minlength=n))).tolist()
-        scores = (-best[lengths, np.arange(n)]).tolist()
-        begin = 0
-        for word, end, score, less, ok in zip(words, ends, scores, loss.tolist(), whole.tolist()):
-            if ok:
-                self.known[word] = (score, flat[begin:end], less)
-            begin = end
+        flat = np.concatenate([i for _, i in steps[::-1]])[order]
+        sizes = np.bincount(owner, minlength=n)[whole]
+        done = np.nonzero(whole)[0]
+        self.known.update(zip([words[i] for i in done.tolist()], range(self.found.size, self.found.size + len(done))))
+        self.found.add(-best[lengths[done], done], flat, sizes, loss[done])
 
     def lattice(self, word: str) -> list[list[tuple[float, int, int]]]:
         """For each position the pieces that end there, the best way to it first.
@@ -348,60 +395,66 @@ class Segmenter:
         """Each text normalised, and its N best segmentations as ``nbest`` gives them."""
         for at in range(0, len(texts), TEXTS_IN_STEP):
             if len(self.known) > CACHE_WORDS:
-                self.known = _Known(self, dict(self.known))
+                self.forget()
             normalized = [self.normalized(t) for t in texts[at : at + TEXTS_IN_STEP]]
             split = [_UNIT.findall(t) for t in normalized]
-            found = [list(map(self.known.get, words)) for words in split]
-            new = {w for words, f in zip(split, found) for w, o in zip(words, f) if o is None}
-            self.learn(w for w in new if w not in self.known.older)
-            for text, words, options in zip(normalized, split, found):
-                if None in options:
-                    options = [self.known[w] if o is None else o for w, o in zip(words, options)]
-                yield text, self.of_words(words, options)
+            numbers = [list(map(self.known.get, words)) for words in split]
+            self.learn({w for words, ns in zip(split, numbers) for w, n in zip(words, ns) if n is None})
+            known, found = self.known, self.found
+            flat = [
+                known[w] if n is None else n for words, ns in zip(split, numbers) for w, n in zip(words, ns)
+            ]
+            which = np.array(flat, dtype=np.int64)
+            starts = found.starts[which]
+            sizes = found.starts[which + 1] - starts
+            ids = gathered(found.ids, starts, sizes).tobytes()
+            # Where each word's ids start among these, in bytes.
+            bounds = np.concatenate([[0], 4 * np.cumsum(sizes)]).tolist()
+            scores, losses = found.scores[which].tolist(), found.losses[which]
+            first = 0
+            for text, words in zip(normalized, split):
+                last = first + len(words)
+                yield text, self._of_words(
+                    words, scores[first:last], losses[first:last], ids, bounds[first : last + 1]
+                )
+                first = last
 
     def nbest(self, text: str) -> list[tuple[float, bytes]]:
         """The N best segmentations of a text, best first: score and ids.
 
         Ids are little-endian 32-bit numbers, one behind the other.
         """
-        if len(self.known) > CACHE_WORDS:
-            self.known = _Known(self, dict(self.known))
-        words = _UNIT.findall(self.normalized(text))
-        return self.of_words(words, [self.known[w] for w in words])
+        return next(self.all_nbest([text]))[1]
 
-    def of_words(self, words: list[str], options: list[Word]) -> list[tuple[float, bytes]]:
-        """The N best of a text from what was found for its words."""
+    def _of_words(
+        self, words: list[str], scores: list[float], losses: np.ndarray, ids: bytes, bounds: list[int]
+    ) -> list[tuple[float, bytes]]:
+        """The N best of a text from its words' best paths, in ``ids`` from bound to bound."""
         if not words:
             return [(0.0, b"")]
-        scores, ids, losses = zip(*options)
-        score, whole = sum(scores), b"".join(ids)
-        out = []
+        score, out = sum(scores), []
         for loss, changes in self._ways(words, losses):
-            now = whole
-            if changes:
-                # What lies before, between and behind the words that change.
-                parts, done = [], 0
-                for i in sorted(changes):
-                    parts += [*ids[done:i], _packed(changes[i])]
-                    done = i + 1
-                now = b"".join([*parts, *ids[done:]])
-            out.append((score - loss, now))
+            # What lies before, between and behind the words that change.
+            parts, done = [], bounds[0]
+            for i in sorted(changes):
+                parts += [ids[done : bounds[i]], _packed(changes[i])]
+                done = bounds[i + 1]
+            out.append((score - loss, b"".join([*parts, ids[done : bounds[-1]]])))
         return out
 
     def _ways(
-        self, words: list[str], losses: tuple[float, ...]
+        self, words: list[str], losses: np.ndarray
     ) -> list[tuple[float, dict[int, tuple[int, ...]]]]:
         """The N cheapest ways to leave the best paths: loss, and the words' other ids."""
         ways: list = [(0.0, (), {})]
         if self.best == 1:
             places = []
         elif len(losses) > 64:
-            all_losses = np.array(losses)
-            last = np.partition(all_losses, self.best - 2)[self.best - 2]
-            near = np.nonzero(all_losses <= last)[0]
-            places = near[np.argsort(all_losses[near], kind="stable")][: self.best - 1].tolist()
+            last = np.partition(losses, self.best - 2)[self.best - 2]
+            near = np.nonzero(losses <= last)[0]
+            places = near[np.argsort(losses[near], kind="stable")][: self.best - 1].tolist()
         else:
-            places = sorted(range(len(losses)), key=losses.__getitem__)[: self.best - 1]
+            places = np.argsort(losses, kind="stable")[: self.best - 1].tolist()
         for i in places:
             if losses[i] == INFINITE:
                 break
@@ -419,17 +472,20 @@ class Segmenter:
             ways = more[: self.best]
         return [(loss, changes) for loss, _, changes in ways]
 
-    def spell(self, ids: Iterable[int]) -> str:
-        """The normalised text of pieces, space marks as spaces."""
-        text = "".join(map(self.spelled.__getitem__, ids))
-        if not text.isascii() and any("\udc80" <= c <= "\udcff" for c in set(text)):
-            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
-        return text
-
     def decode(self, ids: Iterable[int]) -> str:
-        """``spell`` without the space that is put before a text."""
-        text = self.spell(ids)
-        return text[1:] if text.startswith(" ") else text
+        """The normalised text of pieces, space marks as spaces, none in front."""
+        return self.decode_all([_packed(ids)])[0]
+
+    def decode_all(self, many: list[bytes]) -> list[str]:
+        """``decode`` of many rows of ids, each packed as little-endian 32-bit numbers."""
+        ids = np.frombuffer(b"".join(many), dtype="<u4")
+        sizes = self.letter_sizes[ids]
+        spelled = gathered(self.letters, self.letter_starts[ids], sizes).tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        bounds = ends[np.cumsum([0] + [len(m) // 4 for m in many])].tolist()
+        # Bytes of a character stand together again.
+        texts = [spelled[a:b].decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:])]
+        return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
 def _packed(ids: Iterable[int]) -> bytes:
@@ -453,23 +509,25 @@ def encode(
 
     def work(texts: list[str]) -> tuple[list[int], dict]:
         own = segmenter(path, best)
-        rows, ranks, scores, ids, crcs, whole = [], [], [], [], [], []
+        rows, ranks, scores, ids, plain = [], [], [], [], []
         for row, (text, found) in enumerate(own.all_nbest(texts)):
-            plain = own.plain(text) if digests else ""
             for rank, (score, pieces) in enumerate(found, 1):
                 rows.append(row)
                 ranks.append(rank)
                 scores.append(score)
                 ids.append(pieces)
-                if digests:
-                    crcs.append(zlib.crc32(pieces))
-                    whole.append(own.decode(packed_array("I", pieces)) == plain)
+            if digests:
+                plain += [own.plain(text)] * len(found)
         sizes = np.array([len(i) // 4 for i in ids], dtype=np.int64)
         ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
         columns = {"rank": ranks, "score": scores, "ids": pa.ListArray.from_arrays(pa.array(ends), flat)}
         if digests:
-            columns |= {"n_pieces": sizes, "ids_crc32": crcs, "round_trip": whole}
+            columns |= {
+                "n_pieces": sizes,
+                "ids_crc32": [zlib.crc32(i) for i in ids],
+                "round_trip": [a == b for a, b in zip(own.decode_all(ids), plain)],
+            }
         return rows, columns
 
     fields = "rank int, score double, ids array<int>"
@@ -485,6 +543,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     @F.pandas_udf("string")
     def spell(ids: pd.Series) -> pd.Series:
         own = segmenter(path)
-        return pd.Series([None if i is None else own.decode(list(i)) for i in ids], dtype=object)
+        texts = iter(own.decode_all([_packed(i) for i in ids if i is not None]))
+        return pd.Series([None if i is None else next(texts) for i in ids], dtype=object)
 
     return encoded.withColumn("text", spell(ids_col))

@@ -607,12 +607,14 @@ def test_a_full_memory_of_words_changes_nothing(monkeypatch):
 @given(st.lists(st.text(alphabet="atheingo .▁\n日é☃0,", max_size=70), max_size=12))
 def test_words_searched_in_step_equal_single_ones(texts):
     own = test_best_segmentations_equal_plain_ones.segmenter
-    own.known = nbest._Known(own, {})
+    own.forget()
     together = [found for _, found in own.all_nbest(texts)]
-    in_step = dict(own.known)
-    own.known = nbest._Known(own, {})
+    known, found = own.known, own.found
+    own.forget()
     assert [own.nbest(t) for t in texts] == together
-    assert all(own.of_word(w) == found for w, found in in_step.items())
+    for word, n in known.items():
+        ids = found.ids[found.starts[n] : found.starts[n + 1]].tobytes()
+        assert own.of_word(word) == (found.scores[n], ids, found.losses[n])
 
 
 def test_the_forward_pass_equals_the_lattice(segmenter):
