@@ -17,15 +17,18 @@ the answer. Two passes of this kind find the positives, which have the anchor's
 label, and then the negatives, which have another and a score within limits set by
 each positive.
 
-Defined results: rows with a null id or label, or whose vector is null, empty or
-holds a null or a component that is not finite take no part; components of 2^40
-and beyond in size count as not finite. Vectors of different lengths have no inner
+Defined results: rows with a null label, or whose vector is null or holds a null or
+a component that is not finite take no part, and rows with a null id only if
+``nameless`` says so; of equal scores theirs come last. Finite components of any
+size count, and scores are exact; where the numbers of two rows may pass a bigint
+they are multiplied as Python integers. Vectors of different lengths have no inner
 product: each meets those of its own length. Rows are told apart by their place in
 the table, so repeated rows, also with one id, are rows each, and an anchor is not
 its own positive; equal scores come by smaller id, then by that place. An anchor
 without a positive, and a positive without a negative within its limits, have no
 rows; an empty table gives an empty result; other columns are not looked at. A
-product of two lengths beyond a bigint is an error.
+positive whose score does not fit a bigint is an error if a row of another label has a
+score of four fifths of the largest bigint or more.
 """
 
 from __future__ import annotations
@@ -44,7 +47,6 @@ POSITIVES = 5
 NEGATIVES = 5
 LOWEST, HIGHEST = 80, 100  # percent of the positive's score
 SCALE = 256
-LARGEST = 2.0**40
 SLICE_ROWS = 8192
 GROUP_ANCHORS = 4096
 # Rows and anchors whose pairs are bounded in one matrix.
@@ -53,7 +55,13 @@ ANCHORS_AT_ONCE = 256
 PAIRS_AT_ONCE = 1 << 15
 # Segments at each level, for vectors long enough.
 LEVELS = (4, 16)
+# Scores beyond these count as these.
 FLOOR, CEILING = -(2**63 - 1), 2**63 - 1
+# Products of lengths below this make scores that fit a bigint.
+SURE = 2.0**62
+# Larger numbers are bounded as this one, in a row whose length is so great that
+# its bounds leave nothing out.
+BOUNDED, BEYOND = 2.0**400, 1e150
 
 
 def levels_of(dimension: int) -> list[int]:
@@ -67,6 +75,9 @@ def summaries(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     Both are multiplied by the root of the segment's length.
     """
     d = x.shape[1]
+    if not d:
+        return np.zeros((len(x), 1)), np.zeros((len(x), 1))
+    x = np.clip(x, -BOUNDED, BOUNDED)
     means, deviations = [], []
     for s in levels_of(d):
         starts = [i * d // s for i in range(s)]
@@ -90,15 +101,15 @@ def _dense(column: pa.ListArray | pa.ChunkedArray) -> np.ndarray:
 
 
 def prepared(
-    table: DataFrame, anchors: Column, id_col: str, label_col: str, vector_col: str, scale: int
+    table: DataFrame, anchors: Column, id_col: str, label_col: str, vector_col: str, scale: int,
+    nameless: bool = False,
 ) -> DataFrame:
     """Rows (row, id, label, anchor, d, x, means, deviations) of those that take part."""
     v = F.col(vector_col)
     takes_part = (
-        F.col(id_col).isNotNull()
+        (F.lit(nameless) | F.col(id_col).isNotNull())
         & F.col(label_col).isNotNull()
-        & (F.size(v) > 0)
-        & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < LARGEST))
+        & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     )
     named = table.filter(F.coalesce(takes_part, F.lit(False))).select(
         F.col(id_col).cast("bigint").alias("id"),
@@ -116,8 +127,11 @@ def prepared(
                 mine = np.nonzero(lengths == d)[0]
                 for at in range(0, len(mine), 4096):
                     batch = whole.take(pa.array(mine[at : at + 4096]))
-                    x = np.floor(scale * _dense(batch.column("vector"))).astype(np.int64)
-                    means, deviations = summaries(x.astype(np.float64))
+                    # Whole numbers, kept as doubles: those of any size are exact.
+                    with np.errstate(over="ignore"):
+                        x = np.floor(scale * _dense(batch.column("vector")))
+                    x = np.nan_to_num(x)  # beyond a double: the largest one
+                    means, deviations = summaries(x)
                     yield pa.RecordBatch.from_arrays(
                         [*(batch.column(c) for c in kept), _lists(x), _lists(means), _lists(deviations)],
                         [*kept, "x", "means", "deviations"],
@@ -125,7 +139,7 @@ def prepared(
 
     rows = named.mapInArrow(
         summarize,
-        "id bigint, label bigint, anchor boolean, d int, x array<bigint>,"
+        "id bigint, label bigint, anchor boolean, d int, x array<double>,"
         "means array<double>, deviations array<double>",
     )
     # The numbers become fixed as the table is written.
@@ -137,12 +151,19 @@ class Side:
 
     def __init__(self, table: pa.Table):
         self.row = table.column("row").to_numpy()
-        self.id = table.column("id").to_numpy()
+        # Rows without an id come last of those with equal scores.
+        self.nameless = table.column("id").is_null().to_numpy()
+        self.id = table.column("id").fill_null(CEILING).to_numpy()
         self.label = table.column("label").to_numpy()
-        self.x = _dense(table.column("x"))
+        self.number = _dense(table.column("x"))
+        size = np.abs(self.number)
+        # Larger ones are never multiplied as bigints.
+        self.x = np.where(size < SURE, self.number, 0).astype(np.int64)
         self.means = _dense(table.column("means"))
         self.deviations = _dense(table.column("deviations"))
-        self.length = np.sqrt((self.x.astype(np.float64) ** 2).sum(axis=1))
+        fits = (size <= BOUNDED).all(axis=1)
+        self.length = np.full(len(self), BEYOND)
+        self.length[fits] = np.sqrt((size[fits] ** 2).sum(axis=1))
 
     def __len__(self) -> int:
         return len(self.row)
@@ -153,6 +174,15 @@ def _exact(anchors: Side, rows: Side, a: np.ndarray, b: np.ndarray) -> np.ndarra
     for at in range(0, len(a), PAIRS_AT_ONCE):
         i, j = a[at : at + PAIRS_AT_ONCE], b[at : at + PAIRS_AT_ONCE]
         scores[at : at + PAIRS_AT_ONCE] = np.einsum("ij,ij->i", anchors.x[i], rows.x[j])
+        most = anchors.length[i] * rows.length[j]
+        for place in np.nonzero(most >= SURE)[0].tolist():
+            # Doubles tell the sign of what is far beyond, whole numbers the rest.
+            one, other = anchors.number[i[place]], rows.number[j[place]]
+            with np.errstate(all="ignore"):
+                score = float(one @ other)
+            if most[place] >= BEYOND or abs(score) < 1e-9 * most[place] + 2.0**63:
+                score = sum(int(p) * int(q) for p, q in zip(one.tolist(), other.tolist()))
+            scores[at + place] = int(min(max(score, FLOOR), CEILING))
     return scores
 
 
@@ -214,8 +244,6 @@ def search(anchors: Side, rows: Side, low: np.ndarray, high: np.ndarray, same: b
     other than itself, else those of other labels.
     """
     best = Best(low, high, most)
-    if len(anchors) and len(rows) and anchors.length.max() * rows.length.max() >= 2.0**63:
-        raise ArithmeticError("a score may be beyond a bigint")
     levels = levels_of(anchors.x.shape[1])
     ends = np.cumsum(levels).tolist()
     for top in range(0, len(anchors), ANCHORS_AT_ONCE):
@@ -224,6 +252,7 @@ def search(anchors: Side, rows: Side, low: np.ndarray, high: np.ndarray, same: b
             part = slice(at, min(at + ROWS_AT_ONCE, len(rows)))
             floor = np.where(low <= high, best.floor, CEILING).min(axis=1).astype(np.float64)
             ceiling = np.where(low <= high, high, FLOOR).max(axis=1).astype(np.float64)
+            ceiling[ceiling >= CEILING] = np.inf  # scores beyond count as this one
             first = slice(0, ends[0])
             middle = anchors.means[mine, first] @ rows.means[part, first].T
             spread = anchors.deviations[mine, first] @ rows.deviations[part, first].T
@@ -267,8 +296,10 @@ def _cells(rows: DataFrame, anchors: DataFrame, slices: int, groups: int, same:
 
     ``anchors`` have the limits as arrays ``low`` and ``high``.
     """
-    slice_ = F.pmod(F.xxhash64("row"), F.lit(slices)).alias("slice")
-    group = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(groups)).alias("group")
+    # Of one type on both sides: a cogroup casts nothing, and an int and a bigint of
+    # the same value are sent to different tasks.
+    slice_ = F.pmod(F.xxhash64("row"), F.lit(slices)).cast("int").alias("slice")
+    group = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(groups)).cast("int").alias("group")
     # New columns, as both sides of the cogroup come from one table.
     kept = [F.col(c).alias(c) for c in ["d", *_COLUMNS, "low", "high"]]
     left = anchors.select(
@@ -286,11 +317,13 @@ def _cells(rows: DataFrame, anchors: DataFrame, slices: int, groups: int, same:
             best = search(
                 anchors_, rows_, _dense(ours.column("low")), _dense(ours.column("high")), same, most
             )
+            nameless = set(rows_.row[rows_.nameless].tolist())
             for (i, p), found in best.found.items():
+                anchor = None if anchors_.nameless[i] else int(anchors_.id[i])
                 for score, name, row in found:
-                    values = (anchors_.row[i], anchors_.id[i], p, -score, name, row)
+                    values = (int(anchors_.row[i]), anchor, p, -score, None if row in nameless else name, row)
                     for column, value in zip(columns, values):
-                        column.append(int(value))
+                        column.append(value)
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         names = ["anchor_row", "anchor_id", "place", "score", "id", "row"]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
@@ -303,7 +336,7 @@ def _first(found: DataFrame, most: int) -> DataFrame:
     """Of each anchor and limit the best ``most``, numbered from one."""
     from pyspark.sql import Window
 
-    order = Window.partitionBy("anchor_row", "place").orderBy(F.desc("score"), "id", "row")
+    order = Window.partitionBy("anchor_row", "place").orderBy(F.desc("score"), F.asc_nulls_last("id"), "row")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
 
 
@@ -311,15 +344,15 @@ def hard_negatives(
     table: DataFrame, anchors: Column, id_col: str = "vec_id", label_col: str = "label",
     vector_col: str = "embedding", positives: int = POSITIVES, negatives: int = NEGATIVES,
     lowest: int = LOWEST, highest: int = HIGHEST, scale: int = SCALE,
-    slice_rows: int = SLICE_ROWS, group_anchors: int = GROUP_ANCHORS,
+    slice_rows: int = SLICE_ROWS, group_anchors: int = GROUP_ANCHORS, nameless: bool = False,
 ) -> DataFrame:
     """Rows (anchor_id, positive_id, rank, negative_id, positive_score, negative_score).
 
     ``anchors`` says which rows are anchors. A negative's score is from ``lowest``
-    to ``highest`` percent of the positive's.
+    to ``highest`` percent of the positive's. ``nameless`` rows have no id.
     """
     ship(table.sparkSession)
-    rows = prepared(table, anchors, id_col, label_col, vector_col, scale)
+    rows = prepared(table, anchors, id_col, label_col, vector_col, scale, nameless)
     n, n_anchors = rows.agg(F.count("*"), F.count_if("anchor")).first()
     slices, groups = max(1, -(-n // slice_rows)), max(1, -(-n_anchors // group_anchors))
     bigints = "array<bigint>"
@@ -350,7 +383,9 @@ def hard_negatives(
         "anchor_row", (F.col("rank") - 1).alias("place"), F.col("id").alias("positive_id"),
         F.col("score").alias("positive_score"),
     )
+    beyond = F.raise_error(F.lit("a score is beyond a bigint")).cast("bigint")
+    fitting = F.when(F.col("positive_score") < CEILING, F.col("positive_score")).otherwise(beyond)
     return second.join(named, ["anchor_row", "place"]).select(
-        "anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score",
+        "anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), fitting.alias("positive_score"),
         F.col("score").alias("negative_score"),
     )

@@ -177,7 +177,7 @@ def op11_hard_negative_mining(spark: SparkSession, folder: str) -> DataFrame:
     vec_id, label = F.col("vec_id"), F.col("label")
     moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
     embeddings = read(spark, folder, "embeddings").withColumn("label", moved)
-    return negatives.hard_negatives(embeddings, anchors=vec_id % 100 == 0)
+    return negatives.hard_negatives(embeddings, anchors=vec_id % 100 == 0, nameless=True)
 
 
 @query()

@@ -94,6 +94,50 @@ def test_negatives_with_ties_copies_and_rows_that_take_no_part(spark, slice_rows
     assert len(expected) > 500
 
 
+def test_negatives_of_many_tasks_equal_those_of_one(spark):
+    """Cells meet whatever tasks their rows are in: nothing merges the partitions here."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(6).round(2).tolist(), int(rng.integers(0, 3))) for i in range(200)]
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mined = negatives.hard_negatives(
+            embeddings(spark, rows), anchors=F.col("vec_id") % 5 == 0, slice_rows=30, group_anchors=9
+        )
+        assert found_in(mined) == plain_negatives(rows, lambda i: i % 5 == 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_negatives_of_large_components_are_exact(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(120):
+        v = rng.standard_normal(40).tolist()
+        # Anchors have no share in the large ones, or a small one.
+        large = (0.01, 0.0) if i % 5 == 0 else (2.0**41, 1e300) if i % 7 == 3 else (1.0, -1.0)
+        rows.append((i, [*v, *large], int(rng.integers(0, 2))))
+    expected = plain_negatives(rows, lambda i: i % 5 == 0)
+    mined = negatives.hard_negatives(embeddings(spark, rows), anchors=F.col("vec_id") % 5 == 0)
+    assert found_in(mined) == expected
+    assert any(r[5] > 2**40 for r in expected)
+
+
+def test_nameless_rows_and_empty_vectors_take_part(spark):
+    rows = [(5, [1.0], 1), (6, [1.0], 1), (None, [1.0], 2), (7, [1.0], 2), (10, [], 1), (11, [], 1), (12, [], 3)]
+    mined = negatives.hard_negatives(embeddings(spark, rows), anchors=F.col("vec_id") % 5 == 0, nameless=True)
+    assert [tuple(r) for r in mined.orderBy("anchor_id", "rank").collect()] == [
+        (5, 6, 1, 7, 65536, 65536), (5, 6, 2, None, 65536, 65536), (10, 11, 1, 12, 0, 0),
+    ]
+
+
+def test_a_positive_beyond_a_bigint_is_an_error(spark):
+    rows = [(5, [1e20], 1), (6, [1e20], 1), (7, [1e20], 2)]
+    mined = negatives.hard_negatives(embeddings(spark, rows), anchors=F.col("vec_id") % 5 == 0)
+    with pytest.raises(Exception, match="beyond a bigint"):
+        mined.collect()
+
+
 def test_no_rows_no_negatives(spark):
     none = negatives.hard_negatives(embeddings(spark, []), anchors=F.col("vec_id") % 5 == 0)
     assert none.count() == 0
