@@ -11,7 +11,8 @@ columns; ``register_aggregate`` makes two table functions of it:
 ``..._states`` runs over the rows where they are and puts out one state for each
 key and task, so a hot key is reduced by all tasks that hold rows of it. Only
 states are shuffled, and the outer function merges those of a key. It may as well
-be partitioned by anything that keeps the states of a key together.
+be partitioned by anything that keeps the states of a key together, given as a last
+column: with many keys by buckets of them, as each part costs a call.
 """
 
 from __future__ import annotations
@@ -31,14 +32,19 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Keys whose states a task holds before it puts them out.
 KEYS_HELD = 100_000
+# States that it lets grow before it merges those of the same keys.
+MERGED_AT = 50_000
 
 
 class Aggregate:
     """Value, state and result of an aggregate, and the steps between them.
 
     A state is a tuple, its columns written as DDL in ``state``; ``result`` is the
-    type of what ``finish`` returns. The four steps must not keep anything between
-    calls.
+    type of what ``finish`` returns. The steps must not keep anything between calls.
+
+    ``reduce_keys``, ``merge_keys`` and ``finish_keys`` do the same for all keys of a
+    table at once. They need not be written: they go from key to key by the other
+    four. Where there are many keys, whole columns are much faster.
     """
 
     state: str
@@ -58,6 +64,30 @@ class Aggregate:
     def finish(self, state: tuple) -> object:
         raise NotImplementedError
 
+    def reduce_keys(self, keys: pa.Array, values: pa.Array, states: pa.Schema) -> pa.Table:
+        """A state (k, state columns) for each key."""
+        return _table(
+            [(k, *self.reduce(values.take(pa.array(places)), self.zero())) for k, places in _by_key(keys)],
+            states,
+        )
+
+    def merge_keys(self, table: pa.Table) -> pa.Table:
+        """One state for each key, of a table with any number of them."""
+        held: dict = {}
+        for k, *state in zip(*[c.to_pylist() for c in table.columns]):
+            held[k] = self.merge(held[k], tuple(state)) if k in held else tuple(state)
+        return _table([(k, *state) for k, state in held.items()], table.schema)
+
+    def finish_keys(self, table: pa.Table, results: pa.Schema) -> pa.Table:
+        """The results (k, result) of a table with one state for each key."""
+        rows = zip(*[c.to_pylist() for c in table.columns])
+        return _table([(k, self.finish(tuple(state))) for k, *state in rows], results)
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
 
 class Average(Aggregate):
     """Average of whole or decimal numbers, NULLs left out; of none it is NULL.
@@ -85,6 +115,24 @@ class Average(Aggregate):
     def finish(self, state: tuple) -> float | None:
         return float(state[0]) / state[1] if state[1] else None
 
+    def reduce_keys(self, keys: pa.Array, values: pa.Array, states: pa.Schema) -> pa.Table:
+        if not pa.types.is_decimal(values.type):
+            values = values.cast(pa.decimal128(25, 6))
+        found = pa.table({"k": keys, "v": values}).group_by("k", use_threads=False).aggregate([("v", "sum"), ("v", "count")])
+        return self._states(found, "v_sum", "v_count", states)
+
+    def merge_keys(self, table: pa.Table) -> pa.Table:
+        found = table.group_by("k", use_threads=False).aggregate([("total", "sum"), ("n", "sum")])
+        return self._states(found, "total_sum", "n_sum", table.schema)
+
+    @staticmethod
+    def _states(found: pa.Table, total: str, n: str, states: pa.Schema) -> pa.Table:
+        import pyarrow.compute as pc
+
+        # The sum of no values is no NULL.
+        sums = pc.fill_null(found[total].cast(states.field("total").type), Decimal(0))
+        return pa.Table.from_arrays([found["k"].cast(states.field("k").type), sums, found[n]], schema=states)
+
 
 def _by_key(keys: pa.Array) -> Iterator[tuple[object, np.ndarray]]:
     """Each key of a column with the places of its rows; a NULL is a key."""
@@ -115,43 +163,54 @@ def register_aggregate(
     states = to_arrow_schema(T.StructType.fromDDL(f"k {key}, {aggregate.state}"))
     results = to_arrow_schema(T.StructType.fromDDL(f"k {key}, result {aggregate.result}"))
 
-    def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
-        columns = list(zip(*rows)) if rows else [()] * len(schema)
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    # Nested, so that they travel to the workers with the job.
+    class Held:
+        """Tables of states, merged whenever they have grown to twice the keys."""
+
+        def __init__(self):
+            self.tables: list[pa.Table] = []
+            self.rows = self.keys = 0
+
+        def add(self, table: pa.Table) -> None:
+            self.tables.append(table)
+            self.rows += table.num_rows
+            if self.rows > max(2 * self.keys, MERGED_AT):
+                self.merged()
+
+        def merged(self) -> pa.Table | None:
+            if len(self.tables) > 1:
+                self.tables = [aggregate.merge_keys(pa.concat_tables(self.tables))]
+            self.rows = self.keys = sum(t.num_rows for t in self.tables)
+            return self.tables[0] if self.tables else None
 
     @arrow_udtf(returnType=f"k {key}, {aggregate.state}")
     class States:
         def __init__(self):
-            self.held: dict = {}
+            self.held = Held()
 
         def eval(self, batch: pa.RecordBatch):
-            keys, values = batch.column(0), batch.column(1)
-            for k, places in _by_key(keys):
-                state = self.held.get(k)
-                mine = values.take(pa.array(places))
-                self.held[k] = aggregate.reduce(mine, aggregate.zero() if state is None else state)
-            if len(self.held) > keys_held:
-                yield table([(k, *s) for k, s in self.held.items()], states)
-                self.held = {}
+            self.held.add(aggregate.reduce_keys(batch.column(0), batch.column(1), states))
+            if self.held.keys > keys_held:
+                yield self.held.merged()
+                self.held = Held()
 
         def terminate(self):
-            if self.held:
-                yield table([(k, *s) for k, s in self.held.items()], states)
+            if self.held.rows:
+                yield self.held.merged()
 
     @arrow_udtf(returnType=f"k {key}, result {aggregate.result}")
     class Merged:
         def __init__(self):
-            self.held: dict = {}
+            self.held = Held()
 
         def eval(self, batch: pa.RecordBatch):
-            columns = [c.to_pylist() for c in batch.columns]
-            for k, *state in zip(*columns):
-                known = self.held.get(k)
-                self.held[k] = tuple(state) if known is None else aggregate.merge(known, tuple(state))
+            # What the states were partitioned by may follow them.
+            columns = batch.columns[: len(states)]
+            self.held.add(pa.Table.from_arrays(columns, schema=states))
 
         def terminate(self):
-            if self.held:
-                yield table([(k, aggregate.finish(s)) for k, s in self.held.items()], results)
+            if self.held.rows:
+                yield aggregate.finish_keys(aggregate.merge_keys(self.held.merged()), results)
 
     spark.udtf.register(f"{name}_states", States)
     spark.udtf.register(name, Merged)

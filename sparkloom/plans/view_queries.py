@@ -82,13 +82,14 @@ def udaf_my_average_by_key(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def udaf_called_from_sql(spark: SparkSession, folder: str) -> DataFrame:
     register_aggregate(spark, "exact_average", Average())
+    # By buckets of keys: each part costs a call, whatever it holds.
     return query_frames(
         spark,
         """
         SELECT k AS l_suppkey, result AS average FROM exact_average(
-            TABLE(SELECT * FROM exact_average_states(
+            TABLE(SELECT *, pmod(xxhash64(k), 1024) AS bucket FROM exact_average_states(
                 TABLE(SELECT l_suppkey, l_linenumber FROM {lineitem})))
-            PARTITION BY k)
+            PARTITION BY bucket)
         """,
         lineitem=read_table(spark, folder, "lineitem"),
     )

@@ -293,6 +293,30 @@ def test_aggregates_are_called_by_name(spark):
     spark.catalog.dropTempView("measured")
 
 
+def test_keys_of_an_aggregate_are_reduced_by_columns(spark):
+    """Many keys in many batches, merged by buckets of keys; whole columns at a time."""
+    rows = spark.range(40_000).selectExpr(
+        "IF(id % 97 = 0, NULL, id % 9001) AS k", "CAST(IF(id % 5 = 0 OR id % 9001 = 3, NULL, id % 11) AS INT) AS x"
+    )
+
+    class Columns(Average):
+        def reduce(self, values, state):
+            raise AssertionError("called for a key")
+
+        merge = reduce
+
+    rows.createOrReplaceTempView("many")
+    register_aggregate(spark, "mean_by_columns", Columns(), keys_held=2000)
+    found = spark.sql("""
+        SELECT k, result FROM mean_by_columns(TABLE(
+            SELECT *, pmod(xxhash64(k), 7) AS bucket FROM mean_by_columns_states(TABLE(SELECT k, x FROM many))
+        ) PARTITION BY bucket)
+    """)
+    expected = spark.sql("SELECT k, avg(x) AS result FROM many GROUP BY k")
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    spark.catalog.dropTempView("many")
+
+
 def test_pieces_need_their_column_free(spark):
     with pytest.raises(ValueError):
         in_pieces(spark.range(3).withColumn("_piece", F.lit(1)), ["id"])
