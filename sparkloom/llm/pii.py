@@ -10,15 +10,15 @@ a base span, hold their candidates. Each candidate becomes a vector of format an
 context features, boosted trees give it a probability, and it is taken if that
 passes the threshold of its kind.
 
-The trees learn from a bounded sample of the corpus (some ``SAMPLE``
-texts with base spans and as many without). Each sampled span is rewritten in place, in the
-looser formats as an example and as look-alikes (dates, versions, amounts, order
-numbers, card numbers with a wrong check digit) as a counter-example, numbers
-also in lists and beside dates, short numbers and the span itself; other
-candidates found in the sampled texts count as counter-examples, ``AGAINST`` of a
-text at most, evenly drawn. A fifth of the
-sample, by a hash of the row, is kept back to set the thresholds: the lowest
-probability at which the share of wrong ones is at most ``MISTAKES``.
+The trees learn from every row of the corpus and its whole text. Each base span is
+rewritten in place, in the looser formats as an example and as look-alikes (dates,
+versions, amounts, order numbers, card numbers with a wrong check digit) as a
+counter-example, numbers also in lists and beside dates, short numbers and the span
+itself; all other candidates found in the texts count as counter-examples. A fifth
+of the texts, by a hash, is kept back to set the thresholds: the lowest probability,
+in steps of 1 / ``STEPS``, from which on the share of wrong ones is at most
+``MISTAKES``. The examples stay in Spark's tasks; what comes to the driver are sums
+over them.
 
 Defined results: a null text is empty and has no spans; positions are code
 points, the end exclusive; spans of different kinds may overlap, base ones of
@@ -39,19 +39,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.boosting import Boosted
-from sparkloom.llm.shared import boxed, keep, map_texts, resident, ship, spread, text_of
+from sparkloom.llm.boosting import QUANTILES, Boosted, Spread
+from sparkloom.llm.shared import boxed, keep, map_texts, resident, ship, text_of
 
 KINDS = ("email", "ip", "card", "phone")
-# Fitting sample: about so many texts with spans, and so many without; never
-# more than twice that.
-SAMPLE = 2000
 MISTAKES = 0.02
-AGAINST = 64
-# Of a sampled text: spans, characters around them, and characters in all.
-FIT_SPANS = 10
-FIT_MARGIN = 200
-FIT_CHARACTERS = 4000
+STEPS = 1 << 14  # between the probabilities 0 and 1
+# Examples made at a time, and examples of a block that the trees read at a time.
+MADE = 1 << 14
+IN_BLOCK = 1 << 16
 AROUND = 80  # characters of context
 SCORED = 20_000  # candidates scored at a time
 
@@ -318,9 +314,8 @@ def _lists(span: str, good: list[str], bad: list[str]) -> Iterator[list[tuple[st
         yield [(f"{bad[i - 1]}, {bad[i]}", False)]
 
 
-def examples(text: str, base: list[tuple[int, int, str]]) -> list[tuple[list[float], float]]:
+def examples(text: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[list[float], float]]:
     """Features and labels made of one text."""
-    made = []
     for s, e, kind in base:
         head, tail = text[max(0, s - AROUND) : s], text[e : e + AROUND]
         good, bad = _rewritten(text[s:e], kind)
@@ -338,11 +333,11 @@ def examples(text: str, base: list[tuple[int, int, str]]) -> list[tuple[list[flo
             covered = Covered(base_spans(new))
             for c in candidates(new):
                 if c[0] < to and c[1] > at and not covered.meets(c[0], c[1]):
-                    made.append((features(new, *c), float(c in right)))
-    others = [c for c in candidates(text) if not any(c[0] < be and c[1] > bs for bs, be, _ in base)]
-    for c in others[:: -(-len(others) // AGAINST) or 1]:
-        made.append((features(text, *c), 0.0))
-    return made
+                    yield features(new, *c), float(c in right)
+    covered = Covered(base)
+    for c in candidates(text):
+        if not covered.meets(c[0], c[1]):
+            yield features(text, *c), 0.0
 
 
 class Covered:
@@ -417,90 +412,152 @@ class Redactor:
         ]
 
 
-def fit(
-    docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, spans: int = FIT_SPANS,
-    margin: int = FIT_MARGIN, characters: int = FIT_CHARACTERS,
-) -> Redactor:
-    """Learn from a bounded sample of the corpus.
+def _examples(docs: DataFrame, text_col: str) -> DataFrame:
+    """All examples: rows (held, n, n_right, matrix) with those of some texts each.
 
-    One scan finds the texts with base spans. Of them and of the others, equal
-    texts taken once, those are drawn whose hash falls below a share that makes
-    some ``sample`` of them. A text is cut to its first ``spans`` spans with
-    ``margin`` characters around them, ``characters`` at most, before it leaves its
-    task; examples and their features are made in tasks too. What comes to the
-    driver, where the trees are grown, is a matrix of bounded size.
+    A row of a matrix has the features, the label and the number of equal ones;
+    ``held`` ones set the thresholds.
     """
     ship(docs.sparkSession)
 
-    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         resident("candidates")
+        waiting: dict[bool, list] = {True: [], False: []}
+
+        def out(held: bool) -> pd.DataFrame:
+            matrix = np.array(waiting[held], dtype=np.float32)
+            waiting[held].clear()
+            matrix, copies = np.unique(matrix, axis=0, return_counts=True)
+            right = int(copies[matrix[:, -1] == 1].sum())
+            # A four-byte float holds any number of copies there can be.
+            data = np.column_stack([matrix, copies.astype(np.float32)]).tobytes()
+            return pd.DataFrame(
+                [(held, int(copies.sum()), right, len(matrix), data)],
+                columns=["held", "n", "n_right", "n_rows", "matrix"],
+            )
+
         for batch in batches:
-            rows = []
-            for number, text in zip(batch["number"], batch["text"]):
-                base = base_spans(text)
-                if base:
-                    s, e = max(0, base[0][0] - margin), base[min(spans, len(base)) - 1][1] + margin
-                    s = max(s, e - characters)
-                else:
-                    first = next(iter(candidates(text)), None)
-                    if first is None:
-                        continue
-                    s, e = max(0, first[0] - margin), first[1] + margin
-                    s = max(s, e - characters)
-                rows.append((bool(base), number, text[s:e]))
-            yield pd.DataFrame(rows, columns=["has", "number", "piece"])
-
-    numbered = docs.select(text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("number"))
-    pieces = numbered.mapInPandas(drawn, "has boolean, number bigint, piece string")
-    pieces = keep(
-        pieces.groupBy("has", "number").agg(F.min("piece").alias("piece")), "pii-pieces"
+            for held, text in zip(batch["held"], batch["text"]):
+                for vector, label in examples(text, base_spans(text)):
+                    waiting[held].append([*vector, label])
+                    if len(waiting[held]) == MADE:
+                        yield out(held)
+        for held in waiting:
+            if waiting[held]:
+                yield out(held)
+
+    text = text_of(text_col)
+    held = F.pmod(F.xxhash64(text), F.lit(5)) == 0
+    return docs.select(held.alias("held"), text.alias("text")).mapInPandas(
+        made, "held boolean, n bigint, n_right bigint, n_rows bigint, matrix binary"
     )
-    counts = {r["has"]: r["count"] for r in pieces.groupBy("has").count().collect()}
-    place = F.pmod(F.xxhash64("number"), F.lit(1 << 30))
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        resident("candidates")
+
+
+def _matrix(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and copies of a row of examples."""
+    matrix = np.frombuffer(data, dtype=np.float32).reshape(-1, FEATURES + 2)
+    return matrix[:, :FEATURES], matrix[:, FEATURES], matrix[:, FEATURES + 1].astype(np.int64)
+
+
+def _cuts(made: DataFrame) -> list[np.ndarray]:
+    """The cuts between the bins of each feature: exact quantiles of all examples."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            # A row for each example, the label last.
-            matrices = [
-                np.array([[*x, y] for x, y in examples(piece, base_spans(piece))], dtype=np.float32)
-                for piece in batch["piece"]
-            ]
-            batch["matrix"] = [m.tobytes() for m in matrices]
-            yield batch[["has", "number", "matrix"]]
-
-    chosen = []
-    for has in sorted(counts, reverse=True):
-        below = min(1 << 30, (sample << 30) // counts[has])
-        mine = pieces.filter((F.col("has") == has) & (place < below)).orderBy("number").limit(2 * sample)
-        dealt = spread(mine, "number").mapInPandas(made, "has boolean, number bigint, matrix binary")
-        chosen += sorted(dealt.collect(), key=lambda r: r["number"])
-    nothing = np.zeros((0, FEATURES + 1), dtype=np.float32)
-    train, check = [nothing], [nothing]
-    for r in chosen:
-        rows = np.frombuffer(r["matrix"], dtype=np.float32).reshape(-1, FEATURES + 1)
-        (check if r["number"] % 5 == 0 else train).append(rows)
-    fitted, held = np.concatenate(train), np.concatenate(check)
-    chosen, train, check = None, None, None  # their memory is the driver's
-    if not fitted[:, -1].any():
-        return Redactor(None, dict.fromkeys(KINDS, 2.0))
-    model = Boosted().fit(fitted[:, :-1], fitted[:, -1])
-    held = held if len(held) else fitted
-    x, y = held[:, :-1], held[:, -1]
-    chance = model.predict(x)
+            for data in batch["matrix"]:
+                x, _, copies = _matrix(data)
+                for i, column in enumerate(x.T):
+                    values, which = np.unique(column, return_inverse=True)
+                    n = np.bincount(which.ravel(), copies, len(values)).astype(np.int64)
+                    yield pd.DataFrame({"feature": i, "value": values.astype(float), "n": n})
+
+    values = made.select("matrix").mapInPandas(counted, "feature int, value double, n bigint")
+    at = ", ".join(f"{q!r}D" for q in QUANTILES.tolist())
+    found = (
+        values.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+        .groupBy("feature").agg(F.expr(f"percentile(value, array({at}), n)").alias("cuts"))
+        .collect()
+    )
+    cuts = {r["feature"]: np.unique(np.array(r["cuts"])) for r in found}
+    return [cuts[i] for i in range(FEATURES)]
+
+
+def _thresholds(made: DataFrame, model: Boosted) -> dict[str, float]:
+    """The threshold of each kind, from all examples kept back."""
+
+    def stepped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for data in batch["matrix"]:
+                x, y, copies = _matrix(data)
+                step = np.floor(model.predict(x) * STEPS).astype(np.int64)
+                yield pd.DataFrame(
+                    {"kind": x[:, : len(KINDS)].argmax(axis=1), "step": step, "wrong": ((1 - y) * copies).astype(np.int64), "n": copies}
+                )
+
+    steps = (
+        made.select("matrix").mapInPandas(stepped, "kind int, step bigint, wrong bigint, n bigint")
+        .filter(F.col("step") >= STEPS // 2)
+        .groupBy("kind", "step").agg(F.sum("wrong").alias("wrong"), F.sum("n").alias("n"))
+        .collect()
+    )
     thresholds = {}
     for i, kind in enumerate(KINDS):
-        mine = x[:, i] == 1
-        thresholds[kind] = _threshold(chance[mine], y[mine])
-    return Redactor(model, thresholds)
-
-
-def _threshold(chance: np.ndarray, y: np.ndarray) -> float:
-    """The lowest probability from which on at most ``MISTAKES`` are wrong; 2 if there is none."""
-    order = np.argsort(-chance, kind="stable")
-    wrong = np.cumsum(1 - y[order]) / np.arange(1, len(order) + 1)
-    ends = np.append(np.diff(chance[order]) != 0, True) if len(order) else np.zeros(0, bool)
-    fine = np.nonzero((wrong <= MISTAKES) & ends)[0]
-    return max(0.5, float(chance[order][fine[-1]])) if len(fine) else 2.0
+        mine = sorted(((r["step"], r["wrong"], r["n"]) for r in steps if r["kind"] == i), reverse=True)
+        thresholds[kind] = _threshold(mine)
+    return thresholds
+
+
+def fit(docs: DataFrame, text_col: str = "text") -> Redactor:
+    """Learn from all examples of the corpus.
+
+    One scan makes the examples and writes them to the shared folder. The bins of
+    the features are counted, then each level of a tree is one job whose tasks add
+    up the gradients of their examples, and a last job counts the examples kept
+    back by their probability. Repeated rows count as often as they stand there.
+    """
+    made = keep(_examples(docs, text_col), "pii-examples")
+    sums = {
+        r["held"]: r
+        for r in made.groupBy("held").agg(F.sum("n_right").alias("n_right"), F.sum("n_rows").alias("n_rows")).collect()
+    }
+    if False not in sums or not sums[False]["n_right"]:
+        return Redactor(None, dict.fromkeys(KINDS, 2.0))
+    train = made.filter(~F.col("held"))
+    model = Boosted()
+    model.cuts = _cuts(train)
+
+    def binned(rows: Iterator) -> Iterator[tuple]:
+        waiting, held = [], 0
+        for row in rows:
+            waiting.append(_matrix(row["matrix"]))
+            held += len(waiting[-1][1])
+            if held >= IN_BLOCK:
+                yield model.block(*map(np.concatenate, zip(*waiting)))
+                waiting, held = [], 0
+        if waiting:
+            yield model.block(*map(np.concatenate, zip(*waiting)))
+
+    matrices = train.select("matrix").rdd
+    parts = min(matrices.getNumPartitions(), -(-sums[False]["n_rows"] // IN_BLOCK))
+    blocks = Spread(matrices.coalesce(parts).mapPartitions(binned))
+    try:
+        model.grow(blocks)
+    finally:
+        blocks.release()
+    return Redactor(model, _thresholds(made.filter("held") if True in sums else train, model))
+
+
+def _threshold(steps: list[tuple[int, int, int]]) -> float:
+    """The lowest probability from which on at most ``MISTAKES`` are wrong; 2 if there is none.
+
+    ``steps`` has the step, the wrong ones and all, from the highest step to the lowest.
+    """
+    lowest, wrong, n = 2.0, 0, 0
+    for step, more_wrong, more in steps:
+        wrong, n = wrong + more_wrong, n + more
+        if wrong <= MISTAKES * n:
+            lowest = step / STEPS
+    return lowest
 
 
 def describe(spans: list[tuple[int, int, str]]) -> str:

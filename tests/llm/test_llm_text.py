@@ -250,6 +250,35 @@ def test_boosting_learns_an_interaction():
     assert ((model.predict(x[2000:]) > 0.5) == y[2000:]).mean() > 0.97
 
 
+def test_trees_of_spread_examples_equal_local_ones(spark):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 9, (4000, 5)).astype(np.float32)
+    y = ((x[:, 0] > 4) ^ (x[:, 2] > 3) ^ (rng.random(4000) < 0.1)).astype(np.float32)
+    local = boosting.Boosted(trees=15).fit(x, y)
+    model = boosting.Boosted(trees=15)
+    model.cuts = local.cuts
+    parts = [model.block(x[i::7], y[i::7], np.ones(len(y[i::7]), np.int64)) for i in range(7)]
+    blocks = boosting.Spread(spark.sparkContext.parallelize(parts, 5))
+    model.grow(blocks)
+    blocks.release()
+    assert len(model.forest) == 15 and (model.predict(x) == local.predict(x)).all()
+
+
+def test_trees_learn_from_every_span_of_a_text(spark):
+    # Telephone numbers only behind ten other spans and thousands of characters, and
+    # more candidates in one text than a share of them would show.
+    head = " ".join(f"write to user{i}.name@mail{i}.example.com or not," for i in range(12))
+    texts = [
+        f"{head} {'filler words ' * 400} call +1 (626) 555-{1000 + 7 * n} today, item 12 or {n}"
+        for n in range(60)
+    ]
+    redactor = pii.fit(documents(spark, [(n, t, "en") for n, t in enumerate(texts)]))
+    assert redactor.thresholds["phone"] <= 1
+    made = pii._examples(documents(spark, [(1, "12345678 " * 200, "en")]), "text")
+    plain = len(pii.candidates("12345678 " * 200))
+    assert made.agg(F.sum("n")).collect()[0][0] == plain > 64
+
+
 @pytest.fixture(scope="module")
 def redactor(spark):
     return pii.fit(spark.read.parquet(f"{SF}/documents.parquet"))
