@@ -19,6 +19,8 @@ BLOCK = 64
 # adds to before it sends them on; both bound its memory.
 CELLS_AT_ONCE = 1 << 19
 CELLS_HELD = 1 << 22
+# Left blocks with fewer cells than one place in so many are multiplied cell by cell.
+SPARSE = 16
 
 
 def dense_to_coo(df: DataFrame, row: str, values: str) -> DataFrame:
@@ -103,7 +105,8 @@ def block_multiply(
     """Product of two coordinate matrices by blocks, for dense ones.
 
     Blocks meet on the inner block index; numpy multiplies them in batches and a
-    task adds its products up by output block. What it then sends is one row for
+    task adds its products up by output block. Left blocks that are mostly empty are
+    multiplied cell by cell, so they take time by their cells and not by their places. What it then sends is one row for
     each output block it touched, the block's cells as two arrays, to the task
     that owns the block, which adds the blocks up as they come, one at a time in
     memory. So the shuffle has at most output blocks times tasks rows (more only
@@ -155,6 +158,22 @@ def _multiplied(left: DataFrame, right: DataFrame, rows: int, inner: int, cols:
         shape = (batch.num_rows, height, width)
         return value.reshape(shape), present.reshape(shape)
 
+    def by_cells(batch: pa.RecordBatch, slots: np.ndarray, right_v: np.ndarray, right_p: np.ndarray):
+        """Sums of the products of single left cells: output rows, each once, and their cells."""
+        places = batch.column("left_at")
+        pair = np.repeat(np.arange(batch.num_rows), np.diff(places.offsets.to_numpy()))
+        row, k = np.divmod(places.flatten().to_numpy(), inner)
+        at = slots[pair] * rows + row
+        order = np.argsort(at, kind="stable")
+        at, pair, k = at[order], pair[order], k[order]
+        weights = batch.column("left_v").flatten().to_numpy()[order]
+        touched = right_p[pair, k] > 0
+        products = np.where(touched, weights[:, None] * right_v[pair, k], 0.0)
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        if not len(first):
+            return at, products, touched
+        return at[first], np.add.reduceat(products, first), np.logical_or.reduceat(touched, first)
+
     def sparse(targets: np.ndarray, value: np.ndarray, present: np.ndarray) -> pa.RecordBatch:
         n = len(targets)
         block, place = np.nonzero(present.reshape(n, -1))
@@ -183,13 +202,18 @@ def _multiplied(left: DataFrame, right: DataFrame, rows: int, inner: int, cols:
                     value[: len(held)] = 0
                     present[: len(held)] = False
                     held = {}
-                left_v, left_p = dense(batch, "left_at", "left_v", rows, inner)
                 right_v, right_p = dense(batch, "right_at", "right_v", inner, cols)
+                targets = zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist())
+                slots = [held.setdefault(target, len(held)) for target in targets]
+                if len(batch.column("left_at").flatten()) * SPARSE < batch.num_rows * rows * inner:
+                    at, sums, touched = by_cells(batch, np.array(slots), right_v, right_p)
+                    value.reshape(-1, cols)[at] += sums
+                    present.reshape(-1, cols)[at] |= touched
+                    continue
+                left_v, left_p = dense(batch, "left_at", "left_v", rows, inner)
                 products = left_v @ right_v
                 touched = left_p @ right_p > 0
-                targets = zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist())
-                for pair, target in enumerate(targets):
-                    slot = held.setdefault(target, len(held))
+                for pair, slot in enumerate(slots):
                     value[slot] += products[pair]
                     present[slot] |= touched[pair]
         if held:

@@ -133,6 +133,22 @@ def test_products_travel_as_blocks(spark):
     assert {(r.i, r.j): r.v for r in found.collect()} == plain
 
 
+def test_mostly_empty_blocks_are_multiplied_by_their_cells(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    a = rng.integers(1, 9, (300, 200)) * (rng.random((300, 200)) < 0.02)
+    b = rng.integers(1, 9, (200, 6)) * (rng.random((200, 6)) < 0.8)
+    a[7], a[8] = 0, 3  # an empty row beside a full one
+    # Blocks with no value at a place must not multiply it: 0 times infinity is no number.
+    right = b.astype(float)
+    right[np.nonzero(b[:, 0])[0][0], 0] = np.inf
+    left, right = cells(spark, a), cells(spark, right)
+    plain = {(r.i, r.j): r.v for r in matrix.coo_multiply(left, right).collect()}
+    for held in (1 << 22, 1):
+        monkeypatch.setattr(matrix, "CELLS_HELD", held)
+        found = matrix.block_multiply(left, right, 64, 64, 8, unique=True).collect()
+        assert {(r.i, r.j): r.v for r in found} == plain and len(found) == len(plain)
+
+
 def test_a_sized_matrix_counts_empty_blocks(spark):
     m = np.zeros((10, 7))
     m[0, 0] = m[9, 2] = 1
